@@ -200,7 +200,89 @@ WHERE r.rank <= 200"""
     }
 
 
+# ---------------------------------------------------------------------------
+# Keyed tables
+# ---------------------------------------------------------------------------
+TEMPLATE_SQL = (
+    '{"individual":"1","configName":"n","algorithmConfig":{"a":1},"historyConfig":{},'
+    '"ctrConfig":{"c":[1]},"diversityConfig":{},"selectorConfig":{"s":"x"}}'
+)
+
+KEYED_CTES = """
+zops AS (
+  SELECT 'z:' || (user_id % 50) AS key, event_type AS member, value AS score,
+         CASE WHEN event_id % 7 = 0 THEN 'replace' ELSE 'put' END AS op, event_id AS version
+  FROM events),
+zbar AS (SELECT key, max(version) AS b FROM zops WHERE op IN ('replace', 'delete') GROUP BY key),
+zlast AS (SELECT key, member, arg_max(score, version) AS score, max(version) AS version FROM zops GROUP BY ALL),
+hw AS (
+  SELECT 'cfg:' || user_id AS key,
+         replace('""" + TEMPLATE_SQL + """', '"configName":"n"', '"configName":"' || event_type || '"') AS template,
+         event_id AS version
+  FROM events),
+hv AS (SELECT hw.key, hw.template FROM hw JOIN (SELECT key, max(version) AS version FROM hw GROUP BY key) USING (key, version)),
+hfields AS (
+  SELECT * FROM (VALUES ('individual'), ('configName'), ('algorithmConfig'), ('historyConfig'), ('ctrConfig'),
+                        ('diversityConfig'), ('selectorConfig')) f(field)),
+kvl AS (
+  SELECT CAST(user_id AS VARCHAR) AS key, arg_max(event_type, event_id) AS value,
+         arg_max((event_id % 3) * 86400, event_id) AS ttl, arg_max(ts, event_id) AS write_ts
+  FROM events GROUP BY 1),
+kvv AS (SELECT key, value, CASE WHEN ttl > 0 THEN write_ts + to_seconds(ttl) END AS expires_at FROM kvl),
+cells AS (
+  SELECT user_id || '~' || CASE WHEN event_id % 11 = 0 THEN '娱乐' ELSE event_type END || '~' || event_id AS row_key,
+         CASE WHEN event_id % 13 = 0 THEN 'cf:x' ELSE 'cf:s' END AS col,
+         CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) AS value, event_id AS version
+  FROM events
+  UNION ALL
+  SELECT user_id || '~' || CASE WHEN event_id % 11 = 0 THEN '娱乐' ELSE event_type END || '~' || event_id,
+         CASE WHEN event_id % 13 = 0 THEN 'cf:x' ELSE 'cf:s' END,
+         CAST(CAST(round(value * 100) AS BIGINT) + 100 AS VARCHAR), event_id + 1000000
+  FROM events WHERE event_id % 5 = 0),
+cells_split AS (
+  SELECT row_key, string_split(col, ':') AS parts, value, version FROM cells),
+cells_latest AS (
+  SELECT row_key, parts[1] AS family, parts[2] AS qualifier, arg_max(value, version) AS value, max(version) AS version
+  FROM cells_split WHERE len(parts) >= 2 GROUP BY ALL),
+creq AS (
+  SELECT event_id AS request_id, user_id || '~' || event_type || '~' || event_id AS row_key,
+         'cf' AS family, 's' AS qualifier
+  FROM events),
+preq AS (
+  SELECT DISTINCT CAST(user_id AS VARCHAR) AS uid, 'cf' AS family, 's' AS qualifier,
+         CAST(user_id % 7 - 1 AS INTEGER) AS lim
+  FROM events),
+pcand AS (
+  SELECT r.uid, c.row_key, TRY_CAST(c.value AS DOUBLE) AS score, r.lim
+  FROM preq r JOIN cells_latest c
+    ON c.family = r.family AND c.qualifier = r.qualifier
+   AND c.row_key >= r.uid || '~' AND c.row_key < r.uid || '~~'),
+pranked AS (
+  SELECT *, row_number() OVER (PARTITION BY uid ORDER BY score DESC, row_key) AS rk
+  FROM pcand WHERE score IS NOT NULL)"""
+
+
+def keyed_queries() -> dict[str, str]:
+    w = lambda s: _with(KEYED_CTES, s)
+    return {
+        "zset_append": w("SELECT key, member, score FROM zlast LEFT JOIN zbar USING (key) WHERE b IS NULL OR version >= b"),
+        "hash_replace": w("SELECT key, field, json_extract_string(template, '$.' || field) AS value FROM hv CROSS JOIN hfields"),
+        "kv_ttl": w("SELECT * FROM kvv WHERE expires_at IS NULL OR expires_at > TIMESTAMP '2024-01-31 00:00:00'"),
+        "cells_latest": w("SELECT * FROM cells_latest"),
+        "row_lookup": w(
+            "SELECT r.request_id, r.row_key, c.family, c.qualifier, c.value, c.version "
+            "FROM creq r LEFT JOIN cells_latest c USING (row_key)"
+        ),
+        "cell_lookup": w(
+            "SELECT r.request_id, r.row_key, r.family, r.qualifier, c.value "
+            "FROM creq r LEFT JOIN cells_latest c USING (row_key, family, qualifier)"
+        ),
+        "prefix_newest": w("SELECT uid, row_key, score FROM pranked WHERE lim < 0 OR rk <= lim"),
+    }
+
+
 def all_queries() -> dict[str, str]:
     out = {}
     out.update(recall_queries())
+    out.update(keyed_queries())
     return out

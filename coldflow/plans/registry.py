@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from coldflow.plans import recall
+from coldflow.plans import keyed, recall
 
 
 def queries():
     out = {}
     out.update(recall.QUERIES)
+    out.update(keyed.QUERIES)
     return out

@@ -28,6 +28,13 @@ TEMPLATE = (
 )
 
 
+def ntz(value: dt.datetime | dt.date) -> Column:
+    """A TIMESTAMP_NTZ literal (independent of the session and Python time zones)."""
+    if not isinstance(value, dt.datetime):
+        value = dt.datetime(value.year, value.month, value.day)
+    return F.expr(f"TIMESTAMP_NTZ '{value:%Y-%m-%d %H:%M:%S}'")
+
+
 def _m(c: str, n: int) -> Column:
     return F.col(c) % F.lit(n)
 
@@ -256,12 +263,10 @@ def requested_users(t: Tables) -> DataFrame:
 def news(t: Tables) -> DataFrame:
     """(row_id, doc_id, title, created_time, publish_time, channels)."""
     d = t.documents.select("doc_id", "text", "lang", "source")
-    base = F.lit(dt.datetime(2024, 1, 1))
-    created = F.when(_m("doc_id", 19) == 0, F.lit(None)).otherwise(
-        F.timestamp_add("MINUTE", F.col("doc_id"), base.cast("timestamp_ntz"))
-    )
+    base = ntz(dt.datetime(2024, 1, 1))
+    created = F.when(_m("doc_id", 19) == 0, F.lit(None)).otherwise(F.timestamp_add("MINUTE", F.col("doc_id"), base))
     pub_days = (F.floor(F.col("doc_id") / 20) % 10).cast("int")
-    pub = F.timestamp_add("HOUR", (F.col("doc_id") % 24), F.date_add(F.lit(dt.date(2024, 1, 1)), pub_days).cast("timestamp_ntz"))
+    pub = F.timestamp_add("HOUR", F.col("doc_id") % 24, F.timestamp_add("DAY", pub_days, base))
     return d.select(
         F.col("doc_id").alias("row_id"),
         F.when(_m("doc_id", 23) == 0, F.lit(None)).otherwise(F.col("doc_id").cast("string")).alias("doc_id"),
