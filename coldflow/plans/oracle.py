@@ -281,8 +281,109 @@ def keyed_queries() -> dict[str, str]:
     }
 
 
+# ---------------------------------------------------------------------------
+# Graph
+# ---------------------------------------------------------------------------
+GRAPH_CTES = """
+nodes AS (
+  SELECT 'u:' || c_custkey AS id, 'USER' AS label, CAST(c_custkey AS VARCHAR) AS uid, c_name AS name FROM customer
+  UNION ALL SELECT 'm:' || p_partkey, 'MOVIE', NULL, p_name FROM part
+  UNION ALL SELECT 'c:' || s_suppkey, 'CELEBRITY', NULL, s_name FROM supplier),
+likes AS (
+  SELECT 'u:' || o.o_custkey AS src, 'm:' || l.l_partkey AS dst, 'LIKE' AS type, CAST(count(*) AS INTEGER) AS frequency,
+         max(CASE WHEN o.o_orderkey % 17 = 0 THEN NULL
+                  ELSE CAST(strftime(o.o_orderdate, '%Y%m%d%H%M%S') AS BIGINT) END) AS last_time
+  FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
+  WHERE o.o_custkey % 29 <> 0
+  GROUP BY o.o_custkey, l.l_partkey),
+acts AS (
+  SELECT DISTINCT 'c:' || l_suppkey AS src, 'm:' || l_partkey AS dst, 'ACT' AS type,
+         CAST(NULL AS INTEGER) AS frequency, CAST(NULL AS BIGINT) AS last_time
+  FROM lineitem WHERE l_suppkey % 5 = 0),
+edges AS (SELECT * FROM likes UNION ALL SELECT * FROM acts),
+gusers AS (SELECT id, uid FROM nodes WHERE label = 'USER' AND uid IS NOT NULL),
+ulike AS (SELECT src AS a, dst AS b FROM edges WHERE type = 'LIKE' UNION ALL SELECT dst, src FROM edges WHERE type = 'LIKE'),
+uact AS (SELECT src AS a, dst AS b FROM edges WHERE type = 'ACT' UNION ALL SELECT dst, src FROM edges WHERE type = 'ACT'),
+work_names AS (
+  SELECT DISTINCT work, name FROM (
+    SELECT id AS work, name FROM nodes
+    UNION ALL SELECT x.a AS work, n.name FROM uact x JOIN nodes n ON n.id = x.b)
+  WHERE name IS NOT NULL),
+liked_all AS (
+  SELECT DISTINCT u.uid, w.name FROM gusers u JOIN ulike l ON l.a = u.id JOIN work_names w ON w.work = l.b),
+liked AS (
+  SELECT uid, name FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY name) AS r FROM liked_all) WHERE r <= 50),
+greq AS (SELECT DISTINCT CAST((s_suppkey // 2 + 1) * 37 AS VARCHAR) AS uid FROM supplier),
+goc AS (
+  SELECT r.uid, coalesce(n.id, 'u:' || r.uid) AS id, n.id IS NULL AS created
+  FROM greq r LEFT JOIN (SELECT uid, min(id) AS id FROM nodes WHERE label = 'USER' GROUP BY uid) n USING (uid)),
+gnew AS (SELECT uid, id, row_number() OVER (ORDER BY uid) - 1 AS i FROM goc WHERE created),
+gcel AS (SELECT id AS cid, row_number() OVER (ORDER BY id) - 1 AS ci FROM nodes WHERE label = 'CELEBRITY'),
+gcpu AS (SELECT (SELECT count(*) FROM gcel) // (SELECT count(*) FROM goc) AS c),
+ulikes AS (SELECT e.* FROM edges e JOIN gusers u ON u.id = e.src WHERE e.type = 'LIKE'),
+kept AS (SELECT DISTINCT src AS id FROM ulikes WHERE NOT coalesce(last_time < 20010625000000, false)),
+xcand AS (SELECT u.* FROM gusers u ANTI JOIN kept USING (id)),
+touch AS (
+  SELECT src AS id FROM edges WHERE type <> 'LIKE'
+  UNION SELECT dst FROM edges WHERE type <> 'LIKE'
+  UNION SELECT dst FROM edges WHERE type = 'LIKE'),
+interest AS (
+  SELECT o.o_orderkey % 2 AS parity, CAST(o.o_custkey AS VARCHAR) AS uid, s.s_name AS word,
+         CAST(strftime(o.o_orderdate, '%Y%m%d%H%M%S') AS BIGINT) AS t
+  FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey JOIN supplier s ON s.s_suppkey = l.l_suppkey),
+istored AS (SELECT uid, word, CAST(count(*) AS INTEGER) AS frequency, max(t) AS last_time FROM interest WHERE parity = 1 GROUP BY ALL),
+ibatch AS (SELECT uid, word, CAST(count(*) AS INTEGER) AS frequency, max(t) AS last_time FROM interest WHERE parity = 0 GROUP BY ALL),
+imerge AS (
+  SELECT coalesce(s.uid, b.uid) AS uid, coalesce(s.word, b.word) AS word,
+         s.frequency AS sf, s.last_time AS st, b.frequency AS bf, b.last_time AS bt
+  FROM istored s FULL OUTER JOIN ibatch b ON s.uid = b.uid AND s.word = b.word)"""
+
+
+def graph_queries() -> dict[str, str]:
+    w = lambda s: _with(GRAPH_CTES, s)
+    return {
+        "liked_items": w("SELECT uid, name FROM liked"),
+        "liked_export": w(
+            """
+SELECT u.uid, u.uid || ': ' || coalesce(string_agg(l.name || ' ', '' ORDER BY l.name), '') AS line
+FROM (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS uid FROM customer) u LEFT JOIN liked l USING (uid)
+GROUP BY u.uid"""
+        ),
+        "graph_get_or_create": w("SELECT uid, id, created FROM goc"),
+        "graph_assign": w(
+            """
+SELECT n.id AS src, c.cid AS dst, 'LIKE' AS type, 1 AS frequency, CAST(20010725000000 AS BIGINT) AS last_time
+FROM gnew n JOIN gcel c ON (SELECT c FROM gcpu) > 0
+  AND c.ci // CASE WHEN (SELECT c FROM gcpu) > 0 THEN (SELECT c FROM gcpu) ELSE 1 END = n.i"""
+        ),
+        "graph_expire_edges": w(
+            "SELECT src, dst, frequency, last_time, coalesce(last_time < 20010625000000, false) AS expired FROM ulikes"
+        ),
+        "graph_expire_users": w("SELECT id, uid FROM xcand ANTI JOIN touch USING (id)"),
+        "all_uids": w("SELECT DISTINCT uid FROM gusers"),
+        "interest_merge": w(
+            """
+SELECT uid, word,
+  CAST(CASE WHEN sf IS NOT NULL AND bf IS NOT NULL AND st > bt THEN sf + bf
+            WHEN sf IS NOT NULL THEN sf ELSE bf END AS INTEGER) AS frequency,
+  coalesce(st, bt) AS last_time,
+  CASE WHEN sf IS NULL THEN 'created' WHEN bf IS NOT NULL AND st > bt THEN 'updated'
+       WHEN bf IS NULL THEN 'untouched' ELSE 'unchanged' END AS action
+FROM imerge"""
+        ),
+        "interest_merge_newer": w(
+            """
+SELECT uid, word, CAST(coalesce(sf, 0) + coalesce(bf, 0) AS INTEGER) AS frequency,
+  greatest(st, bt) AS last_time,
+  CASE WHEN sf IS NULL THEN 'created' WHEN bf IS NOT NULL THEN 'updated' ELSE 'untouched' END AS action
+FROM imerge"""
+        ),
+    }
+
+
 def all_queries() -> dict[str, str]:
     out = {}
     out.update(recall_queries())
     out.update(keyed_queries())
+    out.update(graph_queries())
     return out

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from coldflow.plans import keyed, recall
+from coldflow.plans import graph, keyed, recall
 
 
 def queries():
     out = {}
     out.update(recall.QUERIES)
     out.update(keyed.QUERIES)
+    out.update(graph.QUERIES)
     return out

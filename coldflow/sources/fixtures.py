@@ -253,8 +253,35 @@ def uid_lines(t: Tables) -> DataFrame:
 
 
 def requested_users(t: Tables) -> DataFrame:
-    """(uid) requested by the get-or-create job: event users shifted by 1450, about a third exist."""
-    return t.events.select((F.col("user_id") + 1450).cast("string").alias("uid")).distinct()
+    """(uid) asked for by the get-or-create / assignment jobs.
+
+    One uid per pair of suppliers, ``(s_suppkey DIV 2 + 1) * 37``: about
+    a fifth lie above the customer keys (new users), and there are half as
+    many requests as celebrities, so each new user gets two.
+    """
+    k = F.expr("s_suppkey div 2") + 1
+    return t.supplier.select((k * 37).cast("bigint").cast("string").alias("uid")).distinct()
+
+
+def _interest(t: Tables, parity: int) -> DataFrame:
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate").where(F.col("o_orderkey") % 2 == parity)
+    li = t.lineitem.select("l_orderkey", "l_suppkey")
+    s = t.supplier.select("s_suppkey", "s_name")
+    j = o.join(li, o.o_orderkey == li.l_orderkey).join(s, F.col("l_suppkey") == F.col("s_suppkey"))
+    return j.groupBy(F.col("o_custkey").cast("string").alias("uid"), F.col("s_name").alias("word")).agg(
+        F.count(F.lit(1)).cast("int").alias("frequency"),
+        F.max(F.date_format("o_orderdate", "yyyyMMddHHmmss").cast("bigint")).alias("last_time"),
+    )
+
+
+def interest_stored(t: Tables) -> DataFrame:
+    """(uid, word, frequency, last_time) stored interest edges: odd orders' suppliers per customer."""
+    return _interest(t, 1)
+
+
+def interest_batch(t: Tables) -> DataFrame:
+    """(uid, word, frequency, last_time) a new batch of query words: even orders."""
+    return _interest(t, 0)
 
 
 # ---------------------------------------------------------------------------
