@@ -178,4 +178,5 @@ def phrase_matches(keywords: DataFrame, kw_col: str, index: PhraseIndex) -> Data
     cand = anchor.join(index.terms, "term")
     hits = cand.join(index.docs, index.id_col)
     padded = F.concat(F.lit(" "), F.col("norm"), F.lit(" "))
-    return hits.where(F.locate(F.concat(F.lit(" "), F.col("_kn"), F.lit(" ")), padded) > 0).drop("_kn", "term")
+    needle = F.concat(F.lit(" "), F.col("_kn"), F.lit(" "))
+    return hits.where(padded.contains(needle)).drop("_kn", "term")

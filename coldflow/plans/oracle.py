@@ -197,6 +197,12 @@ WHERE r.rank <= 200"""
         ),
         "miss_report": w("SELECT event_id, pos, kind, text FROM misses"),
         "miss_counts": w("SELECT kind, text, count(*) AS n FROM misses GROUP BY ALL"),
+        "write_metrics": w(
+            """
+SELECT r.event_id, r.uid, r.n_items, CAST(epoch_us(l.ts) // 1000 AS VARCHAR) AS request_id,
+       epoch_ms(TIMESTAMP '2024-02-01 00:00:00') - epoch_us(l.ts) // 1000 AS latency_ms
+FROM (SELECT event_id, uid, count(*) AS n_items FROM ranked WHERE rank <= 200 GROUP BY ALL) r JOIN log l USING (event_id)"""
+        ),
     }
 
 
@@ -381,9 +387,142 @@ FROM imerge"""
     }
 
 
+# ---------------------------------------------------------------------------
+# News, channels, messages, times
+# ---------------------------------------------------------------------------
+MISC_CTES = (
+    """
+news AS (
+  SELECT doc_id AS row_id, CASE WHEN doc_id % 23 = 0 THEN NULL ELSE CAST(doc_id AS VARCHAR) END AS doc_id,
+    substring(text, 1, 120) AS title,
+    CASE WHEN doc_id % 19 = 0 THEN NULL ELSE TIMESTAMP '2024-01-01 00:00:00' + to_minutes(doc_id) END AS created_time,
+    TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST((doc_id // 20) % 10 AS INTEGER)) + to_hours(doc_id % 24) AS publish_time,
+    [source, lang] AS channels
+  FROM documents),
+nf AS (
+  SELECT * FROM news
+  WHERE coalesce(list_bool_or(list_transform(channels, lambda c: contains(c, 'src1') OR contains(c, 'src2') OR contains(c, 'fr'))), false)
+    AND publish_time BETWEEN TIMESTAMP '2024-01-06 00:00:00' AND TIMESTAMP '2024-01-09 12:00:00'),
+kw AS (SELECT * FROM (VALUES ('of the'), ('de la'), ('the'), ('les'), ('que'), ('zzzz')) k(keyword)),
+kwn AS (SELECT keyword, array_to_string("""
+    + _tokens("keyword")
+    + """, ' ') AS kn FROM kw),
+ntok AS (SELECT row_id, array_to_string("""
+    + _tokens("title")
+    + """, ' ') AS norm FROM news),
+pm AS (
+  SELECT k.keyword, n.row_id FROM kwn k JOIN ntok n
+    ON k.kn <> '' AND contains(' ' || n.norm || ' ', ' ' || k.kn || ' ')),
+pmf AS (SELECT pm.keyword, nf.* FROM pm JOIN nf USING (row_id)),"""
+    + _index("tidx", "news", "row_id", "title")
+    + ","
+    + _scored("tq", "kw", "keyword", "tidx", "row_id")
+    + """,
+prel AS (
+  SELECT p.*, coalesce(s.score, 0.0) AS score
+  FROM pmf p LEFT JOIN tq_scored s ON s.q = p.keyword AND s.row_id = p.row_id),
+clist AS (
+  SELECT event_id,
+    '[' || CASE WHEN event_id % 6 = 0 THEN '{"y":0}' ELSE '{"channelId":' || (user_id % 5) || '}' END || ',{"x":1}]' AS json
+  FROM events),
+cids AS (
+  SELECT event_id,
+    list_transform(list_filter(json_extract(json, '$[*]'), lambda x: json_exists(x, '$.channelId')),
+                   lambda x: json_extract_string(x, '$.channelId')) AS ids
+  FROM clist),
+ctext AS (
+  SELECT event_id,
+    CASE WHEN event_id % 31 = 0 THEN 'c1'
+         ELSE 'c' || (user_id % 5) || ':' || event_id || '~c' || (event_id % 5) || ':9' END AS value
+  FROM events),
+citems AS (
+  SELECT event_id,
+    list_transform(string_split(regexp_replace(value, '~+$', ''), '~'),
+                   lambda it: string_split(regexp_replace(it, ':+$', ''), ':')) AS items
+  FROM ctext),
+cbad AS (SELECT event_id, items, list_bool_or(list_transform(items, lambda p: len(p) < 2)) AS bad FROM citems),
+crows AS (
+  SELECT event_id, i AS pos, items[i][1] AS channel, items[i][2] AS value
+  FROM (SELECT event_id, items, unnest(generate_series(1, len(items))) AS i FROM cbad WHERE NOT bad)),
+msgs AS (
+  SELECT event_id // 2 AS msg_id, 't' AS topic, event_type AS tag, props AS body, ts AS store_ts,
+         CAST(user_id % 4 AS INTEGER) AS partition,
+         row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1 AS "offset"
+  FROM events),
+mlatest AS (
+  SELECT * EXCLUDE (r) FROM (
+    SELECT *, row_number() OVER (PARTITION BY msg_id ORDER BY store_ts DESC, partition DESC, "offset" DESC) AS r FROM msgs)
+  WHERE r = 1),
+merr AS (SELECT DISTINCT msg_id FROM msgs WHERE tag = 'error'),
+mfail AS (SELECT msg_id, max(attempt) AS attempt FROM (
+  SELECT msg_id, 1 AS attempt FROM merr UNION ALL SELECT msg_id, 2 FROM merr WHERE msg_id % 2 = 0) GROUP BY msg_id),
+mj AS (SELECT l.*, f.attempt FROM mlatest l JOIN mfail f USING (msg_id)),
+times AS (
+  SELECT event_id, CASE WHEN event_id % 37 = 0 THEN 'bad' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS t FROM events),
+tparsed AS (SELECT event_id, t, try_strptime(t, '%Y-%m-%d %H:%M:%S') AS ts FROM times)"""
+)
+
+
+def misc_queries() -> dict[str, str]:
+    w = lambda s: _with(MISC_CTES, s)
+    return {
+        "title_newest": w(
+            """
+SELECT keyword, doc_id, coalesce(CAST(strftime(created_time, '%Y%m%d%H%M%S') AS DOUBLE), 1.0) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY keyword ORDER BY created_time DESC NULLS LAST, row_id) AS r FROM pmf)
+WHERE r <= 3 AND doc_id IS NOT NULL"""
+        ),
+        "title_relevance": w(
+            """
+SELECT DISTINCT keyword, doc_id, 1.0::DOUBLE AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY keyword ORDER BY score DESC, row_id) AS r FROM prel)
+WHERE r <= 30 AND doc_id IS NOT NULL"""
+        ),
+        "title_num_found": w(
+            """
+SELECT k.keyword, count(p.row_id) AS num_found, least(count(p.row_id), 10) AS page_size
+FROM kw k LEFT JOIN pmf p USING (keyword) GROUP BY k.keyword"""
+        ),
+        "channel_ids": w(
+            "SELECT event_id, i - 1 AS idx, ids[i] AS channel_id "
+            "FROM (SELECT event_id, ids, unnest(generate_series(1, len(ids))) AS i FROM cids)"
+        ),
+        "channel_decode": w("SELECT event_id, channel, arg_max(value, pos) AS value FROM crows GROUP BY ALL"),
+        "channel_decode_rejects": w("SELECT event_id, 'missing_value' AS reason FROM cbad WHERE bad"),
+        "channel_topk": w(
+            """
+SELECT channel, item_id, max(score) AS score FROM (
+  SELECT event_type AS channel, CAST(user_id AS VARCHAR) AS item_id, value AS score,
+         row_number() OVER (PARTITION BY event_type ORDER BY value DESC, CAST(user_id AS VARCHAR)) AS r
+  FROM events) WHERE r <= 5 GROUP BY ALL"""
+        ),
+        "offset_range": w(
+            'SELECT msg_id, tag, partition, "offset" FROM msgs WHERE "offset" >= 100 AND "offset" < 500 AND body IS NOT NULL'
+        ),
+        "offset_for_time": w(
+            """
+SELECT p.partition, coalesce(b.o, -1) AS "offset"
+FROM (SELECT DISTINCT partition FROM msgs) p
+LEFT JOIN (SELECT partition, max("offset") AS o FROM msgs WHERE store_ts < TIMESTAMP '2024-01-15 00:00:00' GROUP BY partition) b
+USING (partition)"""
+        ),
+        "tag_subscribe": w(
+            """SELECT msg_id, tag, partition, "offset" FROM msgs WHERE topic = 't' AND tag IN ('click', 'view')"""
+        ),
+        "msg_dedup": w("SELECT * FROM mlatest"),
+        "msg_redeliver": w('SELECT msg_id, partition, "offset", attempt + 1 AS attempt FROM mj WHERE attempt <= 1'),
+        "msg_dead_letter": w('SELECT msg_id, partition, "offset", attempt FROM mj WHERE attempt > 1'),
+        "time_normalize": w(
+            "SELECT event_id, epoch_us(ts) // 1000 AS epoch_ms, strftime(ts, '%Y%m%d%H%M%S') AS stamp FROM tparsed WHERE ts IS NOT NULL"
+        ),
+        "time_rejects": w("SELECT event_id, t FROM tparsed WHERE ts IS NULL"),
+    }
+
+
 def all_queries() -> dict[str, str]:
     out = {}
     out.update(recall_queries())
     out.update(keyed_queries())
     out.update(graph_queries())
+    out.update(misc_queries())
     return out

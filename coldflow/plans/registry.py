@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from coldflow.plans import graph, keyed, recall
+from coldflow.plans import graph, keyed, misc, recall
 
 
 def queries():
@@ -10,4 +10,5 @@ def queries():
     out.update(recall.QUERIES)
     out.update(keyed.QUERIES)
     out.update(graph.QUERIES)
+    out.update(misc.QUERIES)
     return out
