@@ -91,6 +91,26 @@ def build_index(
     return TextIndex(postings, doc_freq, id_col, tuple(payload), n_docs, avgdl, salts)
 
 
+def materialize_index(index: TextIndex, path: str) -> TextIndex:
+    """Write the posting table as parquet (partitioned by salt) and return an index reading it back.
+
+    Long-lived jobs (a stream) read this snapshot by path in every batch
+    instead of re-tokenizing the catalogue; a rebuild writes a new path.
+    """
+    spark = index.postings.sparkSession
+    index.postings.write.mode("overwrite").partitionBy("salt").parquet(f"{path}/postings")
+    index.doc_freq.write.mode("overwrite").parquet(f"{path}/doc_freq")
+    return TextIndex(
+        spark.read.parquet(f"{path}/postings"),
+        spark.read.parquet(f"{path}/doc_freq"),
+        index.id_col,
+        index.payload,
+        index.n_docs,
+        index.avgdl,
+        index.salts,
+    )
+
+
 def score_queries(queries: DataFrame, text_col: str, index: TextIndex) -> DataFrame:
     """All (query text, doc) pairs with a positive score.
 

@@ -525,4 +525,6 @@ def all_queries() -> dict[str, str]:
     out.update(keyed_queries())
     out.update(graph_queries())
     out.update(misc_queries())
+    # The stream's view must equal the batch sorted-set view.
+    out["stream_recall_zset"] = out["recall_zset"]
     return out

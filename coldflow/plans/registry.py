@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from coldflow.plans import graph, keyed, misc, recall
+from coldflow.plans import graph, keyed, misc, recall, streams
 
 
 def queries():
@@ -11,4 +11,5 @@ def queries():
     out.update(keyed.QUERIES)
     out.update(graph.QUERIES)
     out.update(misc.QUERIES)
+    out.update(streams.QUERIES)
     return out
