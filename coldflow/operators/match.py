@@ -22,9 +22,12 @@ ties do not depend on float summation order.
 Scale notes
 -----------
 * Query texts are de-duplicated before matching and joined back afterwards.
-* Hot terms (a term in a third of the catalogue) are salted: postings get
-  ``salt = hash(doc) % S`` and each query term is replicated S times, so one
-  term's postings spread over S tasks.  No posting is ever dropped.
+* Hot terms (a term in a third of the catalogue) are salted in proportion to
+  their size: a term with ``df`` postings gets ``ceil(df / postings_per_task)``
+  salts (at most ``max_salts``); its postings carry ``salt = hash(doc) % n``
+  and only that term's query rows are replicated n times, so one term's
+  postings spread over n tasks while cold terms are not replicated at all.
+  No posting is ever dropped.
 * Top-1 is a ``min(struct(-score, id))`` aggregate (partial aggregation on the
   map side); top-k uses ``row_number() <= k`` which plans a WindowGroupLimit
   before the shuffle, so a query with huge candidate lists ships at most k
@@ -46,20 +49,20 @@ from coldflow.functions.text import analyze
 K1 = 1.2
 B = 0.75
 SCORE_DIGITS = 6
-DEFAULT_SALTS = 8
+POSTINGS_PER_TASK = 2_000_000
+MAX_SALTS = 512
 
 
 @dataclass
 class TextIndex:
     """Inverted index of one text field of a document table."""
 
-    postings: DataFrame  # (term, <id>, w, salt, payload...)
-    doc_freq: DataFrame  # (term, df)
+    postings: DataFrame  # (term, <id>, payload..., w, salt)
+    doc_freq: DataFrame  # (term, df, salts)
     id_col: str
     payload: tuple[str, ...]
     n_docs: int
     avgdl: float
-    salts: int
 
 
 def build_index(
@@ -67,11 +70,12 @@ def build_index(
     id_col: str,
     text_col: str,
     payload: Sequence[str] = (),
-    salts: int = DEFAULT_SALTS,
+    postings_per_task: int = POSTINGS_PER_TASK,
+    max_salts: int = MAX_SALTS,
     k1: float = K1,
     b: float = B,
 ) -> TextIndex:
-    """Tokenize ``text_col`` and build the weighted posting table."""
+    """Tokenize ``text_col`` and build the weighted, salted posting table."""
     toks = docs.select(id_col, *payload, analyze(F.col(text_col)).alias("toks"))
     toks = toks.withColumn("dl", F.size("toks")).where(F.col("dl") > 0)
     st = toks.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).collect()[0]
@@ -81,14 +85,15 @@ def build_index(
         .groupBy("term", id_col, *payload, "dl")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    doc_freq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    n_salts = F.least(F.lit(max_salts), F.ceil(F.col("df") / F.lit(float(postings_per_task)))).cast("int")
+    doc_freq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("salts", n_salts)
     idf = F.log(F.lit(1.0) + (F.lit(float(n_docs)) - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)))
     norm = F.col("tf") + F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl or 1.0))
     w = idf * F.col("tf") * F.lit(k1 + 1.0) / norm
     postings = tf.join(doc_freq, "term").select(
-        "term", id_col, *payload, w.alias("w"), F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int").alias("salt")
+        "term", id_col, *payload, w.alias("w"), F.pmod(F.xxhash64(id_col), F.col("salts")).cast("int").alias("salt")
     )
-    return TextIndex(postings, doc_freq, id_col, tuple(payload), n_docs, avgdl, salts)
+    return TextIndex(postings, doc_freq, id_col, tuple(payload), n_docs, avgdl)
 
 
 def materialize_index(index: TextIndex, path: str) -> TextIndex:
@@ -107,7 +112,6 @@ def materialize_index(index: TextIndex, path: str) -> TextIndex:
         index.payload,
         index.n_docs,
         index.avgdl,
-        index.salts,
     )
 
 
@@ -122,8 +126,11 @@ def score_queries(queries: DataFrame, text_col: str, index: TextIndex) -> DataFr
         q.select(text_col, F.explode(analyze(F.col(text_col))).alias("term"))
         .groupBy(text_col, "term")
         .agg(F.count(F.lit(1)).alias("qtf"))
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(index.salts - 1))))
     )
+    # Replicate a query term once per salt of that term (1 for cold terms).
+    qt = qt.join(index.doc_freq.select("term", "salts"), "term").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
+    ).drop("salts")
     pairs = qt.join(index.postings, ["term", "salt"])
     scored = pairs.groupBy(text_col, index.id_col, *index.payload).agg(F.sum(F.col("qtf") * F.col("w")).alias("raw"))
     return scored.select(

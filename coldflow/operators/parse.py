@@ -55,14 +55,16 @@ def parse_log(
     counted term of a key wins.  A line lacking any wanted key (or NULL) is
     rejected as ``incomplete``.
     """
-    line = F.col(value_col).cast("string")  # BINARY payloads: cast never throws on bad bytes
-    terms = log_terms(line)
-    values = {k: kv_last_value(terms, k) for k in wanted}
+    # Each step is its own projection so the split / filter work happens once
+    # per row (Catalyst does not re-inline non-cheap expressions).
+    x = raw.select(*carry, F.col(value_col).cast("string").alias("_line"))  # cast never throws on bad bytes
+    x = x.select(*carry, "_line", log_terms(F.col("_line")).alias("_terms"))
+    x = x.select(*carry, "_line", *[kv_last_value(F.col("_terms"), k).alias(k) for k in wanted])
     complete = F.lit(True)
     for k in wanted:
-        complete = complete & values[k].isNotNull()
-    reason = F.when(line.isNull() | ~complete, F.lit(REASON_INCOMPLETE))
-    return raw.select(*carry, *[values[k].alias(k) for k in wanted], reason.alias("reason"))
+        complete = complete & F.col(k).isNotNull()
+    reason = F.when(F.col("_line").isNull() | ~complete, F.lit(REASON_INCOMPLETE))
+    return x.select(*carry, *wanted, reason.alias("reason"))
 
 
 def songs_array(audios: Column) -> Column:
@@ -81,10 +83,11 @@ def parse_songs(records: DataFrame, audios_col: str = "audios", keep: Sequence[s
     (the record is lost in the reference).
     """
     keep = list(keep) if keep is not None else [c for c in records.columns if c != audios_col]
-    arr = songs_array(F.col(audios_col))
+    x = records.select(*keep, songs_array(F.col(audios_col)).alias("songs"))
+    arr = F.col("songs")
     nullf = F.exists(arr, lambda m: _present_but_null(m, SONG_NAME_KEY) | _present_but_null(m, SINGER_NAME_KEY))
     reason = F.when(arr.isNull(), F.lit(REASON_BAD_JSON)).when(nullf, F.lit(REASON_NULL_FIELD))
-    return records.select(*keep, arr.alias("songs"), reason.alias("reason"))
+    return x.select(*keep, "songs", reason.alias("reason"))
 
 
 def song_rows(parsed: DataFrame, keep: Sequence[str] = ("event_id", "uid")) -> DataFrame:

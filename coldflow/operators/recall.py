@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from coldflow.functions.text import RECALL_KEY_PREFIX
-from coldflow.operators.match import TextIndex, build_index, match
+from coldflow.operators.match import TextIndex, build_index, match, materialize_index
 
 # Fixed values of the live job: hits per name query, per singer query, recall cap.
 NAME_MATCH_SIZE = 1
@@ -33,11 +33,11 @@ class Catalogue:
     rejects: DataFrame  # catalogue rows without an integer fire
 
 
-def build_catalogue(ring: DataFrame, salts: int | None = None) -> Catalogue:
+def build_catalogue(ring: DataFrame, postings_per_task: int | None = None) -> Catalogue:
     """Index ``ring(item_id, name, singer, fire)``; rows with NULL fire go to ``rejects``."""
     good = ring.where(F.col("fire").isNotNull())
     bad = ring.where(F.col("fire").isNull()).withColumn("reason", F.lit("no_fire"))
-    kw = {} if salts is None else {"salts": salts}
+    kw = {} if postings_per_task is None else {"postings_per_task": postings_per_task}
     return Catalogue(
         build_index(good, "item_id", "name", payload=["fire"], **kw),
         build_index(good, "item_id", "singer", payload=["fire"], **kw),
@@ -45,6 +45,27 @@ def build_catalogue(ring: DataFrame, salts: int | None = None) -> Catalogue:
     )
 
 
+def materialize_catalogue(cat: Catalogue, path: str) -> Catalogue:
+    """Write both posting tables under ``path`` and read them back (the index snapshot)."""
+    return Catalogue(materialize_index(cat.name, f"{path}/name"), materialize_index(cat.singer, f"{path}/singer"), cat.rejects)
+
+
+_SNAPSHOTS: dict[tuple[str, str], Catalogue] = {}
+
+
+def catalogue_snapshot(ring: DataFrame, source_key: str, path_for) -> Catalogue:
+    """The catalogue index as a long-lived table: built once per (application, source) and reused.
+
+    ``path_for(name)`` gives a folder in shared storage.  A new source (or a
+    new application) builds a new snapshot; nothing is rebuilt per query.
+    """
+    app = ring.sparkSession.sparkContext.applicationId
+    key = (app, source_key)
+    if key not in _SNAPSHOTS:
+        _SNAPSHOTS[key] = materialize_catalogue(build_catalogue(ring), path_for("catalogue"))
+    return _SNAPSHOTS[key]
+
+
 def name_hits(songs: DataFrame, cat: Catalogue, k: int = NAME_MATCH_SIZE) -> DataFrame:
     """(event_id, pos, item_id, fire, score, rank) for songs with a non-empty name."""
     named = songs.where(F.col("song_name") != "").select(*SONG_KEY, "song_name")
@@ -79,14 +100,22 @@ class Waterfall:
         return n.unionByName(s).unionByName(m)
 
 
-def waterfall(songs: DataFrame, cat: Catalogue, name_k: int = NAME_MATCH_SIZE, singer_k: int = SINGER_MATCH_SIZE) -> Waterfall:
+def waterfall(
+    songs: DataFrame,
+    cat: Catalogue,
+    name_k: int = NAME_MATCH_SIZE,
+    singer_k: int = SINGER_MATCH_SIZE,
+    stage=None,
+) -> Waterfall:
     """J2 -> J3 -> miss, plus the K10 miss rows.
 
     Name misses: every song without a name hit (empty names included).
-    Singer misses: songs that neither stage hit.
+    Singer misses: songs that neither stage hit.  ``stage`` (DataFrame ->
+    DataFrame) materializes the hit tables, which three branches read.
     """
-    nh = name_hits(songs, cat, name_k)
-    sh = singer_hits(songs, nh, cat, singer_k)
+    stage = stage or (lambda df, name: df)
+    nh = stage(name_hits(songs, cat, name_k), "name-hits")
+    sh = stage(singer_hits(songs, nh, cat, singer_k), "singer-hits")
     no_name = songs.join(nh.select(*SONG_KEY).distinct(), SONG_KEY, "left_anti")
     name_miss = no_name.select(*SONG_KEY, F.lit("name").alias("kind"), F.col("song_name").alias("text"))
     singer_miss = no_name.join(sh.select(*SONG_KEY).distinct(), SONG_KEY, "left_anti").select(

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coldflow.operators import parse, recall
+from coldflow.session import scratch_path, stage_table
 from coldflow.sources import fixtures
 from coldflow.sources.tables import Tables
 
@@ -25,7 +26,7 @@ class RecallRun:
     catalogue: recall.Catalogue
 
 
-def run(spark: SparkSession, sf_dir: str, mode: str = "faithful", salts: int | None = None) -> RecallRun:
+def run(spark: SparkSession, sf_dir: str, mode: str = "faithful", postings_per_task: int | None = None) -> RecallRun:
     t = Tables(spark, sf_dir)
     raw = fixtures.log(t)
     recs = parse.parse_log(raw)
@@ -34,7 +35,7 @@ def run(spark: SparkSession, sf_dir: str, mode: str = "faithful", salts: int | N
     good, bad_json = parse.split(parsed)
     songs = parse.with_singers(parse.song_rows(good), mode)
     rejects = incomplete.select("event_id", "reason").unionByName(bad_json.select("event_id", "reason"))
-    return RecallRun(ok, rejects, songs, recall.build_catalogue(fixtures.ring(t), salts))
+    return RecallRun(ok, rejects, songs, recall.build_catalogue(fixtures.ring(t), postings_per_task))
 
 
 def q_parse_log_kv(spark, sf_dir):
@@ -77,10 +78,11 @@ def q_singer_split(spark, sf_dir):
 
 
 def _waterfall(spark, sf_dir):
-    songs = _songs(spark, sf_dir)
+    """Songs and the waterfall, with the songs and hit tables written at their stage boundaries."""
+    songs = stage_table(_songs(spark, sf_dir), "songs")
     t = Tables(spark, sf_dir)
-    cat = recall.build_catalogue(fixtures.ring(t))
-    return songs, recall.waterfall(songs, cat)
+    cat = recall.catalogue_snapshot(fixtures.ring(t), f"{sf_dir}/part.parquet", lambda n: scratch_path(spark, n))
+    return songs, recall.waterfall(songs, cat, stage=stage_table)
 
 
 def q_match_name_top1(spark, sf_dir):

@@ -35,6 +35,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
+        # Per-row parsing is CPU-bound relative to its bytes: let AQE coalesce
+        # small shuffle outputs into partitions of >= 256 KB rather than 1 MB,
+        # so a few MB of log lines still spread over every core.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
     )
     for k, v in SCALE_DEFAULTS.items():
         builder = builder.config(k, v)
@@ -67,3 +71,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stage_table(df, name: str):
+    """Write ``df`` as a parquet table in the shared checkpoint folder and read it back.
+
+    Used at stage boundaries of multi-branch jobs: the branches read the
+    written table instead of recomputing its lineage, and a lost executor
+    costs a re-read, not a re-run of everything before the boundary.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

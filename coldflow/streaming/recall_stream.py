@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 
 from coldflow.functions.timefmt import epoch_millis, request_id
 from coldflow.operators import keyed, parse, recall
-from coldflow.operators.match import materialize_index
 
 
 @dataclass
@@ -43,10 +42,7 @@ class ZsetTable:
         return keyed.newest_write(log, ["key"]).select("key", "member", "score")
 
 
-def materialize_catalogue(cat: recall.Catalogue, path: str) -> recall.Catalogue:
-    return recall.Catalogue(
-        materialize_index(cat.name, f"{path}/name"), materialize_index(cat.singer, f"{path}/singer"), cat.rejects
-    )
+materialize_catalogue = recall.materialize_catalogue
 
 
 def batch_rows(records: DataFrame, cat: recall.Catalogue, cap: int = recall.RECALL_CAP, mode: str = "faithful"):

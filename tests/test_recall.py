@@ -36,7 +36,7 @@ def test_match_top1_prefers_full_match(spark):
         [("1", "small ring", 1), ("2", "small gear", 2), ("3", "red ring", 3), ("4", "small ring", 4)],
         "item_id string, name string, fire int",
     )
-    idx = build_index(docs, "item_id", "name", payload=["fire"], salts=3)
+    idx = build_index(docs, "item_id", "name", payload=["fire"], postings_per_task=1)
     q = spark.createDataFrame([("small ring",), ("zzz",), ("",)], "q string")
     got = {r["q"]: r["item_id"] for r in match(q, "q", idx, 1).collect()}
     assert got == {"small ring": "1"}  # tie between 1 and 4 -> smaller id; no terms -> no hit
@@ -63,3 +63,18 @@ def test_cap_never_exceeded_and_name_first(spark):
     dropped_names = names.join(kept, ["event_id", "item_id"], "left_anti").select("event_id").distinct()
     singer_kept = m.where("match_kind = 'singer'").select("event_id").distinct()
     assert dropped_names.join(singer_kept, "event_id").count() == 0
+
+
+def test_salting_changes_nothing(spark):
+    """Hot-term salting spreads postings over tasks but gives the same scores."""
+    from coldflow.operators.match import score_queries
+    from coldflow.sources import fixtures
+    from coldflow.sources.tables import Tables
+    from tests.conftest import rows
+
+    ring = fixtures.ring(Tables(spark, SF_SMALL))
+    q = ring.select(F.col("name").alias("q")).unionByName(ring.select(F.col("singer").alias("q")))
+    plain = build_index(ring, "item_id", "name", payload=["fire"])
+    salted = build_index(ring, "item_id", "name", payload=["fire"], postings_per_task=3)
+    assert salted.doc_freq.agg(F.max("salts")).collect()[0][0] > 1
+    assert rows(score_queries(q, "q", plain)) == rows(score_queries(q, "q", salted))
