@@ -1,8 +1,8 @@
 """Registered streaming query: the recall job as a stream.
 
 The log fixture is written as parquet queue records (one file per quarter of
-the events, offset = event id), replayed through a file stream one file per
-trigger, and the resulting sorted-set table is read back.  Its view must
+the events, offset = event id), replayed through a file stream two files per
+trigger (two micro-batches), and the resulting sorted-set table is read back.  Its view must
 equal the batch ``recall_zset``.
 """
 
@@ -28,7 +28,7 @@ def write_log_records(spark, sf_dir: str, path: str, files: int = STREAM_FILES)
     rec.repartitionByRange(files, "offset").sortWithinPartitions("offset").write.mode("overwrite").parquet(path)
 
 
-def q_stream_recall_zset(spark, sf_dir, files: int = STREAM_FILES, files_per_trigger: int = 1):
+def q_stream_recall_zset(spark, sf_dir, files: int = STREAM_FILES, files_per_trigger: int = 2):
     base = scratch_path(spark, "recall-stream")
     write_log_records(spark, sf_dir, f"{base}/in", files)
     cat = materialize_catalogue(recall.build_catalogue(fixtures.ring(Tables(spark, sf_dir))), f"{base}/index")

@@ -45,16 +45,22 @@ class ZsetTable:
 materialize_catalogue = recall.materialize_catalogue
 
 
-def batch_rows(records: DataFrame, cat: recall.Catalogue, cap: int = recall.RECALL_CAP, mode: str = "faithful"):
-    """Recall rows of one micro-batch: (zset rows with version, metrics rows)."""
+def batch_rows(records: DataFrame, cat: recall.Catalogue, cap: int = recall.RECALL_CAP, mode: str = "faithful", stage=None):
+    """Recall rows of one micro-batch: (zset rows with version, metrics rows).
+
+    ``stage(df, name)`` materializes tables read by several branches (parsed
+    records, songs, hit tables) as written tables of this batch id, so a
+    retried batch overwrites its own files.
+    """
+    stage = stage or (lambda df, name: df)
     ev = records.select(
         F.struct("timestamp", "partition", "offset").alias("event_id"), "value", "timestamp"
     )
-    recs = parse.parse_log(ev, carry=["event_id", "timestamp"])
+    recs = stage(parse.parse_log(ev, carry=["event_id", "timestamp"]), "records")
     ok, _ = parse.split(recs)
     good, _ = parse.split(parse.parse_songs(ok, keep=["event_id", "timestamp", "uid", "audios"]))
-    songs = parse.with_singers(parse.song_rows(good, keep=("event_id", "uid")), mode)
-    wf = recall.waterfall(songs, cat)
+    songs = stage(parse.with_singers(parse.song_rows(good, keep=("event_id", "uid")), mode), "songs")
+    wf = recall.waterfall(songs, cat, stage=stage)
     merged = recall.merge_recalls(wf, songs, cap)
     zrows = recall.zset_rows(merged)
     per_event = merged.groupBy("event_id", "uid").agg(F.count(F.lit(1)).alias("n_items"))
@@ -77,20 +83,22 @@ def run_recall_stream(
 ):
     """Start the streaming query; returns the StreamingQuery (awaited when ``available_now``)."""
     table = ZsetTable(table_path)
+    work = f"{checkpoint_path.rstrip('/')}-work"
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            zrows, metrics = batch_rows(batch, cat, cap)
-            table.write_batch(zrows, batch_id)
-            if metrics_path:
-                sink_ms = int(time.time() * 1000)  # the sink clock, not current_timestamp() (constant per batch)
-                metrics.select(
-                    "uid", "n_items", "request_id", (F.lit(sink_ms) - F.col("request_ms")).alias("latency_ms"),
-                    F.lit(batch_id).alias("batch_id"),
-                ).write.mode("overwrite").parquet(f"{metrics_path}/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
+        def stage(df: DataFrame, name: str) -> DataFrame:
+            path = f"{work}/batch_id={batch_id}/{name}"
+            df.write.mode("overwrite").parquet(path)
+            return df.sparkSession.read.parquet(path)
+
+        zrows, metrics = batch_rows(batch, cat, cap, stage=stage)
+        table.write_batch(zrows, batch_id)
+        if metrics_path:
+            sink_ms = int(time.time() * 1000)  # the sink clock, not current_timestamp() (constant per batch)
+            metrics.select(
+                "uid", "n_items", "request_id", (F.lit(sink_ms) - F.col("request_ms")).alias("latency_ms"),
+                F.lit(batch_id).alias("batch_id"),
+            ).write.mode("overwrite").parquet(f"{metrics_path}/batch_id={batch_id}")
 
     writer = records.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint_path)
     if available_now:
