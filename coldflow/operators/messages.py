@@ -87,9 +87,16 @@ def latest_per_id(msgs: DataFrame) -> DataFrame:
     return best.select("msg_id", *[F.col(f"m.{c}").alias(c) for c in cols])
 
 
-def dedup_stream(stream: DataFrame, watermark: str = "10 minutes") -> DataFrame:
-    """T-6 stream form: drop repeated msg_ids arriving within the watermark delay."""
-    return stream.withWatermark("store_ts", watermark).dropDuplicatesWithinWatermark(["msg_id"])
+def dedup_stream(stream: DataFrame, watermark: str = "10 minutes", time_col: str = "store_ts") -> DataFrame:
+    """T-6 stream form: drop repeated msg_ids arriving within the watermark delay.
+
+    Watermarks need a TIMESTAMP (not NTZ) event time; an NTZ column is
+    converted in an extra column that is dropped again.
+    """
+    if stream.schema[time_col].dataType.simpleString() == "timestamp_ntz":
+        s = stream.withColumn("_event_ts", F.col(time_col).cast("timestamp"))
+        return s.withWatermark("_event_ts", watermark).dropDuplicatesWithinWatermark(["msg_id"]).drop("_event_ts")
+    return stream.withWatermark(time_col, watermark).dropDuplicatesWithinWatermark(["msg_id"])
 
 
 def redeliver(msgs: DataFrame, failed: DataFrame, max_attempts: int = 1) -> tuple[DataFrame, DataFrame]:

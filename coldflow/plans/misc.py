@@ -7,7 +7,9 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from coldflow.functions import timefmt
-from coldflow.operators import messages, news, recall
+from coldflow.operators import graph, messages, news, recall
+from coldflow.session import scratch_path
+from coldflow.sources.logsource import collection_scan, raw_messages
 from coldflow.plans.recall import _waterfall
 from coldflow.sources import fixtures
 from coldflow.sources.tables import Tables
@@ -128,7 +130,31 @@ def q_write_metrics(spark, sf_dir):
     )
 
 
+def q_raw_records(spark, sf_dir):
+    """S2 + P6: log records as queue records -> untouched payload with its request id."""
+    log = fixtures.log(Tables(spark, sf_dir))
+    rec = log.select("value", F.lit(0).alias("partition"), F.col("event_id").alias("offset"), F.col("ts").alias("timestamp"))
+    return raw_messages(rec)
+
+
+def q_label_scan(spark, sf_dir):
+    """Every CELEBRITY node."""
+    return graph.label_scan(fixtures.nodes(Tables(spark, sf_dir)), "CELEBRITY")
+
+
+def q_collection_scan(spark, sf_dir):
+    """The labels table exported as a JSON document collection, then fully scanned."""
+    path = scratch_path(spark, "collection")
+    Tables(spark, sf_dir).labels.write.mode("overwrite").json(path)
+    return collection_scan(spark, path, "json").select(
+        F.col("doc_id").cast("bigint"), F.col("quality").cast("int"), F.col("toxic").cast("int")
+    )
+
+
 QUERIES = {
+    "raw_records": q_raw_records,
+    "label_scan": q_label_scan,
+    "collection_scan": q_collection_scan,
     "title_newest": q_title_newest,
     "title_relevance": q_title_relevance,
     "title_num_found": q_title_num_found,

@@ -525,6 +525,12 @@ def all_queries() -> dict[str, str]:
     out.update(keyed_queries())
     out.update(graph_queries())
     out.update(misc_queries())
+    out["raw_records"] = _with(
+        RECALL_CTES,
+        'SELECT value AS bytes, CAST(epoch_us(ts) // 1000 AS VARCHAR) AS request_id, 0 AS partition, event_id AS "offset" FROM log',
+    )
+    out["label_scan"] = _with(GRAPH_CTES, "SELECT * FROM nodes WHERE label = 'CELEBRITY'")
+    out["collection_scan"] = "SELECT doc_id, quality, toxic FROM labels"
     # The stream's view must equal the batch sorted-set view.
     out["stream_recall_zset"] = out["recall_zset"]
     return out
