@@ -51,6 +51,8 @@ B = 0.75
 SCORE_DIGITS = 6
 POSTINGS_PER_TASK = 2_000_000
 MAX_SALTS = 512
+DIRECT_PAIRS_MAX = 20_000_000
+PRUNE_MARGIN = 1e-6
 
 
 @dataclass
@@ -58,7 +60,7 @@ class TextIndex:
     """Inverted index of one text field of a document table."""
 
     postings: DataFrame  # (term, <id>, payload..., w, salt)
-    doc_freq: DataFrame  # (term, df, salts)
+    doc_freq: DataFrame  # (term, df, salts, ub = max posting weight)
     id_col: str
     payload: tuple[str, ...]
     n_docs: int
@@ -93,7 +95,9 @@ def build_index(
     postings = tf.join(doc_freq, "term").select(
         "term", id_col, *payload, w.alias("w"), F.pmod(F.xxhash64(id_col), F.col("salts")).cast("int").alias("salt")
     )
-    return TextIndex(postings, doc_freq, id_col, tuple(payload), n_docs, avgdl)
+    # Per-term upper bound of a posting's weight, for exact top-k pruning.
+    bound = postings.groupBy("term").agg(F.max("w").alias("ub"))
+    return TextIndex(postings, doc_freq.join(bound, "term"), id_col, tuple(payload), n_docs, avgdl)
 
 
 def materialize_index(index: TextIndex, path: str) -> TextIndex:
@@ -115,22 +119,29 @@ def materialize_index(index: TextIndex, path: str) -> TextIndex:
     )
 
 
-def score_queries(queries: DataFrame, text_col: str, index: TextIndex) -> DataFrame:
-    """All (query text, doc) pairs with a positive score.
-
-    ``queries`` may hold duplicates; texts are de-duplicated first.  Returns
-    (``text_col``, <id>, payload..., score) with score rounded to 6 digits.
-    """
+def query_terms(queries: DataFrame, text_col: str, index: TextIndex) -> DataFrame:
+    """(text, term, qtf, df, salts, ub) for every distinct query text and each of its indexed terms."""
     q = queries.select(text_col).where(F.col(text_col).isNotNull()).distinct()
     qt = (
         q.select(text_col, F.explode(analyze(F.col(text_col))).alias("term"))
         .groupBy(text_col, "term")
         .agg(F.count(F.lit(1)).alias("qtf"))
     )
-    # Replicate a query term once per salt of that term (1 for cold terms).
-    qt = qt.join(index.doc_freq.select("term", "salts"), "term").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
-    ).drop("salts")
+    return qt.join(index.doc_freq, "term")
+
+
+def _salted(qterms: DataFrame) -> DataFrame:
+    """Replicate a query term once per salt of that term (1 for cold terms)."""
+    return qterms.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+
+
+def score_queries(queries: DataFrame, text_col: str, index: TextIndex) -> DataFrame:
+    """All (query text, doc) pairs with a positive score.
+
+    ``queries`` may hold duplicates; texts are de-duplicated first.  Returns
+    (``text_col``, <id>, payload..., score) with score rounded to 6 digits.
+    """
+    qt = _salted(query_terms(queries, text_col, index).select(text_col, "term", "qtf", "salts"))
     pairs = qt.join(index.postings, ["term", "salt"])
     scored = pairs.groupBy(text_col, index.id_col, *index.payload).agg(F.sum(F.col("qtf") * F.col("w")).alias("raw"))
     return scored.select(
@@ -138,6 +149,66 @@ def score_queries(queries: DataFrame, text_col: str, index: TextIndex) -> DataFr
     )
 
 
+def _full_scores(cand: DataFrame, qt: DataFrame, text_col: str, index: TextIndex) -> DataFrame:
+    """Exact raw BM25 of candidate (text, doc) pairs: one (term, doc) lookup per query term."""
+    x = cand.join(qt.select(text_col, "term", "qtf"), text_col)
+    y = x.join(index.postings.select("term", index.id_col, *index.payload, "w"), ["term", index.id_col])
+    return y.groupBy(text_col, index.id_col, *index.payload).agg(F.sum(F.col("qtf") * F.col("w")).alias("raw"))
+
+
+def score_candidates_pruned(queries: DataFrame, text_col: str, index: TextIndex, k: int) -> DataFrame:
+    """Scores of every doc that can be in a query's top k (MaxScore, exact).
+
+    1. Probe: the docs of each query's rarest term are scored exactly; the
+       k-th best of them is a lower bound ``theta`` of the true k-th score.
+    2. Query terms sorted by their bound ``qtf * ub``: the longest prefix
+       whose bounds sum below ``theta`` (minus a margin that covers the
+       6-digit rounding) is non-essential - a doc holding only those terms
+       scores below every top-k doc.
+    3. Candidates are the docs of the essential terms only; they are scored
+       exactly by (term, doc) lookups.
+
+    A hot term with a small bound (a stop word) then never produces a pair
+    per (query, doc) - its postings are only looked up for candidates.
+    """
+    qt = query_terms(queries, text_col, index)
+    rare = qt.groupBy(text_col).agg(F.min(F.struct("df", "term", "salts")).alias("r")).select(
+        text_col, F.col("r.term").alias("term"), F.col("r.salts").alias("salts")
+    )
+    probe = _salted(rare).join(index.postings.select("term", "salt", index.id_col), ["term", "salt"]).select(
+        text_col, index.id_col
+    )
+    probe_scores = _full_scores(probe, qt, text_col, index)
+    if k == 1:
+        theta = probe_scores.groupBy(text_col).agg(F.max("raw").alias("theta"))
+    else:
+        w = Window.partitionBy(text_col).orderBy(F.col("raw").desc())
+        best = probe_scores.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.lit(k))
+        theta = best.groupBy(text_col).agg(F.min("raw").alias("theta"), F.count(F.lit(1)).alias("_n")).where(
+            F.col("_n") == F.lit(k)
+        ).drop("_n")
+    bound = F.col("qtf") * F.col("ub")
+    cum = F.sum(bound).over(
+        Window.partitionBy(text_col).orderBy(bound.asc(), F.col("term").asc()).rowsBetween(Window.unboundedPreceding, 0)
+    )
+    marked = qt.join(theta, text_col, "left").withColumn("_cum", cum)
+    essential = marked.where(F.col("theta").isNull() | (F.col("_cum") >= F.col("theta") - F.lit(PRUNE_MARGIN)))
+    cand = (
+        _salted(essential.select(text_col, "term", "salts"))
+        .join(index.postings.select("term", "salt", index.id_col), ["term", "salt"])
+        .select(text_col, index.id_col)
+        .distinct()
+    )
+    scored = _full_scores(cand, qt, text_col, index)
+    return scored.select(text_col, index.id_col, *index.payload, F.round("raw", SCORE_DIGITS).alias("score"))
+
+
+def estimated_pairs(queries: DataFrame, text_col: str, index: TextIndex) -> int:
+    """Number of (query, posting) pairs the direct term join would produce (one collected number)."""
+    qt = query_terms(queries, text_col, index)
+    return int(qt.agg(F.sum("df")).collect()[0][0] or 0)
+
+
 def top_k(scored: DataFrame, group: Sequence[str], id_col: str, k: int, rank_col: str = "rank") -> DataFrame:
     """Best k rows per group by (score desc, id asc), with a 1-based rank."""
     group = list(group)
@@ -157,9 +228,18 @@ def top_k(scored: DataFrame, group: Sequence[str], id_col: str, k: int, rank_col
     return scored.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
 
 
-def match(queries: DataFrame, text_col: str, index: TextIndex, k: int) -> DataFrame:
-    """Top-k docs per distinct query text (text, id, payload..., score, rank)."""
-    return top_k(score_queries(queries, text_col, index), [text_col], index.id_col, k)
+def match(queries: DataFrame, text_col: str, index: TextIndex, k: int, prune: str | bool = "auto") -> DataFrame:
+    """Top-k docs per distinct query text (text, id, payload..., score, rank).
+
+    ``prune``: True -> MaxScore candidates; False -> the direct term join;
+    "auto" -> direct while the term join would produce at most
+    ``DIRECT_PAIRS_MAX`` pairs (one aggregate collected), pruned beyond.
+    Both give the same rows.
+    """
+    if prune == "auto":
+        prune = estimated_pairs(queries, text_col, index) > DIRECT_PAIRS_MAX
+    scored = score_candidates_pruned(queries, text_col, index, k) if prune else score_queries(queries, text_col, index)
+    return top_k(scored, [text_col], index.id_col, k)
 
 
 # ---------------------------------------------------------------------------

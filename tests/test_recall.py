@@ -78,3 +78,31 @@ def test_salting_changes_nothing(spark):
     salted = build_index(ring, "item_id", "name", payload=["fire"], postings_per_task=3)
     assert salted.doc_freq.agg(F.max("salts")).collect()[0][0] > 1
     assert rows(score_queries(q, "q", plain)) == rows(score_queries(q, "q", salted))
+
+
+def test_pruned_match_equals_direct(spark):
+    """MaxScore candidates give exactly the direct term join's top k (names top 1, singers top 5)."""
+    from coldflow.operators.match import match
+    from coldflow.plans.recall import _songs
+    from coldflow.sources import fixtures
+    from coldflow.sources.tables import Tables
+    from tests.conftest import SF_MID, rows
+
+    t = Tables(spark, SF_MID)
+    cat = recall.build_catalogue(fixtures.ring(t))
+    songs = _songs(spark, SF_MID)
+    for col, idx, k in (("song_name", cat.name, 1), ("first_singer", cat.singer, 5)):
+        q = songs.select(F.col(col).alias("q"))
+        assert rows(match(q, "q", idx, k, prune=True)) == rows(match(q, "q", idx, k, prune=False))
+
+
+def test_pruning_skips_stop_word_postings(spark):
+    """A query 'brand 17' never pairs with every doc holding 'brand'."""
+    from coldflow.operators.match import score_candidates_pruned, score_queries
+    from coldflow.sources import fixtures
+    from coldflow.sources.tables import Tables
+
+    ring = fixtures.ring(Tables(spark, SF_SMALL))
+    idx = build_index(ring, "item_id", "singer", payload=["fire"])
+    q = spark.createDataFrame([("BRAND#17",)], "q string")
+    assert score_candidates_pruned(q, "q", idx, 5).count() < score_queries(q, "q", idx).count()
