@@ -9,6 +9,7 @@ gets exactly one outcome.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -80,11 +81,36 @@ def singer_hits(songs: DataFrame, named: DataFrame, cat: Catalogue, k: int = SIN
     return rest.join(best, rest.first_singer == best.q).select(*SONG_KEY, "item_id", "fire", "score", "rank")
 
 
-@dataclass
 class Waterfall:
-    name: DataFrame
-    singer: DataFrame
-    misses: DataFrame  # (event_id, pos, kind, text)
+    """J2 -> J3 -> miss for a song table.
+
+    Name misses: every song without a name hit (empty names included).
+    Singer misses: songs that neither stage hit.  Each stage is built on
+    first use; ``stage(df, name)`` materializes the hit tables that several
+    branches read.
+    """
+
+    def __init__(self, songs: DataFrame, cat: Catalogue, name_k: int, singer_k: int, stage=None):
+        self.songs, self.cat, self.name_k, self.singer_k = songs, cat, name_k, singer_k
+        self._stage = stage or (lambda df, name: df)
+
+    @cached_property
+    def name(self) -> DataFrame:
+        return self._stage(name_hits(self.songs, self.cat, self.name_k), "name-hits")
+
+    @cached_property
+    def singer(self) -> DataFrame:
+        return self._stage(singer_hits(self.songs, self.name, self.cat, self.singer_k), "singer-hits")
+
+    @cached_property
+    def misses(self) -> DataFrame:
+        """K10 rows (event_id, pos, kind, text)."""
+        no_name = self.songs.join(self.name.select(*SONG_KEY).distinct(), SONG_KEY, "left_anti")
+        name_miss = no_name.select(*SONG_KEY, F.lit("name").alias("kind"), F.col("song_name").alias("text"))
+        singer_miss = no_name.join(self.singer.select(*SONG_KEY).distinct(), SONG_KEY, "left_anti").select(
+            *SONG_KEY, F.lit("singer").alias("kind"), F.col("first_singer").alias("text")
+        )
+        return name_miss.unionByName(singer_miss)
 
     def outcomes(self) -> DataFrame:
         """One row per hit, or one ``miss`` row per song (event_id, pos, match_kind, item_id, fire, rank)."""
@@ -107,21 +133,8 @@ def waterfall(
     singer_k: int = SINGER_MATCH_SIZE,
     stage=None,
 ) -> Waterfall:
-    """J2 -> J3 -> miss, plus the K10 miss rows.
-
-    Name misses: every song without a name hit (empty names included).
-    Singer misses: songs that neither stage hit.  ``stage`` (DataFrame ->
-    DataFrame) materializes the hit tables, which three branches read.
-    """
-    stage = stage or (lambda df, name: df)
-    nh = stage(name_hits(songs, cat, name_k), "name-hits")
-    sh = stage(singer_hits(songs, nh, cat, singer_k), "singer-hits")
-    no_name = songs.join(nh.select(*SONG_KEY).distinct(), SONG_KEY, "left_anti")
-    name_miss = no_name.select(*SONG_KEY, F.lit("name").alias("kind"), F.col("song_name").alias("text"))
-    singer_miss = no_name.join(sh.select(*SONG_KEY).distinct(), SONG_KEY, "left_anti").select(
-        *SONG_KEY, F.lit("singer").alias("kind"), F.col("first_singer").alias("text")
-    )
-    return Waterfall(nh, sh, name_miss.unionByName(singer_miss))
+    """J2 -> J3 -> miss, plus the K10 miss rows (stages built on first use)."""
+    return Waterfall(songs, cat, name_k, singer_k, stage)
 
 
 def merge_recalls(wf: Waterfall, songs: DataFrame, cap: int = RECALL_CAP) -> DataFrame:

@@ -12,7 +12,9 @@ def _wf(spark, name, singer):
     schema = "event_id long, pos int, item_id string, fire int, score double, rank int"
     n = spark.createDataFrame([(1, 0, i, f, 1.0, 1) for i, f in name], schema)
     s = spark.createDataFrame([(1, 1, i, f, 1.0, 1) for i, f in singer], schema)
-    return recall.Waterfall(n, s, spark.createDataFrame([], "event_id long, pos int, kind string, text string"))
+    wf = recall.Waterfall(None, None, 1, 5)
+    wf.__dict__.update(name=n, singer=s, misses=spark.createDataFrame([], "event_id long, pos int, kind string, text string"))
+    return wf
 
 
 @pytest.mark.parametrize(
