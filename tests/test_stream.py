@@ -52,3 +52,27 @@ def test_stream_dedup_by_message_id(spark):
     out = spark.read.parquet(f"{base}/out")
     assert out.count() == out.select("msg_id").distinct().count() == msgs.select("msg_id").distinct().count()
     assert out.groupBy("msg_id").agg(F.count("*").alias("n")).where("n > 1").count() == 0
+
+
+def test_rewriting_a_batch_id_changes_nothing(spark):
+    """A retried micro-batch overwrites its own files: the view is unchanged."""
+    base = scratch_path(spark, "retry")
+    table = ZsetTable(f"{base}/zset")
+    rows1 = spark.createDataFrame([("k", "a", 1.0, 1), ("k", "b", 2.0, 1)], "key string, member string, score double, version long")
+    rows2 = spark.createDataFrame([("k", "c", 3.0, 2)], "key string, member string, score double, version long")
+    table.write_batch(rows1, 0)
+    table.write_batch(rows2, 1)
+    before = rows(table.view(spark))
+    table.write_batch(rows2, 1)
+    assert rows(table.view(spark)) == before == [("k", "c", 3.0)]
+
+
+def test_stream_metrics_written(spark):
+    """K9: one metrics row per recall write, with a non-negative latency from the sink clock."""
+    base = scratch_path(spark, "metrics")
+    write_log_records(spark, SF_SMALL, f"{base}/in", 2)
+    cat = materialize_catalogue(recall.build_catalogue(fixtures.ring(Tables(spark, SF_SMALL))), f"{base}/index")
+    run_recall_stream(spark, file_log_stream(spark, f"{base}/in", 2), cat, f"{base}/zset", f"{base}/ck", f"{base}/m")
+    m = spark.read.parquet(f"{base}/m")
+    assert m.count() > 0
+    assert m.where("latency_ms < 0 OR n_items < 1 OR n_items > 200").count() == 0
