@@ -51,7 +51,7 @@ B = 0.75
 SCORE_DIGITS = 6
 POSTINGS_PER_TASK = 2_000_000
 MAX_SALTS = 512
-DIRECT_PAIRS_MAX = 20_000_000
+HOT_DF = 100_000
 PRUNE_MARGIN = 1e-6
 
 
@@ -66,6 +66,13 @@ class TextIndex:
     n_docs: int
     avgdl: float
 
+    @property
+    def max_df(self) -> int:
+        """Largest posting list (computed once per index, one collected number)."""
+        if "_max_df" not in self.__dict__:
+            self.__dict__["_max_df"] = int(self.doc_freq.agg(F.max("df")).collect()[0][0] or 0)
+        return self.__dict__["_max_df"]
+
 
 def build_index(
     docs: DataFrame,
@@ -203,12 +210,6 @@ def score_candidates_pruned(queries: DataFrame, text_col: str, index: TextIndex,
     return scored.select(text_col, index.id_col, *index.payload, F.round("raw", SCORE_DIGITS).alias("score"))
 
 
-def estimated_pairs(queries: DataFrame, text_col: str, index: TextIndex) -> int:
-    """Number of (query, posting) pairs the direct term join would produce (one collected number)."""
-    qt = query_terms(queries, text_col, index)
-    return int(qt.agg(F.sum("df")).collect()[0][0] or 0)
-
-
 def top_k(scored: DataFrame, group: Sequence[str], id_col: str, k: int, rank_col: str = "rank") -> DataFrame:
     """Best k rows per group by (score desc, id asc), with a 1-based rank."""
     group = list(group)
@@ -232,12 +233,11 @@ def match(queries: DataFrame, text_col: str, index: TextIndex, k: int, prune: st
     """Top-k docs per distinct query text (text, id, payload..., score, rank).
 
     ``prune``: True -> MaxScore candidates; False -> the direct term join;
-    "auto" -> direct while the term join would produce at most
-    ``DIRECT_PAIRS_MAX`` pairs (one aggregate collected), pruned beyond.
-    Both give the same rows.
+    "auto" -> pruned when the index holds a hot term (a posting list longer
+    than ``HOT_DF``), direct otherwise.  Both give the same rows.
     """
     if prune == "auto":
-        prune = estimated_pairs(queries, text_col, index) > DIRECT_PAIRS_MAX
+        prune = index.max_df > HOT_DF
     scored = score_candidates_pruned(queries, text_col, index, k) if prune else score_queries(queries, text_col, index)
     return top_k(scored, [text_col], index.id_col, k)
 
