@@ -156,7 +156,7 @@ def score_queries(queries: DataFrame, text_col: str, index: TextIndex) -> DataFr
     )
 
 
-def _full_scores(cand: DataFrame, qt: DataFrame, text_col: str, index: TextIndex) -> DataFrame:
+def full_scores(cand: DataFrame, qt: DataFrame, text_col: str, index: TextIndex) -> DataFrame:
     """Exact raw BM25 of candidate (text, doc) pairs: one (term, doc) lookup per query term."""
     x = cand.join(qt.select(text_col, "term", "qtf"), text_col)
     y = x.join(index.postings.select("term", index.id_col, *index.payload, "w"), ["term", index.id_col])
@@ -185,7 +185,7 @@ def score_candidates_pruned(queries: DataFrame, text_col: str, index: TextIndex,
     probe = _salted(rare).join(index.postings.select("term", "salt", index.id_col), ["term", "salt"]).select(
         text_col, index.id_col
     )
-    probe_scores = _full_scores(probe, qt, text_col, index)
+    probe_scores = full_scores(probe, qt, text_col, index)
     if k == 1:
         theta = probe_scores.groupBy(text_col).agg(F.max("raw").alias("theta"))
     else:
@@ -206,7 +206,7 @@ def score_candidates_pruned(queries: DataFrame, text_col: str, index: TextIndex,
         .select(text_col, index.id_col)
         .distinct()
     )
-    scored = _full_scores(cand, qt, text_col, index)
+    scored = full_scores(cand, qt, text_col, index)
     return scored.select(text_col, index.id_col, *index.payload, F.round("raw", SCORE_DIGITS).alias("score"))
 
 

@@ -14,7 +14,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from coldflow.operators.match import PhraseIndex, TextIndex, build_index, build_phrase_index, phrase_matches, score_queries
+from coldflow.operators.match import (
+    SCORE_DIGITS,
+    PhraseIndex,
+    TextIndex,
+    full_scores,
+    build_index,
+    build_phrase_index,
+    phrase_matches,
+    query_terms,
+)
 
 # Fixed values of the reference: rows per keyword of the three searches,
 # recency window in days, and the channel words of the channel filter.
@@ -79,8 +88,17 @@ class NewsSearch:
         return last.select("keyword", "doc_id", time_score(F.col("created_time")).alias("score"))
 
     def _by_relevance(self, keywords: DataFrame) -> DataFrame:
-        scored = score_queries(keywords, "keyword", self.bm25).select("keyword", "row_id", "score")
-        return self.matches(keywords).join(scored, ["keyword", "row_id"], "left").fillna(0.0, ["score"])
+        """Phrase matches with their BM25 score.
+
+        Only phrase matches are ranked, so only they are scored: one
+        (term, doc) lookup per keyword term and match, never a pair per doc of
+        a frequent term.
+        """
+        m = self.matches(keywords)
+        qt = query_terms(keywords, "keyword", self.bm25)
+        raw = full_scores(m.select("keyword", "row_id"), qt, "keyword", self.bm25)
+        scored = raw.select("keyword", "row_id", F.round("raw", SCORE_DIGITS).alias("score"))
+        return m.join(scored, ["keyword", "row_id"], "left").fillna(0.0, ["score"])
 
     def relevance(self, keywords: DataFrame, rows: int = RELEVANCE_ROWS) -> DataFrame:
         """First ``rows`` matches by BM25 score (desc, row asc); constant score 1.0."""
