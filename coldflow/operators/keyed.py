@@ -139,7 +139,7 @@ def row_uid(row_key: Column) -> Column:
     return F.split(row_key, "~", 2).getItem(0)
 
 
-def prefix_newest(requests: DataFrame, latest: DataFrame) -> tuple[DataFrame, DataFrame]:
+def prefix_newest(requests: DataFrame, latest: DataFrame, stage=None) -> tuple[DataFrame, DataFrame]:
     """A5: per request (uid, family, qualifier, limit) the full row keys in [uid~, uid~~).
 
     Only rows carrying the cell count.  With more rows than ``limit`` the
@@ -149,14 +149,16 @@ def prefix_newest(requests: DataFrame, latest: DataFrame) -> tuple[DataFrame, Da
     The byte range is kept as a predicate (a row key whose next byte after
     ``uid~`` is '~' or above - e.g. any non-ASCII algorithm - is outside), and
     the derived uid is the equi-join key, so no scan over other users.
+    ``stage(df, name)`` materializes the candidates, which three branches read.
     """
+    stage = stage or (lambda df, name: df)
     cand = latest.select(
         row_uid(F.col("row_key")).alias("uid"), "row_key", "family", "qualifier", "value"
     ).join(requests, ["uid", "family", "qualifier"])
     lo = F.concat(F.col("uid"), F.lit("~"))
     hi = F.concat(F.col("uid"), F.lit("~~"))
     cand = cand.where((F.col("row_key") >= lo) & (F.col("row_key") < hi))
-    cand = cand.withColumn("score", F.expr("try_cast(value AS DOUBLE)"))
+    cand = stage(cand.withColumn("score", F.expr("try_cast(value AS DOUBLE)")), "prefix-candidates")
     rejects = cand.where(F.col("score").isNull()).withColumn("reason", F.lit("not_a_number"))
     ok = cand.where(F.col("score").isNotNull())
     out_cols = ["uid", "row_key", "score"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from coldflow.operators import keyed
+from coldflow.session import stage_table
 from coldflow.sources import fixtures
 from coldflow.sources.tables import Tables
 
@@ -49,7 +50,7 @@ def q_cell_lookup(spark, sf_dir):
 
 def q_prefix_newest(spark, sf_dir):
     t, latest = _latest(spark, sf_dir)
-    rows, _ = keyed.prefix_newest(fixtures.prefix_requests(t), latest)
+    rows, _ = keyed.prefix_newest(fixtures.prefix_requests(t), latest, stage=stage_table)
     return rows
 
 
