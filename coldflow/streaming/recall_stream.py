@@ -45,18 +45,27 @@ class ZsetTable:
 materialize_catalogue = recall.materialize_catalogue
 
 
-def batch_rows(records: DataFrame, cat: recall.Catalogue, cap: int = recall.RECALL_CAP, mode: str = "faithful", stage=None):
-    """Recall rows of one micro-batch: (zset rows with version, metrics rows).
+def parse_records(records: DataFrame) -> DataFrame:
+    """P1 + P2 on a record frame (batch or streaming): (event_id, timestamp, uid, audios, reason).
+
+    ``event_id`` is the record's position (timestamp, partition, offset),
+    which also orders versions of the per-user lists.
+    """
+    ev = records.select(F.struct("timestamp", "partition", "offset").alias("event_id"), "value", "timestamp")
+    return parse.parse_log(ev, carry=["event_id", "timestamp"])
+
+
+def batch_rows(
+    parsed: DataFrame, cat: recall.Catalogue, cap: int = recall.RECALL_CAP, mode: str = "faithful", stage=None
+):
+    """Recall rows of one micro-batch of parsed records: (zset rows with version, metrics rows).
 
     ``stage(df, name)`` materializes tables read by several branches (parsed
     records, songs, hit tables) as written tables of this batch id, so a
     retried batch overwrites its own files.
     """
     stage = stage or (lambda df, name: df)
-    ev = records.select(
-        F.struct("timestamp", "partition", "offset").alias("event_id"), "value", "timestamp"
-    )
-    recs = stage(parse.parse_log(ev, carry=["event_id", "timestamp"]), "records")
+    recs = stage(parsed, "records")
     ok, _ = parse.split(recs)
     good, _ = parse.split(parse.parse_songs(ok, keep=["event_id", "timestamp", "uid", "audios"]))
     songs = stage(parse.with_singers(parse.song_rows(good, keep=("event_id", "uid")), mode), "songs")
@@ -100,7 +109,9 @@ def run_recall_stream(
                 F.lit(batch_id).alias("batch_id"),
             ).write.mode("overwrite").parquet(f"{metrics_path}/batch_id={batch_id}")
 
-    writer = records.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint_path)
+    # The parse is stream-native; per-event top-k windows are not allowed on
+    # streaming frames, so matching and merging run per micro-batch.
+    writer = parse_records(records).writeStream.foreachBatch(process).option("checkpointLocation", checkpoint_path)
     if available_now:
         q = writer.trigger(availableNow=True).start()
         q.awaitTermination()
