@@ -45,6 +45,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from coldflow.functions.text import analyze
+from coldflow.session import spread
 
 K1 = 1.2
 B = 0.75
@@ -85,7 +86,20 @@ def build_index(
     b: float = B,
 ) -> TextIndex:
     """Tokenize ``text_col`` and build the weighted, salted posting table."""
-    toks = docs.select(id_col, *payload, analyze(F.col(text_col)).alias("toks"))
+    toks = spread(docs.select(id_col, *payload, text_col)).select(id_col, *payload, analyze(F.col(text_col)).alias("toks"))
+    return index_tokens(toks, id_col, payload, postings_per_task, max_salts, k1, b)
+
+
+def index_tokens(
+    toks: DataFrame,
+    id_col: str,
+    payload: Sequence[str] = (),
+    postings_per_task: int = POSTINGS_PER_TASK,
+    max_salts: int = MAX_SALTS,
+    k1: float = K1,
+    b: float = B,
+) -> TextIndex:
+    """BM25 posting table from already analyzed docs ``(id, payload..., toks)``."""
     toks = toks.withColumn("dl", F.size("toks")).where(F.col("dl") > 0)
     st = toks.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).collect()[0]
     n_docs, avgdl = int(st["n"]), float(st["avgdl"] or 0.0)
@@ -253,6 +267,7 @@ class PhraseIndex:
     docs: DataFrame  # (<id>, norm, ...columns kept for filtering)
     doc_freq: DataFrame  # (term, df)
     id_col: str
+    tokens: DataFrame  # (<id>, toks) analyzed once, reusable by a BM25 index
 
 
 def normalized(text: Column) -> Column:
@@ -260,13 +275,19 @@ def normalized(text: Column) -> Column:
     return F.array_join(analyze(text), " ")
 
 
-def build_phrase_index(docs: DataFrame, id_col: str, text_col: str) -> PhraseIndex:
-    base = docs.withColumn("_toks", analyze(F.col(text_col)))
+def build_phrase_index(docs: DataFrame, id_col: str, text_col: str, stage=None) -> PhraseIndex:
+    """Term table, document frequencies and normalized text; texts are tokenized once.
+
+    ``stage(df, name)`` materializes the tokenized docs, which three tables
+    are derived from.
+    """
+    stage = stage or (lambda df, name: df)
+    base = stage(spread(docs).withColumn("_toks", analyze(F.col(text_col))), "phrase-tokens")
     terms = base.select(id_col, F.explode("_toks").alias("term")).distinct()
     doc_freq = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     keep = [c for c in docs.columns if c != id_col]
     d = base.select(id_col, *keep, F.array_join("_toks", " ").alias("norm"))
-    return PhraseIndex(terms, d, doc_freq, id_col)
+    return PhraseIndex(terms, d, doc_freq, id_col, base.select(id_col, F.col("_toks").alias("toks")))
 
 
 def phrase_matches(keywords: DataFrame, kw_col: str, index: PhraseIndex) -> DataFrame:

@@ -19,8 +19,8 @@ from coldflow.operators.match import (
     PhraseIndex,
     TextIndex,
     full_scores,
-    build_index,
     build_phrase_index,
+    index_tokens,
     phrase_matches,
     query_terms,
 )
@@ -60,16 +60,16 @@ def time_score(ts: Column) -> Column:
 class NewsSearch:
     """Indexes over the news titles plus the filtered document set."""
 
-    def __init__(self, news: DataFrame, words: Sequence[str], now: Column, days: int = DAYS_LIMIT):
+    def __init__(self, news: DataFrame, words: Sequence[str], now: Column, days: int = DAYS_LIMIT, stage=None):
         self.news = news
-        self.phrase: PhraseIndex = build_phrase_index(news.select("row_id", "title"), "row_id", "title")
+        self.phrase: PhraseIndex = build_phrase_index(news.select("row_id", "title"), "row_id", "title", stage)
         self._bm25: TextIndex | None = None
         self.allowed = news.where(channel_filter(F.col("channels"), words) & recency_filter(F.col("publish_time"), now, days))
 
     @property
     def bm25(self) -> TextIndex:
         if self._bm25 is None:
-            self._bm25 = build_index(self.news.select("row_id", "title"), "row_id", "title")
+            self._bm25 = index_tokens(self.phrase.tokens, "row_id")
         return self._bm25
 
     def matches(self, keywords: DataFrame) -> DataFrame:

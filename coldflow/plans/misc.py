@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from coldflow.functions import timefmt
 from coldflow.operators import graph, messages, news, recall
-from coldflow.session import scratch_path
+from coldflow.session import scratch_path, stage_table
 from coldflow.sources.logsource import collection_scan, raw_messages
 from coldflow.plans.recall import _waterfall
 from coldflow.sources import fixtures
@@ -20,7 +20,7 @@ OFFSET_TIME = dt.datetime(2024, 1, 15)
 
 def _search(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    s = news.NewsSearch(fixtures.news(t), fixtures.NEWS_WORDS, fixtures.ntz(fixtures.NEWS_NOW))
+    s = news.NewsSearch(fixtures.news(t), fixtures.NEWS_WORDS, fixtures.ntz(fixtures.NEWS_NOW), stage=stage_table)
     return s, fixtures.keywords(spark)
 
 

@@ -394,7 +394,7 @@ MISC_CTES = (
     """
 news AS (
   SELECT doc_id AS row_id, CASE WHEN doc_id % 23 = 0 THEN NULL ELSE CAST(doc_id AS VARCHAR) END AS doc_id,
-    substring(text, 1, 120) AS title,
+    text AS title,
     CASE WHEN doc_id % 19 = 0 THEN NULL ELSE TIMESTAMP '2024-01-01 00:00:00' + to_minutes(doc_id) END AS created_time,
     TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST((doc_id // 20) % 10 AS INTEGER)) + to_hours(doc_id % 24) AS publish_time,
     [source, lang] AS channels

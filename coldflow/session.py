@@ -84,3 +84,16 @@ def stage_table(df, name: str):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def spread(df):
+    """Spread rows over the cluster's cores when the input has fewer splits than cores.
+
+    CPU-heavy per-row work (tokenizing whole texts) directly on a scan runs
+    one task per input split; a table stored as one row group would use one
+    core.  The split count is known at planning time, so this only adds a
+    round-robin shuffle when the input is that coarse - a large input with
+    many splits is left alone.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

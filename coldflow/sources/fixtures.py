@@ -297,7 +297,7 @@ def news(t: Tables) -> DataFrame:
     return d.select(
         F.col("doc_id").alias("row_id"),
         F.when(_m("doc_id", 23) == 0, F.lit(None)).otherwise(F.col("doc_id").cast("string")).alias("doc_id"),
-        F.substring("text", 1, 120).alias("title"),
+        F.col("text").alias("title"),  # the whole text: titles are searched in full
         created.cast("timestamp_ntz").alias("created_time"),
         pub.alias("publish_time"),
         F.array("source", "lang").alias("channels"),
