@@ -290,7 +290,7 @@ def build_phrase_index(docs: DataFrame, id_col: str, text_col: str, stage=None)
     return PhraseIndex(terms, d, doc_freq, id_col, base.select(id_col, F.col("_toks").alias("toks")))
 
 
-def phrase_matches(keywords: DataFrame, kw_col: str, index: PhraseIndex) -> DataFrame:
+def phrase_matches(keywords: DataFrame, kw_col: str, index: PhraseIndex, within: DataFrame | None = None) -> DataFrame:
     """(kw_col, <id>) for every doc whose token stream contains the keyword's tokens contiguously.
 
     Candidates come from the keyword's rarest term only (one equi-join on
@@ -304,6 +304,8 @@ def phrase_matches(keywords: DataFrame, kw_col: str, index: PhraseIndex) -> Data
         kw_col, "_kn", F.col("a.term").alias("term")
     )
     cand = anchor.join(index.terms, "term")
+    if within is not None:  # restrict candidates (e.g. to filtered docs) before reading their texts
+        cand = cand.join(within.select(index.id_col), index.id_col, "left_semi")
     hits = cand.join(index.docs, index.id_col)
     padded = F.concat(F.lit(" "), F.col("norm"), F.lit(" "))
     needle = F.concat(F.lit(" "), F.col("_kn"), F.lit(" "))

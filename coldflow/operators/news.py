@@ -74,7 +74,7 @@ class NewsSearch:
 
     def matches(self, keywords: DataFrame) -> DataFrame:
         """(keyword, row_id, doc_id, created_time, ...) phrase matches passing both filters."""
-        m = phrase_matches(keywords, "keyword", self.phrase).select("keyword", "row_id")
+        m = phrase_matches(keywords, "keyword", self.phrase, within=self.allowed.select("row_id")).select("keyword", "row_id")
         return m.join(self.allowed, "row_id")
 
     def newest(self, keywords: DataFrame, rows: int = NEWEST_ROWS) -> DataFrame:
