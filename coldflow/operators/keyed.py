@@ -83,9 +83,19 @@ def profile_fields(template: Column) -> Column:
     )
 
 
-def hash_view(writes: DataFrame) -> DataFrame:
-    """K3: ``writes(key, field, value, version)`` where every write replaces its key."""
-    return newest_write(writes, ["key"]).select("key", "field", "value", "version")
+def hash_view(writes: DataFrame, now: Column | None = None) -> DataFrame:
+    """K3 (+ K5): ``writes(key, field, value, version[, ttl, write_ts])``; every write replaces its key.
+
+    A write deletes the key, sets its fields and expires the key only if its
+    ttl > 0, so the newest write alone decides the expiry.  With ``now`` the
+    view keeps keys alive at that time.
+    """
+    newest = newest_write(writes, ["key"])
+    if now is None or "ttl" not in writes.columns:
+        return newest.select("key", "field", "value", "version")
+    exp = F.when(F.col("ttl") > 0, F.timestamp_add("SECOND", F.col("ttl"), F.col("write_ts")))
+    alive = newest.withColumn("expires_at", exp).where(F.col("expires_at").isNull() | (F.col("expires_at") > now))
+    return alive.select("key", "field", "value", "version", "expires_at")
 
 
 def kv_view(ops: DataFrame, now: Column) -> DataFrame:

@@ -52,3 +52,19 @@ def test_prefix_read(spark):
     assert run(1) == ["u~b~2"]
     assert run(0) == []
     assert run(-1) == ["u~a~1", "u~b~2"]
+
+
+def test_hash_replace_with_ttl(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    writes = spark.createDataFrame(
+        [
+            ("h1", "a", "1", 1, 60, t0),
+            ("h1", "b", "2", 2, 0, t0),  # newest write of h1: no TTL, replaces {a}
+            ("h2", "c", "3", 1, 0, t0),
+            ("h2", "d", "4", 2, 10, t0),  # newest write of h2 expires after 10 s
+        ],
+        "key string, field string, value string, version long, ttl int, write_ts timestamp_ntz",
+    )
+    out = keyed.hash_view(writes, ntz(dt.datetime(2024, 1, 1, 0, 0, 30)))
+    assert rows(out, "key", "field", "value") == [("h1", "b", "2")]
+    assert rows(keyed.hash_view(writes), "key", "field") == [("h1", "b"), ("h2", "d")]
