@@ -60,7 +60,10 @@ def catalogue_snapshot(ring: DataFrame, source_key: str, path_for) -> Catalogue:
     ``path_for(name)`` gives a folder in shared storage.  A new source (or a
     new application) builds a new snapshot; nothing is rebuilt per query.
     """
-    app = ring.sparkSession.sparkContext.applicationId
+    try:
+        app = ring.sparkSession.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect: one snapshot per session
+        app = str(id(ring.sparkSession))
     key = (app, source_key)
     if key not in _SNAPSHOTS:
         _SNAPSHOTS[key] = materialize_catalogue(build_catalogue(ring), path_for("catalogue"))
