@@ -110,8 +110,10 @@ def with_singers(songs: DataFrame, mode: str = "faithful") -> DataFrame:
     return songs.withColumn("singers", s).withColumn("first_singer", F.get(F.col("singers"), 0))
 
 
-def parse_all(raw: DataFrame, carry: Sequence[str] = ("event_id",), value_col: str = "value") -> DataFrame:
-    """P1-P3 in one projection: (carry..., uid, audios, songs, reason)."""
+def parse_all(
+    raw: DataFrame, carry: Sequence[str] = ("event_id",), value_col: str = "value"
+) -> tuple[DataFrame, DataFrame]:
+    """(records with songs and a bad_json/null_field reason, incomplete lines)."""
     recs = parse_log(raw, value_col=value_col, carry=carry)
     ok = recs.where(F.col("reason").isNull()).drop("reason")
     incomplete = recs.where(F.col("reason").isNotNull())
