@@ -29,17 +29,64 @@ from coldflow.operators import keyed, parse, recall
 
 @dataclass
 class ZsetTable:
-    """Versioned sorted-set table on shared storage."""
+    """Versioned sorted-set table on shared storage.
+
+    Layout: ``batches/batch_id=<n>`` (one overwrite per micro-batch),
+    ``base-<id>`` (a compacted view with versions) and ``_pointer`` (which
+    base covers batches up to which id).  Readers take the base plus newer
+    batches; a reader that finds no pointer reads every batch - slower, never
+    wrong - so the pointer need not be switched atomically as long as old
+    batches are kept until a retention job removes them.
+    """
 
     path: str
 
+    @property
+    def batches(self) -> str:
+        return f"{self.path}/batches"
+
     def write_batch(self, rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        rows.write.mode("overwrite").parquet(f"{self.batches}/batch_id={batch_id}")
+
+    def _pointer(self, spark: SparkSession):
+        try:
+            r = spark.read.json(f"{self.path}/_pointer").collect()
+        except Exception:  # noqa: BLE001 - no compaction yet
+            return None
+        return r[0] if r else None
+
+    def log(self, spark: SparkSession) -> DataFrame:
+        """Current rows with versions: base (if any) plus batches newer than it."""
+        batches = spark.read.parquet(self.batches)
+        ptr = self._pointer(spark)
+        if ptr is None:
+            return batches.drop("batch_id")
+        newer = batches.where(F.col("batch_id") > F.lit(int(ptr["upto"]))).drop("batch_id")
+        return spark.read.parquet(ptr["base"]).unionByName(newer)
 
     def view(self, spark: SparkSession) -> DataFrame:
         """(key, member, score) of each key's newest replace."""
-        log = spark.read.parquet(self.path)
-        return keyed.newest_write(log, ["key"]).select("key", "member", "score")
+        return keyed.newest_write(self.log(spark), ["key"]).select("key", "member", "score")
+
+    def compact(self, spark: SparkSession) -> str:
+        """Write the newest list of every key as a new base and point readers at it."""
+        import uuid
+
+        batches = spark.read.parquet(self.batches)
+        upto = batches.agg(F.max("batch_id")).collect()[0][0]
+        if upto is None:
+            return ""
+        ptr = self._pointer(spark)
+        current = batches.where(F.col("batch_id") <= F.lit(int(upto))).drop("batch_id")
+        if ptr is not None:
+            newer = batches.where((F.col("batch_id") > F.lit(int(ptr["upto"]))) & (F.col("batch_id") <= F.lit(int(upto))))
+            current = spark.read.parquet(ptr["base"]).unionByName(newer.drop("batch_id"))
+        base = f"{self.path}/base-{uuid.uuid4().hex[:12]}"
+        keyed.newest_write(current, ["key"]).write.mode("overwrite").parquet(base)
+        spark.createDataFrame([(base, int(upto))], "base string, upto long").coalesce(1).write.mode("overwrite").json(
+            f"{self.path}/_pointer"
+        )
+        return base
 
 
 materialize_catalogue = recall.materialize_catalogue

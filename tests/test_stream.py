@@ -25,7 +25,7 @@ def test_restart_reads_nothing_twice(spark):
     for _ in range(2):
         stream = file_log_stream(spark, f"{base}/in", 1)
         run_recall_stream(spark, stream, cat, f"{base}/zset", f"{base}/ckpt")
-    batches = spark.read.parquet(f"{base}/zset").select("batch_id").distinct().count()
+    batches = spark.read.parquet(f"{base}/zset/batches").select("batch_id").distinct().count()
     assert batches == 2  # the second run found no new files
     assert rows(ZsetTable(f"{base}/zset").view(spark)) == rows(batch_plans.q_recall_zset(spark, SF_SMALL))
 
@@ -76,3 +76,19 @@ def test_stream_metrics_written(spark):
     m = spark.read.parquet(f"{base}/m")
     assert m.count() > 0
     assert m.where("latency_ms < 0 OR n_items < 1 OR n_items > 200").count() == 0
+
+
+def test_compaction_keeps_the_view(spark):
+    """Compacting the sorted-set log into a base changes no visible row; later batches still apply."""
+    base = scratch_path(spark, "compact")
+    table = ZsetTable(f"{base}/zset")
+    schema = "key string, member string, score double, version long"
+    table.write_batch(spark.createDataFrame([("k", "a", 1.0, 1), ("j", "x", 5.0, 1)], schema), 0)
+    table.write_batch(spark.createDataFrame([("k", "b", 2.0, 2)], schema), 1)
+    before = rows(table.view(spark))
+    table.compact(spark)
+    assert rows(table.view(spark)) == before == [("j", "x", 5.0), ("k", "b", 2.0)]
+    table.write_batch(spark.createDataFrame([("j", "y", 6.0, 3)], schema), 2)
+    table.compact(spark)
+    table.write_batch(spark.createDataFrame([("k", "c", 7.0, 4)], schema), 3)
+    assert rows(table.view(spark)) == [("j", "y", 6.0), ("k", "c", 7.0)]
