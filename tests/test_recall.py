@@ -108,3 +108,18 @@ def test_pruning_skips_stop_word_postings(spark):
     idx = build_index(ring, "item_id", "singer", payload=["fire"])
     q = spark.createDataFrame([("BRAND#17",)], "q string")
     assert score_candidates_pruned(q, "q", idx, 5).count() < score_queries(q, "q", idx).count()
+
+
+def test_pruned_match_equals_direct_on_long_texts(spark):
+    """Whole-document BM25 with stop-word queries: MaxScore keeps exactly the direct top k."""
+    from coldflow.operators.match import match
+    from coldflow.sources import fixtures
+    from coldflow.sources.tables import Tables
+    from tests.conftest import SF_MID, rows
+
+    news = fixtures.news(Tables(spark, SF_MID))
+    idx = build_index(news.select("row_id", "title"), "row_id", "title")
+    turns = Tables(spark, SF_MID).conversations.select(F.col("text").alias("q"))  # whole turns as queries
+    kw = turns.unionByName(spark.createDataFrame([(w,) for w in fixtures.NEWS_KEYWORDS], "q string"))
+    for k in (1, 10):
+        assert rows(match(kw, "q", idx, k, prune=True)) == rows(match(kw, "q", idx, k, prune=False))
