@@ -92,3 +92,18 @@ def test_compaction_keeps_the_view(spark):
     table.compact(spark)
     table.write_batch(spark.createDataFrame([("k", "c", 7.0, 4)], schema), 3)
     assert rows(table.view(spark)) == [("j", "y", 6.0), ("k", "c", 7.0)]
+
+
+def test_runner_cli_with_files(spark):
+    """The job runner replays queue records from files and leaves the same view as the batch query."""
+    from coldflow.streaming.run import main
+
+    base = scratch_path(spark, "runner")
+    write_log_records(spark, SF_SMALL, f"{base}/in", 2)
+    fixtures.ring(Tables(spark, SF_SMALL)).write.parquet(f"{base}/ring")
+    main(
+        ["--catalogue", f"{base}/ring", "--table", f"{base}/zset", "--checkpoint", f"{base}/ck",
+         "--files", f"{base}/in", "--files-per-trigger", "2", "--once"],
+        spark=spark,
+    )
+    assert rows(ZsetTable(f"{base}/zset").view(spark)) == rows(batch_plans.q_recall_zset(spark, SF_SMALL))
