@@ -96,11 +96,12 @@ def min_cost_flow(capacity: Sequence[int], quota: Sequence[int], serves: Sequenc
                     end = s
                     break
                 for other in users.get(s, ()):  # take units of s back from another pattern, which then sends them elsewhere
-                    if other not in seen and flow[other].get(s, 0) > 0:
-                        heapq.heappush(heap, (cost, other))
-                        if via.get(other, -1) is None and sent[other] < epochs * capacity[other] and sent[other] // capacity[other] <= cost:
-                            continue
-                        via[other] = s
+                    if other in seen or flow[other].get(s, 0) <= 0 or via.get(other) is not None:
+                        continue
+                    if other in via and sent[other] // capacity[other] <= cost:
+                        continue  # its own fresh units are no dearer
+                    via[other] = s
+                    heapq.heappush(heap, (cost, other))
         if end is None:
             return sent
         path, s = [], end
@@ -134,7 +135,7 @@ def mix(docs: DataFrame, sizes: Column, sources: Column, weights: Sequence[int],
     """
     spark = docs.sparkSession
     key = F.md5(F.concat(F.lit(seed + "|"), F.coalesce(F.col(id_column).cast("string"), F.lit(""))))
-    rows = stage_table(docs.select(F.col(id_column).alias("id"), F.array_sort(F.array_distinct(sources)).alias("sources"), sizes.alias("size")).withColumn("h", key if id_column == "id" else F.md5(F.concat(F.lit(seed + "|"), F.coalesce(F.col("id").cast("string"), F.lit(""))))), "mix-rows")
+    rows = stage_table(docs.select(F.col(id_column).alias("id"), F.array_sort(F.array_distinct(sources)).alias("sources"), sizes.alias("size"), key.alias("h")), "mix-rows")
     per_pattern = rows.groupBy("sources").agg(F.sum("size").alias("size")).limit(MAX_PATTERNS + 1).collect()
     if len(per_pattern) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
