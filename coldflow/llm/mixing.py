@@ -126,7 +126,7 @@ def min_cost_flow(capacity: Sequence[int], quota: Sequence[int], serves: Sequenc
 
 
 def mix(docs: DataFrame, sizes: Column, sources: Column, weights: Sequence[int], share: float = 1.5, most: int = 2, id_column: str = "doc_id", seed: str = SEED) -> DataFrame:
-    """(the id, sources, size, source_size, target, taken) for each row of ``docs``.
+    """(the id, sources, size, source_size, target, copies, taken) for each row of ``docs``.
 
     ``sources`` is an array of source names (null elements allowed, sorted
     last); ``weights`` repeat over the sources in code-point order; together
@@ -147,7 +147,7 @@ def mix(docs: DataFrame, sizes: Column, sources: Column, weights: Sequence[int],
         for s in r["sources"]:
             source_size[index[s]] += r["size"]
     target = targets(source_size, [weights[i % len(weights)] for i in range(len(names))], share * sum(r["size"] for r in patterns), most)
-    sent = min_cost_flow([r["size"] for r in patterns], [round(t) for t in target], [[index[s] for s in r["sources"]] for r in patterns], most)
+    sent = min_cost_flow([r["size"] for r in patterns], [int(t) for t in target], [[index[s] for s in r["sources"]] for r in patterns], most)
     plan = [(r["sources"], f // r["size"] if r["size"] else 0, f % r["size"] if r["size"] else 0, source_size[index[r["sources"][0]]] if r["sources"] else 0, target[index[r["sources"][0]]] if r["sources"] else 0.0) for r, f in zip(patterns, sent, strict=True)]
     return _select(spark, rows, plan).withColumnRenamed("id", id_column)
 
@@ -185,4 +185,5 @@ def _select(spark: SparkSession, rows: DataFrame, plan: list[tuple]) -> DataFram
         rows = rows.join(F.broadcast(best), same("sources", "fill_sources"), "left")  # <= MAX_PATTERNS rows
         is_fill = F.coalesce(F.col("id").eqNullSafe(F.col("fill_id")) & (F.col("size") == F.col("fill_size")) & ~F.col("picked"), F.lit(False))
         rows = rows.withColumn("picked", F.col("picked") | is_fill).withColumn("gap", F.col("gap") - F.coalesce("fill_size", F.lit(0))).drop("fill_sources", "fill_id", "fill_size")
-    return rows.select("id", "sources", "size", "source_size", "target", (F.col("size") * (F.col("copies") + F.col("picked").cast("long"))).alias("taken"))
+    copies = F.col("copies") + F.col("picked").cast("long")
+    return rows.select("id", "sources", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
