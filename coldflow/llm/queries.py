@@ -141,8 +141,8 @@ WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGH
  n AS (SELECT doc_id, len(s) AS n FROM sets),
  x AS (SELECT doc_id, unnest(s) AS t FROM sets),
  often AS (SELECT t FROM x GROUP BY t HAVING count(*) > 1),
- both AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM (SELECT x.* FROM x JOIN often USING (t)) a JOIN x b ON a.t = b.t AND a.doc_id <> b.doc_id GROUP BY ALL),
- links AS (SELECT a, b FROM both JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 75 * (na.n + nb.n - k)),
+ pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM (SELECT x.* FROM x JOIN often USING (t)) a JOIN x b ON a.t = b.t AND a.doc_id <> b.doc_id GROUP BY ALL),
+ links AS (SELECT a, b FROM pairs JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 75 * (na.n + nb.n - k)),
  reach(a, b) AS (SELECT doc_id, doc_id FROM n UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
 SELECT n.doc_id, n.n::BIGINT AS n_shingles, least(n.doc_id, min(reach.b)) AS component_id FROM n LEFT JOIN reach ON reach.a = n.doc_id GROUP BY n.doc_id, n.n"""
 

@@ -122,8 +122,8 @@ def score_block(data: np.ndarray, offsets: np.ndarray, bias: float, active: np.n
     return 1 / (1 + np.exp(-np.clip(total, -35, 35)))
 
 
-def score(docs: DataFrame, model: tuple[float, np.ndarray, np.ndarray]) -> DataFrame:
-    """``docs`` (its columns must hold text) with ``score`` (0 to 1) and ``predicted`` (1 if score >= 0.5)."""
+def score(docs: DataFrame, model: tuple[float, np.ndarray, np.ndarray], score: str = "score", predicted: str = "predicted") -> DataFrame:
+    """``docs`` (its columns must hold text) with a score (0 to 1) and a prediction (1 if score >= 0.5) under the given names."""
     bias, at, weights = model
     shared = docs.sparkSession.sparkContext.broadcast((bias, at, weights))
     names = docs.columns
@@ -136,6 +136,6 @@ def score(docs: DataFrame, model: tuple[float, np.ndarray, np.ndarray]) -> DataF
             data, offsets = column_bytes(b.column("text"))
             s = [score_block(data, offsets[i : j + 1], b0, active, weight) for i, j in blocks(offsets)]
             s = np.concatenate(s) if s else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32))], [*names, "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32))], [*names, score, predicted])
 
-    return docs.mapInArrow(run, extended(docs, score="double", predicted="int"))
+    return docs.mapInArrow(run, extended(docs, **{score: "double", predicted: "int"}))

@@ -24,8 +24,8 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents with a toxicity score of 0.5 or more; the classifier learns from the stage's labelled documents."""
     importable(spark)
-    scored = toxicity.score(docs, queries.toxicity_model(spark, docs, sf_dir))
-    return scored.where("predicted = 0").select(*docs.columns)
+    scored = toxicity.score(docs, queries.toxicity_model(spark, docs, sf_dir), "_toxic_score", "_toxic")
+    return scored.where("_toxic = 0").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,10 +50,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as many times as the mix takes it."""
     importable(spark)
-    taken = queries.mixed(docs).where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("copies"))
+    taken = queries.mixed(docs).where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("_copies"))
     taken = stage_table(taken, "pipeline-mix")
     rows = docs.join(jaccard.small(taken, taken.count()), "doc_id")
-    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*docs.columns)
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*docs.columns)
 
 
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
