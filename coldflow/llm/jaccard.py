@@ -16,8 +16,9 @@ A document's set holds the 64-bit hashes of its distinct five-word shingles
    to its leaders before each shuffle.
 4. The token-group matrix holds (token, group) for classes that have at least
    r tokens in other groups (again an exact necessary condition; most groups
-   drop out).  For each such query class the rarest floor(n / 4) + 1 tokens
-   name the groups that could hold a partner; a group is opened only if its
+   drop out).  Of each such query class's rarest tokens (a prefix of n / 4 and
+   n / 16 more) a group that holds a partner must hold a number that follows
+   from the sizes; a group that passes is opened only if its
    token union holds at least r of the query's tokens; members of opened
    groups are verified one by one.
 5. Groups joined by links are merged; the component id is the smallest
@@ -48,6 +49,7 @@ from coldflow.session import stage_table
 SHINGLE = 5
 ROUNDS = 3
 LEADERS = 64
+OPENED = 256
 BROADCAST_ROWS = 1_000_000
 _KEYS = [U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9)]
 
@@ -156,11 +158,11 @@ def cluster(sid: np.ndarray, rep: np.ndarray, tokens: np.ndarray, n: np.ndarray,
             rest = rest[~np.isin(rest, linked)] if len(linked) else rest
 
 
-_LINKED = "sid long, rep long, n long, tokens binary, keys array<long>, parent_sid long, parent_rep long"
+_LINKED = "sid long, rep long, n long, keys array<long>, parent_sid long, parent_rep long"
 
 
-def _cluster_rows(rounds: list[int]):
-    """Cluster each Arrow batch by the given min-hash keys; tokens and keys stay with the leaders only."""
+def _cluster_rows(rounds: list[int], moved_only: bool):
+    """Cluster each Arrow batch by the given min-hash keys; keys stay with the leaders only."""
 
     def run(batches):
         for b in batches:
@@ -174,19 +176,11 @@ def _cluster_rows(rounds: list[int]):
             for r in rounds:
                 cluster(sid, rep, tokens, n, keys[:, r], parent)
             lead = parent == np.arange(len(sid))
-            raw = b.column("tokens").to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    b.column("sid"),
-                    b.column("rep"),
-                    b.column("n"),
-                    pa.array([t if x else None for t, x in zip(raw, lead, strict=True)], pa.binary()),
-                    pa.array([k.tolist() if x else None for k, x in zip(keys, lead, strict=True)], pa.list_(pa.int64())),
-                    pa.array(_root(sid, parent)),
-                    pa.array(_root(rep, parent)),
-                ],
-                ["sid", "rep", "n", "tokens", "keys", "parent_sid", "parent_rep"],
+            out = pa.RecordBatch.from_arrays(
+                [b.column("sid"), b.column("rep"), b.column("n"), pa.array([k.tolist() if x else None for k, x in zip(keys, lead, strict=True)], pa.list_(pa.int64())), pa.array(_root(sid, parent)), pa.array(_root(rep, parent))],
+                ["sid", "rep", "n", "keys", "parent_sid", "parent_rep"],
             )
+            yield out.filter(pa.array(~lead)) if moved_only else out
 
     return run
 
@@ -204,16 +198,25 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def groups(sets: DataFrame) -> DataFrame:
-    """(sid, rep, n, g) for staged sets (sid, rep, n, tokens): g = struct(rep, sid) of the group's leader."""
-    level = stage_table(sets.mapInArrow(_cluster_rows(list(range(ROUNDS))), _LINKED), "jaccard-groups")
-    labels = level.select("sid", "rep", "n", F.struct(F.col("parent_rep").alias("rep"), F.col("parent_sid").alias("sid")).alias("g")).distinct()
+def groups(sets: DataFrame, n_sets: int) -> DataFrame:
+    """(sid, rep, n, g) for staged sets (sid, rep, n, tokens): g = struct(rep, sid) of the group's leader.
+
+    After the first level (inside Arrow batches) only leaders whose min-hash
+    another leader has too are brought together, by that key.
+    """
+    level = stage_table(sets.mapInArrow(_cluster_rows(list(range(ROUNDS)), False), _LINKED), "jaccard-groups")
+    labels = level.select("sid", "rep", "n", F.struct(F.col("parent_rep").alias("rep"), F.col("parent_sid").alias("sid")).alias("g")).dropDuplicates(["sid"])
+    leaders = level.where("sid = parent_sid").select("sid", "keys").dropDuplicates(["sid"])
     for r in range(ROUNDS):
-        leaders = level.where("sid = parent_sid").select("sid", "rep", "n", "tokens", F.col("keys")[r].alias("key"))
-        level = stage_table(leaders.repartition("key").sortWithinPartitions("key").drop("key").mapInArrow(_cluster_rows([r]), _LINKED), "jaccard-groups")
-        moved = level.where("sid <> parent_sid").select(F.col("sid").alias("from_sid"), F.struct(F.col("parent_rep").alias("rep"), F.col("parent_sid").alias("sid")).alias("to")).dropDuplicates(["from_sid"])
+        keyed = leaders.select("sid", F.col("keys")[r].alias("key"))
+        meets = keyed.groupBy("key").count().where("count > 1").select("key")
+        called = stage_table(keyed.join(meets, "key"), "jaccard-called")
+        together = sets.join(small(called, n_sets), "sid").repartition("key").sortWithinPartitions("key")
+        moved = together.select("sid", "rep", "n", "tokens").mapInArrow(_cluster_rows([r], True), _LINKED)
+        moved = stage_table(moved.select(F.col("sid").alias("from_sid"), F.struct(F.col("parent_rep").alias("rep"), F.col("parent_sid").alias("sid")).alias("to")).dropDuplicates(["from_sid"]), "jaccard-moved")
         labels = labels.join(moved, F.col("g.sid") == F.col("from_sid"), "left").select("sid", "rep", "n", F.coalesce("to", "g").alias("g"))
-    return stage_table(labels.dropDuplicates(["sid"]), "jaccard-labels")
+        leaders = leaders.join(moved, F.col("sid") == F.col("from_sid"), "left_anti")
+    return stage_table(labels, "jaccard-labels")
 
 
 def _grouped_sets(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -224,37 +227,79 @@ def _grouped_sets(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return sid, b.column("owner").to_numpy()[first], np.concatenate(values) if values else tokens, np.repeat(np.arange(len(first)), n[first])
 
 
-def _verify_pairs(batches):
-    for b in batches:
-        keep = [k for k, (x, y) in enumerate(zip(b.column("q_tokens").to_pylist(), b.column("x_tokens").to_pylist(), strict=True)) if links_to(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), np.array([len(y) // 8]))[0]]
-        yield b.select(["qg", "xg"]).take(pa.array(keep, pa.int64()))
-
-
 def cross_links(sets: DataFrame, labels: DataFrame, n_sets: int, n_tokens: int) -> DataFrame:
     """(qg, xg): pairs of groups that hold linked classes, by the token-group matrix."""
-    owner = small(labels.select("sid", "g", F.xxhash64("g").alias("owner")), n_sets)
-    owned = sets.join(owner, "sid")
-    counted = shared_counts(owned.select("sid", "owner", "tokens"), _grouped_sets, n_tokens)
-    near = owned.join(small(counted.withColumnRenamed("set", "sid"), n_sets), "sid").where(F.col("shared") >= F.ceil(F.col("n") * 0.75))
-    near = stage_table(near.dropDuplicates(["sid"]).select("sid", "n", "g", "tokens").mapInArrow(_with_token_list, "sid long, n long, g struct<rep: long, sid: long>, tokens binary, list array<long>"), "jaccard-near")
-    cells = stage_table(near.select("sid", "n", "g", F.explode("list").alias("token")), "jaccard-cells")
-    matrix = stage_table(cells.select("token", F.col("g").alias("xg")).distinct(), "jaccard-matrix")
-    df = matrix.groupBy("token").agg(F.count("*").alias("df"))
-    ranked = cells.join(df, "token").withColumn("r", F.row_number().over(Window.partitionBy("sid").orderBy("df", "token"))).where("df > 1 AND r <= floor(n / 4) + 1")
-    reached = ranked.join(matrix, "token").where("g <> xg").select("sid", "n", "g", "xg").distinct()
-    # the bound: tokens of the query in the group's union
-    bound = reached.select("sid", "xg").join(cells.select("sid", "token", "n", "g"), "sid").join(matrix, ["token", "xg"]).groupBy("sid", "n", "g", "xg").count().where(F.col("count") >= F.ceil(F.col("n") * 0.75))
-    opened = bound.join(near.select(F.col("g").alias("xg"), F.col("sid").alias("x"), F.col("n").alias("xn")), "xg").where("4 * n >= 3 * xn AND 4 * xn >= 3 * n").select("sid", "x", F.col("g").alias("qg"), "xg")
-    pairs = opened.join(near.select("sid", F.col("tokens").alias("q_tokens")), "sid").join(near.select(F.col("sid").alias("x"), F.col("tokens").alias("x_tokens")), "x")
+    near = stage_table(labels.select("sid", "n", "g", F.xxhash64("g").alias("owner")), "jaccard-owners")
+    # rule out what shares too little with other groups, until that rules out little more
+    left = n_sets
+    while left:
+        owned = sets.join(small(near.select("sid", "owner"), left), "sid").select("sid", "owner", "tokens")
+        counted = shared_counts(owned, _grouped_sets, n_tokens)
+        near = stage_table(near.join(counted.withColumnRenamed("set", "sid"), "sid").where(F.col("shared") >= F.ceil(F.col("n") * 0.75)).drop("shared"), "jaccard-near")
+        before, (left, n_tokens) = left, near.select(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+        if left > 0.8 * before:
+            break
+    token_rows = sets.join(small(near, left), "sid").select("sid", "owner", "tokens").dropDuplicates(["sid"]).mapInArrow(_token_rows, "sid long, owner long, token long")
+    cells = stage_table(token_rows, "jaccard-cells")
+    matrix = stage_table(cells.select("token", "owner").distinct(), "jaccard-matrix")
+    often = matrix.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    # a token that only one group holds is among the rarest of its class; the others follow by frequency
+    held = cells.join(often, "token")
+    per = Window.partitionBy("sid")
+    ranked = held.withColumn("r", F.row_number().over(per.orderBy("df", "token"))).withColumn("held", F.count("*").over(per)).join(near.select("sid", "n"), "sid")
+    # a partner x in group G shares at least 3 / 7 (n + |x|) tokens, |x| >= max(0.75 n, smallest set of G); so many of the
+    # rarest floor(n / 4) + ceil(n / 16) tokens must be in G's union
+    first = F.floor(F.col("n") / 4) + F.ceil(F.col("n") / 16)
+    probes = ranked.where(F.col("r") <= first - (F.col("n") - F.col("held"))).select("sid", "owner", "token", "n")
+    groups_of = near.groupBy(F.col("owner").alias("other")).agg(F.min("n").alias("lo"))
+    shared = probes.join(matrix.select("token", F.col("owner").alias("other")), "token").where("owner <> other").groupBy("sid", "owner", "other", "n").agg(F.count("*").alias("hits"))
+    need = F.ceil(3 * (F.col("n") + F.greatest("lo", F.ceil(F.col("n") * 0.75))) / 7)
+    reached = stage_table(shared.join(groups_of, "other").where(F.col("hits") >= F.greatest(F.lit(1), first - F.col("n") + need)).select("sid", "owner", "other"), "jaccard-reached")
+    # open them: groups that are reached together meet in one place, OPENED groups at a time
+    label = reached.groupBy("other").agg(F.least("other", F.min("owner")).alias("label"))
+    chunks = label.groupBy("label").agg(F.ceil(F.count("*") / OPENED).alias("chunks"))
+    placed = stage_table(label.join(chunks, "label").select("other", "label", F.pmod(F.xxhash64("other"), F.col("chunks")).alias("chunk")), "jaccard-placed")
+    members = near.select("sid", "g", F.col("owner").alias("other")).join(placed, "other")
+    members = stage_table(members.select("sid", "g", "other", "label", "chunk"), "jaccard-members")
+    asking = reached.join(placed, "other").groupBy("sid", "label", "chunk").agg(F.collect_list("other").alias("others")).join(near.select("sid", "g"), "sid")
+    asking = stage_table(asking.select("sid", "g", "others", "label", "chunk"), "jaccard-asking")
+    tokens = sets.select("sid", "tokens")
+    left = tokens.join(small(members, left), "sid").groupBy("label", "chunk")
+    asked = sets.select(F.col("sid").alias("q"), F.col("tokens").alias("own")).join(small(asking, asking.count()), F.col("q") == F.col("sid"))
+    right = asked.select("label", "chunk", "g", "others", "own").groupBy("label", "chunk")
     struct = "struct<rep: long, sid: long>"
-    return stage_table(pairs.select("qg", "xg", "q_tokens", "x_tokens").mapInArrow(_verify_pairs, f"qg {struct}, xg {struct}").distinct(), "jaccard-links")
+    return stage_table(left.cogroup(right).applyInArrow(_opened, f"qg {struct}, xg {struct}").distinct(), "jaccard-links")
+
+
+def _opened(left, right):
+    """Linked pairs between asking classes (right) and the members of the groups (left) that pass the union bound."""
+    member_tokens, member_n = _tokens(left.combine_chunks().to_batches()[0]) if left.num_rows else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    end = np.cumsum(member_n)
+    rows: dict[int, list[int]] = {}
+    for k, other in enumerate(left.column("other").to_pylist()):
+        rows.setdefault(other, []).append(k)
+    mine, theirs = [], []
+    for q, raw in enumerate(right.column("own").to_pylist()):
+        own = np.frombuffer(raw, "<u8")
+        for other in right.column("others")[q].as_py():
+            at = np.array(rows.get(other, []), np.int64)
+            if not len(at):
+                continue
+            values = np.concatenate([member_tokens[end[k] - member_n[k] : end[k]] for k in at])
+            union = values if len(at) == 1 else np.unique(values)
+            if np.isin(own, union, assume_unique=True).sum() < required(len(own)):
+                continue
+            linked = at[links_to(own, values, member_n[at])]
+            mine += [q] * len(linked)
+            theirs += linked.tolist()
+    return pa.table({"qg": right.column("g").combine_chunks().take(pa.array(mine, pa.int64())), "xg": left.column("g").combine_chunks().take(pa.array(theirs, pa.int64()))})
 
 
-def _with_token_list(batches):
+def _token_rows(batches):
     for b in batches:
         tokens, n = _tokens(b)
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(tokens.view(np.int64)))
-        yield pa.RecordBatch.from_arrays([*b.columns, lists], ["sid", "n", "g", "tokens", "list"])
+        of = pa.array(np.repeat(np.arange(len(n)), n))
+        yield pa.RecordBatch.from_arrays([b.column("sid").take(of), b.column("owner").take(of), pa.array(tokens.view(np.int64))], ["sid", "owner", "token"])
 
 
 def merged(links: DataFrame) -> DataFrame | None:
@@ -287,7 +332,7 @@ def components(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     n_sets, n_tokens = possible.select(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     mine = possible.select("sid", F.col("rep").alias("doc_id"))
     sets = stage_table(texts.join(small(mine, n_sets), "doc_id").select("doc_id", "sid", "text").mapInArrow(_set_rows, "sid long, rep long, n long, tokens binary"), "jaccard-sets")
-    labels = groups(sets)
+    labels = groups(sets, n_sets)
     roots = merged(cross_links(sets, labels, n_sets, n_tokens))
     if roots is not None:
         labels = labels.join(roots, "g", "left").withColumn("g", F.coalesce("root", "g"))
