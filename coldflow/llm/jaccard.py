@@ -14,13 +14,13 @@ A document's set holds the 64-bit hashes of its distinct five-word shingles
    Arrow batch, then across the cluster on the group leaders that are left.
    Members of a group are *verified* links to its leader.  A hot block shrinks
    to its leaders before each shuffle.
-4. The token-group matrix holds (token, group) for classes that have at least
-   r tokens in other groups (again an exact necessary condition; most groups
-   drop out).  Of each such query class's rarest tokens (a prefix of n / 4 and
-   n / 16 more) a group that holds a partner must hold a number that follows
-   from the sizes; a group that passes is opened only if its
-   token union holds at least r of the query's tokens; members of opened
-   groups are verified one by one.
+4. Classes that have at least r tokens in other groups (again an exact
+   necessary condition; most drop out) are partitioned into parts of similar
+   ones, and the token-group matrix holds (token, part), the parts' unions.
+   Of a query class's rarest tokens (floor(n / 4) + ceil(n / 16)) a part that
+   holds a partner must hold a number that follows from the sizes; a part that
+   passes is opened, and in it only queries with r tokens in the union are
+   compared with its members.
 5. Groups joined by links are merged; the component id is the smallest
    document id.
 
@@ -241,57 +241,58 @@ def cross_links(sets: DataFrame, labels: DataFrame, n_sets: int, n_tokens: int)
             break
     token_rows = sets.join(small(near, left), "sid").select("sid", "owner", "tokens").dropDuplicates(["sid"]).mapInArrow(_token_rows, "sid long, owner long, token long")
     cells = stage_table(token_rows, "jaccard-cells")
-    matrix = stage_table(cells.select("token", "owner").distinct(), "jaccard-matrix")
-    often = matrix.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    # a token that only one group holds is among the rarest of its class; the others follow by frequency
+    often = stage_table(cells.select("token", "owner").distinct().groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "jaccard-often")
     held = cells.join(often, "token")
-    per = Window.partitionBy("sid")
-    ranked = held.withColumn("r", F.row_number().over(per.orderBy("df", "token"))).withColumn("held", F.count("*").over(per)).join(near.select("sid", "n"), "sid")
-    # a partner x in group G shares at least 3 / 7 (n + |x|) tokens, |x| >= max(0.75 n, smallest set of G); so many of the
-    # rarest floor(n / 4) + ceil(n / 16) tokens must be in G's union
+    # cells of the partition: classes whose most frequent token is the same, at most about OPENED of them
+    pivot = held.groupBy("sid").agg(F.max(F.struct("df", F.col("token").alias("t"))).alias("p"), F.count("*").alias("held")).select("sid", "held", F.col("p.t").alias("pivot"))
+    parts = pivot.groupBy("pivot").agg(F.ceil(F.count("*") / OPENED).alias("parts"))
+    placed = pivot.join(parts, "pivot").select("sid", "held", F.xxhash64("pivot", F.pmod(F.xxhash64("sid"), F.col("parts"))).alias("part")).join(near, "sid")
+    placed = stage_table(placed.select("sid", "n", "held", "part", "g", "owner"), "jaccard-placed")
+    # the token-group matrix, and of each class the rarest floor(n / 4) + ceil(n / 16) tokens; those that only one
+    # group of linked classes holds come first and cannot be elsewhere
+    matrix = stage_table(held.select("sid", "token").join(placed.select("sid", "part"), "sid").select("token", "part").distinct(), "jaccard-matrix")
+    spread = matrix.groupBy("token").agg(F.count("*").alias("in_parts"))
     first = F.floor(F.col("n") / 4) + F.ceil(F.col("n") / 16)
-    probes = ranked.where(F.col("r") <= first - (F.col("n") - F.col("held"))).select("sid", "owner", "token", "n")
-    groups_of = near.groupBy(F.col("owner").alias("other")).agg(F.min("n").alias("lo"))
-    shared = probes.join(matrix.select("token", F.col("owner").alias("other")), "token").where("owner <> other").groupBy("sid", "owner", "other", "n").agg(F.count("*").alias("hits"))
+    ranked = held.join(spread, "token").withColumn("r", F.row_number().over(Window.partitionBy("sid").orderBy("in_parts", "df", "token"))).join(placed.select("sid", "n", "held", F.col("part").alias("own_part")), "sid")
+    probes = ranked.where(F.col("r") <= first - (F.col("n") - F.col("held"))).select("sid", "token", "n", "own_part")
+    # a partner x in a part shares at least 3 / 7 (n + |x|) tokens, |x| >= max(0.75 n, smallest set of the part); so
+    # many of those tokens must be in the part's union.  A class's own part is opened in any case.
+    shared = probes.join(matrix, "token").where("part <> own_part").groupBy("sid", "part", "n").agg(F.count("*").alias("hits"))
+    least = placed.groupBy("part").agg(F.min("n").alias("lo"))
     need = F.ceil(3 * (F.col("n") + F.greatest("lo", F.ceil(F.col("n") * 0.75))) / 7)
-    reached = stage_table(shared.join(groups_of, "other").where(F.col("hits") >= F.greatest(F.lit(1), first - F.col("n") + need)).select("sid", "owner", "other"), "jaccard-reached")
-    # open them: groups that are reached together meet in one place, OPENED groups at a time
-    label = reached.groupBy("other").agg(F.least("other", F.min("owner")).alias("label"))
-    chunks = label.groupBy("label").agg(F.ceil(F.count("*") / OPENED).alias("chunks"))
-    placed = stage_table(label.join(chunks, "label").select("other", "label", F.pmod(F.xxhash64("other"), F.col("chunks")).alias("chunk")), "jaccard-placed")
-    members = near.select("sid", "g", F.col("owner").alias("other")).join(placed, "other")
-    members = stage_table(members.select("sid", "g", "other", "label", "chunk"), "jaccard-members")
-    asking = reached.join(placed, "other").groupBy("sid", "label", "chunk").agg(F.collect_list("other").alias("others")).join(near.select("sid", "g"), "sid")
-    asking = stage_table(asking.select("sid", "g", "others", "label", "chunk"), "jaccard-asking")
-    tokens = sets.select("sid", "tokens")
-    left = tokens.join(small(members, left), "sid").groupBy("label", "chunk")
-    asked = sets.select(F.col("sid").alias("q"), F.col("tokens").alias("own")).join(small(asking, asking.count()), F.col("q") == F.col("sid"))
-    right = asked.select("label", "chunk", "g", "others", "own").groupBy("label", "chunk")
+    reached = shared.join(least, "part").where(F.col("hits") >= F.greatest(F.lit(1), first - F.col("n") + need)).select("sid", "part")
+    reached = stage_table(reached.union(placed.select("sid", "part")).join(placed.select("sid", "g", "owner"), "sid"), "jaccard-reached")
+    left = sets.select("sid", "tokens").join(small(placed.select("sid", "part", "g", "owner"), left), "sid").groupBy("part")
+    asked = sets.select(F.col("sid").alias("q"), F.col("tokens").alias("own")).join(small(reached, reached.count()), F.col("q") == F.col("sid"))
+    right = asked.select("part", "g", "owner", "own").groupBy("part")
     struct = "struct<rep: long, sid: long>"
     return stage_table(left.cogroup(right).applyInArrow(_opened, f"qg {struct}, xg {struct}").distinct(), "jaccard-links")
 
 
 def _opened(left, right):
-    """Linked pairs between asking classes (right) and the members of the groups (left) that pass the union bound."""
-    member_tokens, member_n = _tokens(left.combine_chunks().to_batches()[0]) if left.num_rows else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    end = np.cumsum(member_n)
-    rows: dict[int, list[int]] = {}
-    for k, other in enumerate(left.column("other").to_pylist()):
-        rows.setdefault(other, []).append(k)
+    """Linked pairs of asking classes (right) and members of one part (left) that are not in one group yet."""
+    empty = pa.Table.from_pydict({"qg": left.column("g").slice(0, 0), "xg": left.column("g").slice(0, 0)})
+    if not left.num_rows or not right.num_rows:
+        return empty
+    tokens, n = _tokens(pa.RecordBatch.from_arrays([left.column("tokens").combine_chunks()], ["tokens"]))
+    member = np.repeat(np.arange(len(n)), n)
+    order = np.argsort(tokens, kind="stable")
+    tokens, member = tokens[order], member[order]
+    owner = left.column("owner").to_numpy()
     mine, theirs = [], []
-    for q, raw in enumerate(right.column("own").to_pylist()):
+    for q, (raw, own_owner) in enumerate(zip(right.column("own").to_pylist(), right.column("owner").to_pylist(), strict=True)):
         own = np.frombuffer(raw, "<u8")
-        for other in right.column("others")[q].as_py():
-            at = np.array(rows.get(other, []), np.int64)
-            if not len(at):
-                continue
-            values = np.concatenate([member_tokens[end[k] - member_n[k] : end[k]] for k in at])
-            union = values if len(at) == 1 else np.unique(values)
-            if np.isin(own, union, assume_unique=True).sum() < required(len(own)):
-                continue
-            linked = at[links_to(own, values, member_n[at])]
-            mine += [q] * len(linked)
-            theirs += linked.tolist()
+        a, z = np.searchsorted(tokens, own), np.searchsorted(tokens, own, side="right")
+        if (z > a).sum() < required(len(own)):  # the bound: tokens of the query in the part's union
+            continue
+        count = z - a
+        at = np.arange(count.sum()) + np.repeat(a - (np.cumsum(count) - count), count)
+        both = np.bincount(member[at], minlength=len(n))
+        linked = np.flatnonzero((100 * both >= 75 * (len(own) + n - both)) & (owner != own_owner))
+        mine += [q] * len(linked)
+        theirs += linked.tolist()
+    if not mine:
+        return empty
     return pa.table({"qg": right.column("g").combine_chunks().take(pa.array(mine, pa.int64())), "xg": left.column("g").combine_chunks().take(pa.array(theirs, pa.int64()))})
 
 
