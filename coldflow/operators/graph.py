@@ -145,7 +145,7 @@ def age_threshold(today: dt.date, days: int = EDGE_AGE_DAYS) -> int:
 def expire_likes(nodes: DataFrame, edges: DataFrame, today: dt.date, days: int = EDGE_AGE_DAYS) -> DataFrame:
     """K7: outgoing LIKE edges of users with ``expired`` = last_time < threshold (strict; NULL time is kept)."""
     thr = age_threshold(today, days)
-    u = users(nodes).select(F.col("id").alias("src"))
+    u = label_scan(nodes, "USER").select(F.col("id").alias("src"))
     likes = edges.where(F.col("type") == "LIKE").join(u, "src")
     expired = F.coalesce(F.col("last_time") < F.lit(thr), F.lit(False))
     return likes.select("src", "dst", "frequency", "last_time", expired.alias("expired"))
@@ -158,11 +158,13 @@ def expire_users(nodes: DataFrame, edges: DataFrame, today: dt.date, days: int =
     had one.  If some other relationship still touches the node, a graph
     store would refuse the delete: such users are kept and reported as blocked.
     """
-    u = users(nodes)
+    u = label_scan(nodes, "USER").select("id", "uid")
     kept = expire_likes(nodes, edges, today, days).where(~F.col("expired")).select(F.col("src").alias("id")).distinct()
     candidates = u.join(kept, "id", "left_anti")
     other = edges.where(F.col("type") != "LIKE")
-    incoming_like = edges.where(F.col("type") == "LIKE").select(F.col("dst").alias("id"))
+    # a LIKE that expires in this run no longer holds its end
+    gone = expire_likes(nodes, edges, today, days).where("expired").select("src", "dst").distinct()
+    incoming_like = edges.where(F.col("type") == "LIKE").join(gone, ["src", "dst"], "left_anti").select(F.col("dst").alias("id"))
     touching = (
         other.select(F.col("src").alias("id"))
         .unionByName(other.select(F.col("dst").alias("id")))

@@ -144,6 +144,9 @@ def cell_lookup(requests: DataFrame, latest: DataFrame) -> DataFrame:
     return requests.join(latest.drop("version"), ["row_key", "family", "qualifier"], "left")
 
 
+SALTS = 32
+
+
 def row_uid(row_key: Column) -> Column:
     """Leading ``uid`` of a ``uid~algorithm~docid`` row key (the bucketing / join key)."""
     return F.split(row_key, "~", 2).getItem(0)
@@ -154,7 +157,8 @@ def prefix_newest(requests: DataFrame, latest: DataFrame, stage=None) -> tuple[D
 
     Only rows carrying the cell count.  With more rows than ``limit`` the
     top ``limit`` by numeric value (desc, then row key) are kept; limit 0 ->
-    nothing, negative -> all.  Values that are no number are rejected.
+    nothing, negative -> all.  Each request gets its own rows, told apart by
+    ``limit``.  Values that are no number are rejected.
 
     The byte range is kept as a predicate (a row key whose next byte after
     ``uid~`` is '~' or above - e.g. any non-ASCII algorithm - is outside), and
@@ -162,25 +166,23 @@ def prefix_newest(requests: DataFrame, latest: DataFrame, stage=None) -> tuple[D
     ``stage(df, name)`` materializes the candidates, which three branches read.
     """
     stage = stage or (lambda df, name: df)
-    cand = latest.select(
-        row_uid(F.col("row_key")).alias("uid"), "row_key", "family", "qualifier", "value"
-    ).join(requests, ["uid", "family", "qualifier"])
+    key = ["uid", "family", "qualifier"]
+    asked = requests.select(*key, "limit").distinct()
+    cand = latest.select(row_uid(F.col("row_key")).alias("uid"), "row_key", "family", "qualifier", "value").join(
+        asked.groupBy(*key).agg(F.max("limit").alias("top")), key
+    )
     lo = F.concat(F.col("uid"), F.lit("~"))
     hi = F.concat(F.col("uid"), F.lit("~~"))
     cand = cand.where((F.col("row_key") >= lo) & (F.col("row_key") < hi))
     cand = stage(cand.withColumn("score", F.expr("try_cast(value AS DOUBLE)")), "prefix-candidates")
-    rejects = cand.where(F.col("score").isNull()).withColumn("reason", F.lit("not_a_number"))
+    rejects = cand.where(F.col("score").isNull()).drop("top").withColumn("reason", F.lit("not_a_number"))
     ok = cand.where(F.col("score").isNotNull())
-    out_cols = ["uid", "row_key", "score"]
-    # Negative limit: every row, no ranking needed.
-    everything = ok.where(F.col("limit") < 0).select(*out_cols)
-    # Positive limits: rank with a literal bound (the largest limit asked) so
-    # Spark plans a WindowGroupLimit before the shuffle - a user holding a
-    # third of all rows ships at most that many rows per map task.
-    top = requests.agg(F.max("limit").alias("m")).collect()[0]["m"]
-    if top is None or top <= 0:
-        return everything, rejects
-    w = Window.partitionBy("uid", "family", "qualifier").orderBy(F.col("score").desc(), F.col("row_key").asc())
-    ranked = ok.where(F.col("limit") > 0).withColumn("rank", F.row_number().over(w))
-    ranked = ranked.where(F.col("rank") <= F.lit(int(top))).where(F.col("rank") <= F.col("limit"))
-    return everything.unionByName(ranked.select(*out_cols)), rejects
+    out = ["uid", "row_key", "score", "limit"]
+    everything = ok.join(asked.where(F.col("limit") < 0), key).select(*out)
+    # The best rows of each of SALTS shares of a key first, so no task ranks all rows of a user.
+    newest = [F.col("score").desc(), F.col("row_key").asc()]
+    share = Window.partitionBy(*key, "salt").orderBy(*newest)
+    kept = ok.withColumn("salt", F.pmod(F.xxhash64("row_key"), F.lit(SALTS))).withColumn("rank", F.row_number().over(share))
+    kept = kept.where(F.col("rank") <= F.col("top")).withColumn("rank", F.row_number().over(Window.partitionBy(*key).orderBy(*newest)))
+    ranked = kept.join(asked.where(F.col("limit") > 0), key).where(F.col("rank") <= F.col("limit"))
+    return everything.unionByName(ranked.select(*out)), rejects

@@ -24,7 +24,7 @@ Scale notes
 * Query texts are de-duplicated before matching and joined back afterwards.
 * Hot terms (a term in a third of the catalogue) are salted in proportion to
   their size: a term with ``df`` postings gets ``ceil(df / postings_per_task)``
-  salts (at most ``max_salts``); its postings carry ``salt = hash(doc) % n``
+  salts; its postings carry ``salt = hash(doc) % n``
   and only that term's query rows are replicated n times, so one term's
   postings spread over n tasks while cold terms are not replicated at all.
   No posting is ever dropped.
@@ -51,8 +51,6 @@ K1 = 1.2
 B = 0.75
 SCORE_DIGITS = 6
 POSTINGS_PER_TASK = 2_000_000
-MAX_SALTS = 512
-HOT_DF = 100_000
 PRUNE_MARGIN = 1e-6
 
 
@@ -67,13 +65,6 @@ class TextIndex:
     n_docs: int
     avgdl: float
 
-    @property
-    def max_df(self) -> int:
-        """Largest posting list (computed once per index, one collected number)."""
-        if "_max_df" not in self.__dict__:
-            self.__dict__["_max_df"] = int(self.doc_freq.agg(F.max("df")).collect()[0][0] or 0)
-        return self.__dict__["_max_df"]
-
 
 def build_index(
     docs: DataFrame,
@@ -81,13 +72,12 @@ def build_index(
     text_col: str,
     payload: Sequence[str] = (),
     postings_per_task: int = POSTINGS_PER_TASK,
-    max_salts: int = MAX_SALTS,
     k1: float = K1,
     b: float = B,
 ) -> TextIndex:
     """Tokenize ``text_col`` and build the weighted, salted posting table."""
     toks = spread(docs.select(id_col, *payload, text_col)).select(id_col, *payload, analyze(F.col(text_col)).alias("toks"))
-    return index_tokens(toks, id_col, payload, postings_per_task, max_salts, k1, b)
+    return index_tokens(toks, id_col, payload, postings_per_task, k1, b)
 
 
 def index_tokens(
@@ -95,7 +85,6 @@ def index_tokens(
     id_col: str,
     payload: Sequence[str] = (),
     postings_per_task: int = POSTINGS_PER_TASK,
-    max_salts: int = MAX_SALTS,
     k1: float = K1,
     b: float = B,
 ) -> TextIndex:
@@ -108,7 +97,7 @@ def index_tokens(
         .groupBy("term", id_col, *payload, "dl")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    n_salts = F.least(F.lit(max_salts), F.ceil(F.col("df") / F.lit(float(postings_per_task)))).cast("int")
+    n_salts = F.ceil(F.col("df") / F.lit(float(postings_per_task))).cast("int")
     doc_freq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("salts", n_salts)
     idf = F.log(F.lit(1.0) + (F.lit(float(n_docs)) - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)))
     norm = F.col("tf") + F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl or 1.0))
@@ -243,15 +232,12 @@ def top_k(scored: DataFrame, group: Sequence[str], id_col: str, k: int, rank_col
     return scored.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
 
 
-def match(queries: DataFrame, text_col: str, index: TextIndex, k: int, prune: str | bool = "auto") -> DataFrame:
+def match(queries: DataFrame, text_col: str, index: TextIndex, k: int, prune: bool = True) -> DataFrame:
     """Top-k docs per distinct query text (text, id, payload..., score, rank).
 
-    ``prune``: True -> MaxScore candidates; False -> the direct term join;
-    "auto" -> pruned when the index holds a hot term (a posting list longer
-    than ``HOT_DF``), direct otherwise.  Both give the same rows.
+    Candidates are always pruned by MaxScore, whatever the size; ``prune=False``
+    is the direct term join that tests compare with.  Both give the same rows.
     """
-    if prune == "auto":
-        prune = index.max_df > HOT_DF
     scored = score_candidates_pruned(queries, text_col, index, k) if prune else score_queries(queries, text_col, index)
     return top_k(scored, [text_col], index.id_col, k)
 

@@ -128,10 +128,11 @@ def decode_channels(texts: DataFrame, value_col: str = "value", carry: Sequence[
     """``a:1~b:2`` -> rows (carry..., channel, value); an item without value rejects the record.
 
     Java split semantics: trailing empty parts are dropped before use.  A
-    repeated channel keeps its last value.
+    repeated channel keeps its last value; separators alone are an empty map.
     """
     body = F.regexp_replace(F.col(value_col), "~+$", "")
-    items = F.transform(F.split(body, "~", -1), lambda it: F.split(F.regexp_replace(it, ":+$", ""), ":", -1))
+    parts = F.when(F.col(value_col).rlike("^~+$"), F.array().cast("array<string>")).otherwise(F.split(body, "~", -1))
+    items = F.transform(parts, lambda it: F.split(F.regexp_replace(it, ":+$", ""), ":", -1))
     bad = F.exists(items, lambda p: F.size(p) < 2) | F.col(value_col).isNull()
     parsed = texts.select(*carry, items.alias("items"), bad.alias("_bad"))
     rejects = parsed.where("_bad").select(*carry, F.lit("missing_value").alias("reason"))

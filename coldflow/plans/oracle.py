@@ -283,7 +283,7 @@ def keyed_queries() -> dict[str, str]:
             "SELECT r.request_id, r.row_key, r.family, r.qualifier, c.value "
             "FROM creq r LEFT JOIN cells_latest c USING (row_key, family, qualifier)"
         ),
-        "prefix_newest": w("SELECT uid, row_key, score FROM pranked WHERE lim < 0 OR rk <= lim"),
+        "prefix_newest": w('SELECT uid, row_key, score, lim AS "limit" FROM pranked WHERE lim < 0 OR rk <= lim'),
     }
 
 
@@ -300,12 +300,11 @@ likes AS (
          max(CASE WHEN o.o_orderkey % 17 = 0 THEN NULL
                   ELSE CAST(strftime(o.o_orderdate, '%Y%m%d%H%M%S') AS BIGINT) END) AS last_time
   FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
-  WHERE o.o_custkey % 29 <> 0
   GROUP BY o.o_custkey, l.l_partkey),
 acts AS (
   SELECT DISTINCT 'c:' || l_suppkey AS src, 'm:' || l_partkey AS dst, 'ACT' AS type,
          CAST(NULL AS INTEGER) AS frequency, CAST(NULL AS BIGINT) AS last_time
-  FROM lineitem WHERE l_suppkey % 5 = 0),
+  FROM lineitem),
 edges AS (SELECT * FROM likes UNION ALL SELECT * FROM acts),
 gusers AS (SELECT id, uid FROM nodes WHERE label = 'USER' AND uid IS NOT NULL),
 ulike AS (SELECT src AS a, dst AS b FROM edges WHERE type = 'LIKE' UNION ALL SELECT dst, src FROM edges WHERE type = 'LIKE'),

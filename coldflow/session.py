@@ -52,7 +52,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
     Reads ``spark.checkpoint.dir``; only when it is unset (local tests) a
-    fresh scratch folder is created and registered.
+    fresh scratch folder is created and registered; a master that is not local
+    without that setting is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
@@ -62,6 +63,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
             current = None
     if current:
         return current
+    master = spark.conf.get("spark.master", "local")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="coldflow-ckpt-", dir=os.environ.get("COLDFLOW_SCRATCH", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     try:

@@ -210,10 +210,10 @@ def edges(t: Tables) -> DataFrame:
     """(src, dst, type, frequency, last_time BIGINT yyyyMMddHHmmss).
 
     LIKE: customer -> part over orders x lineitem (count, newest order time;
-    every 17th order has no time); customers with key % 29 = 0 like nothing.
-    ACT: supplier -> part for suppliers with key % 5 = 0.
+    every 17th order has no time); customers without orders like nothing.
+    ACT: supplier -> part for every pair in lineitem.
     """
-    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate").where(F.col("o_custkey") % 29 != 0)
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey")
     lt = F.when(_m("o_orderkey", 17) == 0, F.lit(None)).otherwise(
         F.date_format("o_orderdate", "yyyyMMddHHmmss").cast("bigint")
@@ -231,8 +231,7 @@ def edges(t: Tables) -> DataFrame:
         )
     )
     acts = (
-        li.where(F.col("l_suppkey") % 5 == 0)
-        .select("l_suppkey", "l_partkey")
+        li.select("l_suppkey", "l_partkey")
         .distinct()
         .select(
             F.concat(F.lit("c:"), F.col("l_suppkey").cast("string")).alias("src"),

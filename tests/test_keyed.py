@@ -54,6 +54,15 @@ def test_prefix_read(spark):
     assert run(-1) == ["u~a~1", "u~b~2"]
 
 
+def test_prefix_requests_get_rows_of_their_own(spark):
+    cells = spark.createDataFrame([("u~a~1", "3"), ("u~b~2", "9"), ("u~c~3", "7")], "row_key string, value string").select(
+        "row_key", F.lit("cf").alias("family"), F.lit("s").alias("qualifier"), "value", F.lit(1).alias("version")
+    )
+    req = spark.createDataFrame([("u", "cf", "s", n) for n in (1, 2)], "uid string, family string, qualifier string, limit int")
+    out, _ = keyed.prefix_newest(req, cells)
+    assert sorted((r["limit"], r["row_key"]) for r in out.collect()) == [(1, "u~b~2"), (2, "u~b~2"), (2, "u~c~3")]
+
+
 def test_hash_replace_with_ttl(spark):
     t0 = dt.datetime(2024, 1, 1)
     writes = spark.createDataFrame(
