@@ -136,7 +136,7 @@ def make_shard(units: pa.Table, postings: pa.Table, threshold: float = THRESHOLD
     order = np.lexsort((unit, term))
     term, unit, impact = term[order], unit[order], impact[order]
     terms, first = np.unique(term, return_index=True)
-    last = np.append(first[1:], len(term))
+    last = np.append(first[1:], len(term))[: len(first)]
     lists = []
     for a, z in zip(first.tolist(), last.tolist(), strict=True):
         u, w = unit[a:z].tolist(), impact[a:z].tolist()

@@ -119,6 +119,7 @@ def compile_models(samples: dict[str, list[str]]) -> Models:
             for c, to in step.items():
                 table[s, byte_class[c]] = 2 * to * width
         root = np.where(table[0] < 0, 0, table[0]) | 1
+        table[0] = root  # the root is met at a phrase's start only
         tables.append(np.where(table < 0, root, table).ravel())
         bits.append(float(np.log2(max(2, len(text)))))
     return Models(list(texts), bits, byte_class, width, tables)
@@ -144,7 +145,7 @@ def phrase_counts(texts: list[bytes], models: Models) -> np.ndarray:
         active = np.searchsorted(-n, -np.arange(top), side="left")  # lanes longer than step k
         for col, table in enumerate(models.tables):
             state = np.zeros(len(lane), np.int32)
-            count = np.ones(len(lane), np.int64)
+            count = np.zeros(len(lane), np.int64)
             for k in range(top):
                 m = active[k]
                 step = table[state[:m] + grid[k, :m]]
