@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as se
+from coldflow.plans import oracle, registry
 from coldflow.sources.tables import TABLE_NAMES
 from tests.conftest import SF_SMALL
 
@@ -31,7 +32,7 @@ def _rows(cols, rs):
     return sorted((tuple(_norm(r[i]) for i in order) for r in rs), key=repr)
 
 
-@pytest.mark.parametrize("key", sorted(se.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(oracle.all_queries()))
 def test_matches_oracle(spark, con, key):
     df = se.queries()[key](spark, SF_SMALL)
     res = con.sql(se.oracle_sql()[key])
@@ -40,4 +41,5 @@ def test_matches_oracle(spark, con, key):
 
 
 def test_every_query_has_an_oracle():
-    assert set(se.queries()) == set(se.oracle_sql())
+    assert set(registry.queries()) == set(oracle.all_queries())
+    assert set(registry.queries()) <= set(se.queries()) and set(oracle.all_queries()) <= set(se.oracle_sql())

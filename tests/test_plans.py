@@ -8,6 +8,7 @@ read only the columns they use.
 import pytest
 
 import __spark_entry__ as se
+from coldflow.plans import registry
 from tests.conftest import SF_SMALL
 
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin")
@@ -17,7 +18,7 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", sorted(se.queries()))
+@pytest.mark.parametrize("key", sorted(registry.queries()))
 def test_plan_is_clean(spark, key):
     df = se.queries()[key](spark, SF_SMALL)
     plan = _plan(df)
