@@ -15,12 +15,13 @@ A document's set holds the 64-bit hashes of its distinct five-word shingles
    Members of a group are *verified* links to its leader.  A hot block shrinks
    to its leaders before each shuffle.
 4. Classes that have at least r tokens in other groups (again an exact
-   necessary condition; most drop out) are partitioned into parts of similar
-   ones, and the token-group matrix holds (token, part), the parts' unions.
-   Of a query class's rarest tokens (floor(n / 4) + ceil(n / 16)) a part that
-   holds a partner must hold a number that follows from the sizes; a part that
-   passes is opened, and in it only queries with r tokens in the union are
-   compared with its members.
+   necessary condition; most drop out) are partitioned into kin: the same
+   most frequent token and about the same size.  The token-group matrix holds
+   (token, kin), the kin's unions.  Of a query class's rarest tokens
+   (floor(n / 4) + ceil(n / 16)) other kin that hold a partner must hold a
+   number that follows from the sizes; kin that pass are opened, as are the
+   class's own, in parts of about OPENED classes.  In a part only queries with
+   r tokens in the part's union are compared with its members.
 5. Groups joined by links are merged; the component id is the smallest
    document id.
 
@@ -50,6 +51,7 @@ SHINGLE = 5
 ROUNDS = 3
 LEADERS = 64
 OPENED = 256
+BAND = float(np.log(4 / 3))
 BROADCAST_ROWS = 1_000_000
 _KEYS = [U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9)]
 
@@ -243,25 +245,29 @@ def cross_links(sets: DataFrame, labels: DataFrame, n_sets: int, n_tokens: int)
     cells = stage_table(token_rows, "jaccard-cells")
     often = stage_table(cells.select("token", "owner").distinct().groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "jaccard-often")
     held = cells.join(often, "token")
-    # cells of the partition: classes whose most frequent token is the same, at most about OPENED of them
-    pivot = held.groupBy("sid").agg(F.max(F.struct("df", F.col("token").alias("t"))).alias("p"), F.count("*").alias("held")).select("sid", "held", F.col("p.t").alias("pivot"))
-    parts = pivot.groupBy("pivot").agg(F.ceil(F.count("*") / OPENED).alias("parts"))
-    placed = pivot.join(parts, "pivot").select("sid", "held", F.xxhash64("pivot", F.pmod(F.xxhash64("sid"), F.col("parts"))).alias("part")).join(near, "sid")
-    placed = stage_table(placed.select("sid", "n", "held", "part", "g", "owner"), "jaccard-placed")
+    # kin: classes with the same most frequent token and about the same size; their parts hold about OPENED classes each
+    pivot = held.groupBy("sid").agg(F.max(F.struct("df", F.col("token").alias("t"))).alias("p"), F.count("*").alias("held")).join(near, "sid")
+    kin = pivot.select("sid", "n", "held", "g", "owner", F.xxhash64("p.t", F.floor(F.log("n") / BAND)).alias("kin"))
+    parts = kin.groupBy("kin").agg(F.ceil(F.count("*") / OPENED).alias("parts"))
+    placed = kin.join(parts, "kin").withColumn("part", F.xxhash64("kin", F.pmod(F.xxhash64("sid"), F.col("parts"))))
+    placed = stage_table(placed.select("sid", "n", "held", "kin", "part", "g", "owner"), "jaccard-placed")
     # the token-group matrix, and of each class the rarest floor(n / 4) + ceil(n / 16) tokens; those that only one
     # group of linked classes holds come first and cannot be elsewhere
-    matrix = stage_table(held.select("sid", "token").join(placed.select("sid", "part"), "sid").select("token", "part").distinct(), "jaccard-matrix")
-    spread = matrix.groupBy("token").agg(F.count("*").alias("in_parts"))
+    sizes = placed.groupBy("kin").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    cells = held.select("sid", "token").join(placed.select("sid", "kin"), "sid").select("token", "kin").distinct()
+    matrix = stage_table(cells.join(sizes, "kin"), "jaccard-matrix")
+    spread = matrix.groupBy("token").agg(F.count("*").alias("in_kin"))
     first = F.floor(F.col("n") / 4) + F.ceil(F.col("n") / 16)
-    ranked = held.join(spread, "token").withColumn("r", F.row_number().over(Window.partitionBy("sid").orderBy("in_parts", "df", "token"))).join(placed.select("sid", "n", "held", F.col("part").alias("own_part")), "sid")
-    probes = ranked.where(F.col("r") <= first - (F.col("n") - F.col("held"))).select("sid", "token", "n", "own_part")
-    # a partner x in a part shares at least 3 / 7 (n + |x|) tokens, |x| >= max(0.75 n, smallest set of the part); so
-    # many of those tokens must be in the part's union.  A class's own part is opened in any case.
-    shared = probes.join(matrix, "token").where("part <> own_part").groupBy("sid", "part", "n").agg(F.count("*").alias("hits"))
-    least = placed.groupBy("part").agg(F.min("n").alias("lo"))
+    ranked = held.join(spread, "token").withColumn("r", F.row_number().over(Window.partitionBy("sid").orderBy("in_kin", "df", "token"))).join(placed.select("sid", "n", "held", F.col("kin").alias("own_kin")), "sid")
+    probes = ranked.where(F.col("r") <= first - (F.col("n") - F.col("held"))).select("sid", "token", "n", "own_kin")
+    # a partner x among other kin shares at least 3 / 7 (n + |x|) tokens, |x| >= max(0.75 n, smallest set of the kin);
+    # so many of those tokens must be in the kin's union.  A class's own kin is opened in any case.
+    other = (F.col("kin") != F.col("own_kin")) & (F.col("hi") * 4 >= F.col("n") * 3) & (F.col("lo") * 3 <= F.col("n") * 4)
+    shared = probes.withColumnRenamed("token", "t").join(matrix, (F.col("t") == F.col("token")) & other).groupBy("sid", "kin", "n", "lo").agg(F.count("*").alias("hits"))
     need = F.ceil(3 * (F.col("n") + F.greatest("lo", F.ceil(F.col("n") * 0.75))) / 7)
-    reached = shared.join(least, "part").where(F.col("hits") >= F.greatest(F.lit(1), first - F.col("n") + need)).select("sid", "part")
-    reached = stage_table(reached.union(placed.select("sid", "part")).join(placed.select("sid", "g", "owner"), "sid"), "jaccard-reached")
+    reached = shared.where(F.col("hits") >= F.greatest(F.lit(1), first - F.col("n") + need)).select("sid", "kin")
+    opened = reached.union(placed.select("sid", "kin")).join(placed.select("kin", "part").distinct(), "kin").select("sid", "part")
+    reached = stage_table(opened.join(placed.select("sid", "g", "owner"), "sid"), "jaccard-reached")
     left = sets.select("sid", "tokens").join(small(placed.select("sid", "part", "g", "owner"), left), "sid").groupBy("part")
     asked = sets.select(F.col("sid").alias("q"), F.col("tokens").alias("own")).join(small(reached, reached.count()), F.col("q") == F.col("sid"))
     right = asked.select("part", "g", "owner", "own").groupBy("part")
