@@ -1,7 +1,7 @@
 """Which of a document's items does any other owner hold?  One packed shuffle, no task per item.
 
 ``shared_counts`` counts, for every set, its 64-bit items that a set of
-another owner holds too.  Items of one Arrow batch are first combined: items
+another owner holds too.  Items of one Arrow batch (in slices of about BATCH_BYTES) are first combined: items
 that two owners of the batch hold are counted there and leave the batch once,
 without owners; only items with one owner in the batch leave with it.  So a
 hot item reaches its bucket once per batch, however many sets hold it.
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 BUCKET_ITEMS = 1 << 21
 MIN_BUCKETS = 64
+BATCH_BYTES = 1 << 23
 _PAYLOAD = "bucket int, owners binary, sets binary, items binary, at binary, known binary"
 
 
@@ -114,6 +115,14 @@ def _bucket_counts(table: pa.Table) -> pa.Table:
     return pa.table({"set": pa.array(np.concatenate(out_sets), pa.int64()), "n": pa.array(np.concatenate(out_counts).astype(np.int64))})
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in slices of about BATCH_BYTES, which bounds what a worker holds (a longer row is one slice)."""
+    for b in batches:
+        rows = max(1, b.num_rows * BATCH_BYTES // max(b.nbytes, 1))
+        for start in range(0, b.num_rows, rows):
+            yield b.slice(start, rows)
+
+
 def shared_counts(df: DataFrame, parse: Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], items: int) -> DataFrame:
     """(set, shared): how many of each set's items some other owner holds; sets without any are left out.
 
@@ -124,7 +133,7 @@ def shared_counts(df: DataFrame, parse: Callable[[pa.RecordBatch], tuple[np.ndar
     bits = bucket_bits(items)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             sets, owners, values, of = parse(b)
             if len(sets):
                 yield _payloads(sets, owners, values, of, bits)
