@@ -34,13 +34,13 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.attribute(table(spark, sf_dir, "documents"), vocabulary())
 
 
-def mixed(docs: DataFrame) -> DataFrame:
-    return mixing.mix(docs, mixing.word_count(F.col("text")), F.array("source"), WEIGHTS)
+def mixed(docs: DataFrame, fill_up: bool = True) -> DataFrame:
+    return mixing.mix(docs, mixing.word_count(F.col("text")), F.array("source"), WEIGHTS, fill_up=fill_up)
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words that the mix takes of each document."""
-    return mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    """Words that the mix takes of each document; like OP2_SQL it ends after the ``FILLS`` picks, the pipeline goes on."""
+    return mixed(table(spark, sf_dir, "documents"), fill_up=False).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:

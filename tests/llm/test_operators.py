@@ -94,6 +94,27 @@ def test_mixing(docs, no_docs):
     assert queries.mixed(no_docs).count() == 0
 
 
+def test_mixing_goes_on_behind_a_document_that_does_not_fit(spark):
+    # three sources of 1,000 documents of 200 words and one of 300,000, first, in the middle and last in md5 order: half of a source's 500,000 words is to come again
+    ids = sorted(range(3003), key=lambda i: hashlib.md5(f"{mixing.SEED}|{i}".encode()).hexdigest())
+    rows = [(i, 300_000 if k // 3 == long else 200, f"s{k % 3}") for long, s in ((0, 0), (500, 1), (1000, 2)) for k, i in enumerate(ids) if k % 3 == s]
+    df = spark.createDataFrame(rows, "doc_id long, size long, source string")
+    got = mixing.mix(df, F.col("size"), F.array("source"), (1,)).groupBy("sources", "target").agg(F.sum("taken")).collect()
+    assert sorted((r[0][0], r[1], r[2]) for r in got) == [(f"s{k}", 750_000, 700_000) for k in range(3)]
+
+
+def test_mixing_leaves_no_document_that_fits(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, int(2 ** rng.uniform(0, 16)), f"s{i % 4}") for i in range(2000)] + [(7, 11, "s0"), (None, 5, None), (None, 5, None), (None, 0, "s1")]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, size long, source string"), F.col("size"), F.array("source"), (3, 1, 2)).collect()
+    assert len(got) == len(rows)
+    for s in {r["sources"][0] for r in got}:
+        own = [r for r in got if r["sources"][0] == s]
+        gap = int(own[0]["target"]) - sum(r["taken"] for r in own)
+        least = min(r["copies"] for r in own if r["size"])
+        assert gap >= 0 and not any(0 < r["size"] <= gap and r["copies"] == least < 2 for r in own), s
+
+
 def test_ann_finds_nearest(spark):
     rng = np.random.default_rng(3)
     x = rng.standard_normal((1500, 24))
