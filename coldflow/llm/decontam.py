@@ -19,8 +19,10 @@ block-max WAND: pivot by list bounds, then by block bounds, then exact scores.
 
 Verification: around a retrieved passage, the share of the item's question
 and answer 3-grams (single words for shorter parts) present must be at least
-``OVERLAP`` for both.  An item's answer is its text after the last sentence
-end; an item of one sentence has no answer and only its question counts.
+``OVERLAP`` for both.  Items without these columns are split after the last
+inner sentence end, if what follows is at least ``GRAM`` words and one in
+``ANSWER_PART`` of the item's words; else (a short last sentence, or only one)
+there is no answer and the share is taken over the whole item.
 
 Words are lower-cased (A-Z) runs of ASCII letters, digits and non-ASCII
 bytes.  Defined cases: null, empty and wordless texts and items match
@@ -47,6 +49,7 @@ UNITS_PER_SHARD = 20_000
 THRESHOLD = 0.6
 OVERLAP = 0.5
 GRAM = 3
+ANSWER_PART = 4
 K1, B = 1.2, 0.75
 BLOCK = 16
 ESSENTIAL_GAP = 0.2
@@ -70,13 +73,16 @@ def grams(words: np.ndarray, n: int = GRAM) -> np.ndarray:
 
 
 def _items(items: DataFrame) -> DataFrame:
-    """(item_id, question, answer): the given columns, or the text split after its last inner sentence end."""
+    """(item_id, question, answer): the given columns, or the text, split after its last inner sentence end if an answer's length follows."""
     if {"question", "answer"} <= set(items.columns):
         rows = items.select("item_id", "question", "answer")
     else:
         inner = r"(?s)^(.*[.?!])\s+(\S.*)$"
         text = F.coalesce(F.col("text"), F.lit(""))
-        rows = items.select("item_id", F.when(text.rlike(inner), F.regexp_extract(text, inner, 1)).otherwise(text).alias("question"), F.regexp_extract(text, inner, 2).alias("answer"))
+        last = F.regexp_extract(text, inner, 2)
+        n_words = lambda c: F.regexp_count(c, F.lit(r"[A-Za-z0-9\x{80}-\x{10FFFF}]+"))
+        split = (n_words(last) >= GRAM) & (n_words(last) * ANSWER_PART >= n_words(text))
+        rows = items.select("item_id", F.when(split, F.regexp_extract(text, inner, 1)).otherwise(text).alias("question"), F.when(split, last).otherwise("").alias("answer"))
     return rows.where("item_id IS NOT NULL")
 
 

@@ -187,6 +187,19 @@ def test_decontamination(spark, docs, no_docs):
     assert decontam.contaminated(docs, bench.where("false")).count() == 0
 
 
+def test_decontamination_of_items_without_their_last_sentence(spark):
+    start = "Which of the seven coastal provinces exported cedar timber before the harbour silted up, and who taxed the merchants that carried this cargo inland"
+    items = [(1, start + "? Perhaps."), (2, "Été".join(start.split("e")) + "? It was the northern one."), (3, start.replace("a", "o") + ". No. Then a governor sent twelve clerks who wrote down every cart and boat, so nobody paid twice.")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    cut = [(10 * i, "pad " * 80 + t[: max(t.rfind("? "), t.rfind(". "))] + " pad" * 80) for i, t in items]
+    clean = [(90, "the of and who that this seven provinces merchants " * 9), (91, "Perhaps. " * 30), (92, " ".join(start.split()[:8]) + " pad" * 80), (93, "It was the northern one. " * 5)]
+    docs = spark.createDataFrame([*cut, (11, start + "? Hardly."), *clean], "doc_id long, text string")
+    found = lambda bench: sorted((r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs, bench).collect())
+    assert found(bench) == [(10, 1), (11, 1), (20, 2)]
+    given = bench.where("item_id = 1").select("item_id", F.split("text", r"\? ")[0].alias("question"), F.lit("Perhaps.").alias("answer"))
+    assert found(given) == []
+
+
 def test_decontamination_finds_all_exact_leaks(spark):
     docs, bench = queries.table(spark, SF, "documents"), queries.table(spark, SF, "benchmark")
     got = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs, bench).collect()}
