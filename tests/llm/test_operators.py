@@ -4,6 +4,7 @@ import hashlib
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -14,6 +15,7 @@ import corpus_pipeline
 from coldflow.llm import ann, decontam, encode, huffman, jaccard, langid, mixing, queries, substring, token_counts, toxicity, warc
 from coldflow.llm.text import blocks, column_bytes
 from tests.llm.conftest import TEXTS
+from tests.test_oracle import _rows
 
 SF = "/root/testdata/sf0.001"
 VOCAB = queries.vocabulary()
@@ -332,6 +334,16 @@ def test_substrings_of_one_repeating_text(spark):
     assert sorted(map(tuple, substring.deduplicate(df).collect())) == brute_substrings(rows)
 
 
+@pytest.mark.parametrize("key", sorted(queries.oracle_sql()))
+def test_queries_equal_their_sql(spark, key):
+    con = duckdb.connect()
+    for t in ("documents", "pages"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    df, want = queries.queries()[key](spark, SF), con.sql(queries.oracle_sql()[key])
+    assert sorted(df.columns) == sorted(want.columns)
+    assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(want.columns, want.fetchall())
+
+
 def test_pipeline_stages(spark):
     docs = queries.table(spark, SF, "documents")
     labels = queries.table(spark, SF, "labels")
