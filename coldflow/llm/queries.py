@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, and SQL where it can express them."""
+"""The registered queries of the operators, and SQL where it can express them."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldflow.llm import ann, decontam, huffman, jaccard, langid, mixing, substring, token_counts, toxicity, warc
+from coldflow.llm import ann, decontam, hard_negatives, huffman, jaccard, langid, line_dedup, mixing, resample, substring, token_counts, toxicity, warc
 from coldflow.llm.workers import importable
 
 WEIGHTS = (3, 1, 2)
@@ -100,8 +100,26 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.deduplicate(table(spark, sf_dir, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that five documents share."""
+    kept = line_dedup.deduplicate(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the documents, drawn to resemble the benchmark texts."""
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 50th vector's positives; every 7th vector has the label after its own."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), "embedding")
+    return hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0).drop("positive_rank")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_token_counts, op2_mixing, op3_ann, op4_warc, op5_decontamination, op6_language, op7_toxicity, op8_token_ids, op9_jaccard, op10_substrings)
+    own = (op1_token_counts, op2_mixing, op3_ann, op4_warc, op5_decontamination, op6_language, op7_toxicity, op8_token_ids, op9_jaccard, op10_substrings, op11_line_dedup, op12_resample, op13_hard_negatives)
     return {f.__name__: f for f in own}
 
 
@@ -156,6 +174,43 @@ WITH w AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]
 SELECT w.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id"""
 
 
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+OP11_SQL = f"""
+WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents),
+ l AS (SELECT doc_id, unnest(range(1, len(s) + 1)) AS i, unnest(s) AS line FROM s),
+ x AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), {_LOWER}) AS k FROM l),
+ often AS (SELECT k, max(doc_id) AS keeper FROM x WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+ y AS (SELECT x.*, coalesce(doc_id <> keeper, false) AS gone FROM x LEFT JOIN often ON x.k = often.k)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM y GROUP BY doc_id"""
+
+OP12_SQL = f"""
+WITH RECURSIVE bits(i, c, k) AS (SELECT i, i, 0 FROM (SELECT unnest(range(256)) AS i) UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+ tab AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+ texts AS (SELECT 0 AS side, doc_id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+ w AS (SELECT side, doc_id, coalesce(regexp_extract_all(translate(text, {_LOWER}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), []) AS w FROM texts),
+ f AS (SELECT side, doc_id, unnest(list_concat(w, [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))])) AS f FROM w),
+ known AS (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM f)),
+ crc AS (SELECT f, xor(list_reduce(list_prepend(4294967295, [('0x' || h[2 * i - 1:2 * i])::BIGINT FOR i IN range(1, len(h) // 2 + 1)]), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS b FROM known, tab),
+ n AS (SELECT b, count(*) FILTER (side = 0) AS s, count(*) FILTER (side = 1) AS t FROM f JOIN crc USING (f) GROUP BY b),
+ whole AS (SELECT sum(s) AS s, sum(t) AS t FROM n),
+ gain AS (SELECT b, floor(1000 * ln((n.t + 1)::DOUBLE * (whole.s + 10000)::DOUBLE / ((n.s + 1)::DOUBLE * (whole.t + 10000)::DOUBLE)))::BIGINT AS g FROM n, whole),
+ d AS (SELECT doc_id, count(*) AS n_features, floor(sum(g)::DOUBLE / count(*))::BIGINT AS weight FROM f JOIN crc USING (f) JOIN gain USING (b) WHERE side = 0 GROUP BY doc_id),
+ scored AS (SELECT w.doc_id, len(w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+                   coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || sha256('7:' || w.doc_id)[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM w LEFT JOIN d ON w.doc_id = d.doc_id WHERE side = 0),
+ r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_words >= 20)
+SELECT scored.doc_id, n_features, weight, score, CASE WHEN r <= 25 * n // 100 THEN r END AS rank FROM scored LEFT JOIN r ON scored.doc_id = r.doc_id"""
+
+OP13_SQL = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x::DOUBLE)]) = 0),
+ s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+ p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank, s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) <= 3"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL; the other queries are tested against brute force, round trips or held-out accuracy (tests/llm)."""
-    return {"op2_mixing": OP2_SQL, "op4_warc": OP4_SQL, "op9_jaccard": OP9_SQL, "op10_substrings": OP10_SQL}
+    return {"op2_mixing": OP2_SQL, "op4_warc": OP4_SQL, "op9_jaccard": OP9_SQL, "op10_substrings": OP10_SQL, "op11_line_dedup": OP11_SQL, "op12_resample": OP12_SQL, "op13_hard_negatives": OP13_SQL}

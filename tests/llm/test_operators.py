@@ -337,7 +337,7 @@ def test_substrings_of_one_repeating_text(spark):
 @pytest.mark.parametrize("key", sorted(queries.oracle_sql()))
 def test_queries_equal_their_sql(spark, key):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df, want = queries.queries()[key](spark, SF), con.sql(queries.oracle_sql()[key])
     assert sorted(df.columns) == sorted(want.columns)
