@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from coldflow.operators.indexing import dense_index
+from coldflow.operators.match import hot_keys, join_split
 
 # Fixed values of the reference: names kept per user, edge age limit in days.
 LIKE_ITEM_LIMIT = 50
@@ -44,31 +45,58 @@ def undirected(edges: DataFrame, edge_type: str) -> DataFrame:
     )
 
 
-def liked_names(nodes: DataFrame, edges: DataFrame, limit: int = LIKE_ITEM_LIMIT) -> DataFrame:
+def smallest_names(rows: DataFrame, key: str, limit: int) -> DataFrame:
+    """(key, name): the ``limit`` smallest distinct names of each key.
+
+    ``dense_rank() <= limit`` gives equal names one rank, and Spark trims every map task to
+    ``limit`` names a key before the shuffle, so no key's names ever meet in full.
+    """
+    w = Window.partitionBy(key).orderBy("name")
+    return rows.select(key, "name").withColumn("_r", F.dense_rank().over(w)).where(F.col("_r") <= F.lit(limit)).drop("_r").distinct()
+
+
+HEAD = 4
+
+
+def liked_names(nodes: DataFrame, edges: DataFrame, limit: int = LIKE_ITEM_LIMIT, stage=None) -> DataFrame:
     """J8 + A3: (uid, name) - names of works a user LIKEs and of nodes ACTing with them.
 
     ``USER(uid) -[LIKE]- work -[ACT*0..1]- wc``, both steps undirected, the
     set of non-null names of ``work`` and ``wc``, at most ``limit`` names per
-    user (first by name; the reference keeps arbitrary ones).
+    user (first by name; the reference keeps arbitrary ones); ``limit`` None or
+    negative keeps all.
+
+    The cut is by name, so it can be taken below the fan join: of a work's names only
+    its ``limit`` smallest can be among a user's ``limit`` smallest.  They are kept
+    as one sorted array per work.  Even those are not all paired with every fan:
+
+    1. the first ``HEAD`` names of a user's works give a bound: once they hold
+       ``limit`` distinct names, no larger name than the largest of these is kept;
+    2. each (fan, work) takes only the names of the array up to the fan's bound.
 
-    Plan: names reachable from each work (its own name plus its ACT
-    neighbours' names) are computed once per work, then joined to the LIKE
-    pairs, so a popular work is expanded once, not once per fan.  The cap is a
-    ``row_number() <= limit`` with a literal limit: a WindowGroupLimit trims
-    every map task's rows before the shuffle by uid.
+    Popular works are split by fan (``join_split``).  ``stage(df, name)`` materializes the
+    two tables that both steps read.
     """
+    stage = stage or (lambda df, name: df)
     u = users(nodes).withColumnRenamed("id", "a")
     likes = u.join(undirected(edges, "LIKE"), "a").select("uid", F.col("b").alias("work"))
     names = nodes.select(F.col("id").alias("work"), "name")
     act = undirected(edges, "ACT").join(nodes.select(F.col("id").alias("b"), "name"), "b").select(
         F.col("a").alias("work"), "name"
     )
-    work_names = names.unionByName(act).where(F.col("name").isNotNull()).distinct()
-    pairs = likes.join(work_names, "work").select("uid", "name").distinct()
+    work_names = names.unionByName(act).where(F.col("name").isNotNull())
     if limit is None or limit < 0:
-        return pairs
-    w = Window.partitionBy("uid").orderBy("name")
-    return pairs.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.lit(limit)).drop("_r")
+        return likes.distinct().join(work_names.distinct(), "work").select("uid", "name").distinct()
+    lists = smallest_names(work_names, "work", limit).groupBy("work").agg(F.sort_array(F.collect_list("name")).alias("names"))
+    lists, likes = stage(lists, "work-names"), stage(likes.distinct(), "likes")
+    hot = hot_keys(likes, "work")
+    heads = join_split(likes, lists.select("work", F.slice("names", 1, HEAD).alias("names")), "work", ["uid"], hot)
+    first = smallest_names(heads.select("uid", F.explode("names").alias("name")), "uid", limit)
+    bound = first.groupBy("uid").agg(F.count(F.lit(1)).alias("_n"), F.max("name").alias("bound")).where(F.col("_n") >= limit).drop("_n")
+    fans = likes.join(bound, "uid", "left")
+    kept = F.filter("names", lambda n: F.col("bound").isNull() | (n <= F.col("bound")))
+    pairs = join_split(fans, lists, "work", ["uid"], hot).select("uid", F.explode(kept).alias("name"))
+    return smallest_names(pairs, "uid", limit)
 
 
 def uid_file(lines: DataFrame, value_col: str = "value") -> DataFrame:
@@ -90,6 +118,11 @@ def export_lines(uids: DataFrame, liked: DataFrame) -> DataFrame:
     return j.select("uid", F.concat(F.col("uid"), F.lit(": "), items).alias("line"))
 
 
+def write_export(lines: DataFrame, path: str) -> None:
+    """K8: the lines as text files, one line per user."""
+    lines.select("line").write.mode("overwrite").text(path)
+
+
 def get_or_create(requested: DataFrame, nodes: DataFrame, label: str = "USER", id_prefix: str = "u:") -> DataFrame:
     """(uid, id, created) for requested uids; new nodes get the id ``prefix + uid``.
 

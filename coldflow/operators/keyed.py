@@ -5,7 +5,8 @@ A keyed store is kept as an append-only log of writes, one row per
 are computed, never updated in place:
 
 * sorted set (K1 replace, K2 append): members whose latest write is not older
-  than the key's last replace/delete barrier;
+  than the key's last replace/delete barrier; with expiry (K5), not older than the
+  beginning of the key's present life;
 * hash (K3): the fields of each key's newest replace;
 * string (K4, K5): newest write per key, alive while ``expires_at`` is in the
   future (a write without TTL clears the TTL);
@@ -24,6 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from coldflow.session import stage_table
+
 OP_REPLACE = "replace"
 OP_PUT = "put"
 OP_DELETE = "delete"
@@ -65,6 +68,73 @@ def zset_view(ops: DataFrame, key: str = "key", member: str = "member", score: s
     return live.drop("_barrier")
 
 
+def zset_ttl_view(ops: DataFrame, now: Column | None = None, chunks: int | None = None, stage=stage_table) -> DataFrame:
+    """K2 + K5: (key, member, score, expires_at) of sorted sets whose keys expire, as read at ``now``.
+
+    ``ops(key, member, score, op, ttl, write_ts, version)``; the writes of a key are
+    ordered by (write_ts, version).  A replace deletes the key first, a delete leaves nothing,
+    a put upserts.  ttl > 0 lets the key expire that many seconds after the write; with ttl <= 0
+    (or null) a put leaves the key's expiry as it is, a replace has none.  A
+    key that expired before its next write starts again, empty and without expiry.
+
+    What is visible depends on where the key's present life began: at its last replace or
+    delete, or at the first write that found the key expired.  That is an ordered
+    fold over the key's writes, done in two levels so that no key's history meets in
+    one task:
+
+    1. writes are range-partitioned into chunks of (key, write_ts, version).  Within a chunk,
+       a write knows the last write before it that set or cleared the expiry (a *setter*);
+       the first write at or after that expiry begins a new life.  The chunk's summary says what
+       expiry it leaves, when its last life began, and up to what time it would let
+       an expiry from outside run (its writes up to its first setter);
+    2. the chunks' summaries (as many as a key has chunks) are folded the same way,
+       which tells which chunk an outside expiry fell into; its first write at or after
+       that time is looked up there.
+
+    Members are partial aggregates (latest score per key and member), cut at the life's beginning.
+    """
+    at = F.struct("write_ts", "version")
+    barrier = F.col("op").isin(OP_REPLACE, OP_DELETE)
+    writes = ops.groupBy("key", "write_ts", "version").agg(F.max(barrier).alias("barrier"), F.max("ttl").alias("ttl"))
+    n = chunks or int(ops.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    writes = stage(writes.repartitionByRange(n, "key", "write_ts", "version").withColumn("chunk", F.spark_partition_id()), "zset-writes")
+
+    expiry = F.when(F.col("ttl") > 0, F.timestamp_add("SECOND", F.col("ttl"), F.col("write_ts")))
+    w = Window.partitionBy("key", "chunk").orderBy("write_ts", "version")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    x = writes.withColumn("at", at).withColumn("setter", F.when(F.col("barrier") | (F.col("ttl") > 0), F.struct("at", expiry.alias("expiry"))))
+    x = x.withColumn("prev", F.last("setter", ignorenulls=True).over(before))
+    x = x.withColumn("late", F.coalesce(F.col("write_ts") >= F.col("prev.expiry"), F.lit(False)))
+    x = x.withColumn("same", F.coalesce(F.lag("late").over(w) & (F.lag("prev.at").over(w) == F.col("prev.at")), F.lit(False)))
+    x = x.withColumn("begins", F.col("late") & ~F.col("same"))
+    chunk = x.groupBy("key", "chunk").agg(
+        F.max("setter").alias("setter"),
+        F.max(F.when(F.col("begins"), F.col("prev.at"))).alias("cut_of"),
+        F.max(F.when(F.col("barrier") | F.col("begins"), F.col("at"))).alias("life"),
+        F.max(F.when(F.col("prev").isNull(), F.col("write_ts"))).alias("open_until"),
+    )
+    left = F.when(F.col("cut_of") == F.col("setter.at"), F.lit(None)).otherwise(F.col("setter.expiry"))
+    by_chunk = Window.partitionBy("key").orderBy("chunk")
+    earlier = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
+    chunk = chunk.withColumn("leaves", F.when(F.col("setter").isNotNull(), F.struct("chunk", left.alias("expiry"))))
+    chunk = chunk.withColumn("prev", F.last("leaves", ignorenulls=True).over(earlier))
+    chunk = chunk.withColumn("late", F.coalesce(F.col("open_until") >= F.col("prev.expiry"), F.lit(False)))
+    same = F.coalesce(F.lag("late").over(by_chunk) & (F.lag("prev.chunk").over(by_chunk) == F.col("prev.chunk")), F.lit(False))
+    chunk = chunk.withColumn("begins", F.col("late") & ~same)
+    expires = F.when(F.col("leaves").isNotNull(), F.col("leaves.expiry")).when(~F.col("late"), F.col("prev.expiry"))
+    chunk = stage(chunk.select("key", "chunk", "life", "begins", F.col("prev.expiry").alias("found"), expires.alias("expires_at")), "zset-chunks")
+
+    fell = chunk.where("begins").select("key", "chunk", "found")
+    first = writes.join(fell, ["key", "chunk"]).where(F.col("write_ts") >= F.col("found")).groupBy("key", "chunk").agg(F.min(at).alias("life"))
+    lives = chunk.select("key", "life").unionByName(first.select("key", "life")).groupBy("key").agg(F.max("life").alias("life"))
+    keys = chunk.groupBy("key").agg(F.max_by("expires_at", "chunk").alias("expires_at")).join(lives, "key")
+    latest = ops.where(F.col("member").isNotNull()).groupBy("key", "member").agg(F.max_by("score", at).alias("score"), F.max(at).alias("_at"))
+    seen = latest.join(keys, "key").where(F.col("life").isNull() | (F.col("_at") >= F.col("life")))
+    if now is not None:
+        seen = seen.where(F.col("expires_at").isNull() | (F.col("expires_at") > now))
+    return seen.select("key", "member", "score", "expires_at")
+
+
 def newest_write(ops: DataFrame, key: Sequence[str], version: str = "version") -> DataFrame:
     """Rows of each key's newest version (all rows sharing that version)."""
     key = list(key)
@@ -72,6 +142,13 @@ def newest_write(ops: DataFrame, key: Sequence[str], version: str = "version") -
     return ops.join(newest, key + [version])
 
 
+def newest_row(ops: DataFrame, key: Sequence[str], version: str = "version") -> DataFrame:
+    """Each key's newest row, for writes of one row each: one ``max_by``, nothing is joined back."""
+    rest = [c for c in ops.columns if c not in (*key, version)]
+    best = ops.groupBy(*key).agg(F.max_by(F.struct(*rest), F.col(version)).alias("_r"), F.max(version).alias(version))
+    return best.select(*key, *[F.col(f"_r.{c}").alias(c) for c in rest], version)
+
+
 def profile_fields(template: Column) -> Column:
     """ARRAY<STRUCT<field, value>> of the seven config fields of a JSON template.
 
@@ -128,10 +205,12 @@ def cells_latest(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
     c = cells.select("row_key", fam.alias("family"), qual.alias("qualifier"), "value", "version", reason.alias("reason"))
     bad = c.where(F.col("reason").isNotNull())
     good = c.where(F.col("reason").isNull()).drop("reason")
-    latest = good.groupBy("row_key", "family", "qualifier").agg(
-        F.max_by("value", "version").alias("value"), F.max("version").alias("version")
-    )
-    return latest, bad
+    return newest_cells(good), bad
+
+
+def newest_cells(cells: DataFrame) -> DataFrame:
+    """K6 over split columns: newest version per (row_key, family, qualifier)."""
+    return cells.groupBy("row_key", "family", "qualifier").agg(F.max_by("value", "version").alias("value"), F.max("version").alias("version"))
 
 
 def row_lookup(requests: DataFrame, latest: DataFrame) -> DataFrame:

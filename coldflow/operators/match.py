@@ -66,6 +66,13 @@ class TextIndex:
     avgdl: float
 
 
+def bm25(n_docs: int, avgdl: float, tf: Column, k1: float = K1, b: float = B) -> Column:
+    """Weight of a posting of ``tf`` occurrences, from columns df and dl."""
+    idf = F.log(F.lit(1.0) + (F.lit(float(n_docs)) - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)))
+    norm = tf + F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl or 1.0))
+    return idf * tf * F.lit(k1 + 1.0) / norm
+
+
 def build_index(
     docs: DataFrame,
     id_col: str,
@@ -99,9 +106,7 @@ def index_tokens(
     )
     n_salts = F.ceil(F.col("df") / F.lit(float(postings_per_task))).cast("int")
     doc_freq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("salts", n_salts)
-    idf = F.log(F.lit(1.0) + (F.lit(float(n_docs)) - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)))
-    norm = F.col("tf") + F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl or 1.0))
-    w = idf * F.col("tf") * F.lit(k1 + 1.0) / norm
+    w = bm25(n_docs, avgdl, F.col("tf"), k1, b)
     postings = tf.join(doc_freq, "term").select(
         "term", id_col, *payload, w.alias("w"), F.pmod(F.xxhash64(id_col), F.col("salts")).cast("int").alias("salt")
     )
@@ -232,12 +237,41 @@ def top_k(scored: DataFrame, group: Sequence[str], id_col: str, k: int, rank_col
     return scored.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
 
 
-def match(queries: DataFrame, text_col: str, index: TextIndex, k: int, prune: bool = True) -> DataFrame:
+HOT_ROWS = 1_000_000
+
+
+def hot_keys(rows: DataFrame, key: str, hot_rows: int | None = None) -> DataFrame:
+    """(key, _shares) of the keys with more than ``hot_rows`` rows: (rows / hot_rows) keys at most.
+
+    ``rows`` may have been counted already: one row a key, with the number in ``_n``.
+    """
+    hot_rows = hot_rows or HOT_ROWS
+    n = rows if "_n" in rows.columns else rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return n.where(F.col("_n") > hot_rows).select(key, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_shares"))
+
+
+def join_split(left: DataFrame, right: DataFrame, key: str, spread_by: Sequence[str], hot: DataFrame | None = None) -> DataFrame:
+    """Inner equi-join on ``key``; hot keys of the left side are split by ``spread_by``.
+
+    A hot key's left rows are dealt to its shares by a hash of ``spread_by``, its right
+    rows are copied to each; other keys are not copied.
+    """
+    hot = hot_keys(left, key) if hot is None else hot
+    shares = F.coalesce(F.col("_shares"), F.lit(1))
+    dealt = left.join(hot, key, "left").withColumn("_share", F.pmod(F.xxhash64(*spread_by), shares).cast("int")).drop("_shares")
+    copied = right.join(hot, key, "left").withColumn("_share", F.explode(F.sequence(F.lit(0), shares - 1))).drop("_shares")
+    return dealt.join(copied, [key, "_share"]).drop("_share")
+
+
+def match(queries: DataFrame, text_col: str, index: TextIndex, k: int, prune: bool = True, stage=None) -> DataFrame:
     """Top-k docs per distinct query text (text, id, payload..., score, rank).
 
     Candidates are always pruned by MaxScore, whatever the size; ``prune=False``
     is the direct term join that tests compare with.  Both give the same rows.
+    An index that brings its own ``match`` (a posting store's field) does it itself.
     """
+    if hasattr(index, "match"):
+        return index.match(queries, text_col, k, prune=prune, **({"stage": stage} if stage else {}))
     scored = score_candidates_pruned(queries, text_col, index, k) if prune else score_queries(queries, text_col, index)
     return top_k(scored, [text_col], index.id_col, k)
 
@@ -247,52 +281,52 @@ def match(queries: DataFrame, text_col: str, index: TextIndex, k: int, prune: bo
 # ---------------------------------------------------------------------------
 @dataclass
 class PhraseIndex:
-    """Term -> doc postings plus a normalized token string per doc."""
+    """Positional postings: where each term stands in each doc."""
 
-    terms: DataFrame  # (term, <id>) distinct
-    docs: DataFrame  # (<id>, norm, ...columns kept for filtering)
-    doc_freq: DataFrame  # (term, df)
+    postings: DataFrame  # (term, <id>, positions ascending, dl)
+    doc_freq: DataFrame  # (term, df) within the indexed docs
     id_col: str
-    tokens: DataFrame  # (<id>, toks) analyzed once, reusable by a BM25 index
 
 
 def normalized(text: Column) -> Column:
-    """Analyzer tokens joined by single spaces (phrase containment = substring on ' '-padded text)."""
+    """Analyzer tokens joined by single spaces."""
     return F.array_join(analyze(text), " ")
 
 
 def build_phrase_index(docs: DataFrame, id_col: str, text_col: str, stage=None) -> PhraseIndex:
-    """Term table, document frequencies and normalized text; texts are tokenized once.
+    """Positional postings of ``docs``; texts are analyzed once and not needed afterwards.
 
-    ``stage(df, name)`` materializes the tokenized docs, which three tables
-    are derived from.
+    ``stage(df, name)`` materializes the postings, which several steps read.
     """
     stage = stage or (lambda df, name: df)
-    base = stage(spread(docs).withColumn("_toks", analyze(F.col(text_col))), "phrase-tokens")
-    terms = base.select(id_col, F.explode("_toks").alias("term")).distinct()
-    doc_freq = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    keep = [c for c in docs.columns if c != id_col]
-    d = base.select(id_col, *keep, F.array_join("_toks", " ").alias("norm"))
-    return PhraseIndex(terms, d, doc_freq, id_col, base.select(id_col, F.col("_toks").alias("toks")))
+    toks = spread(docs.select(id_col, text_col)).select(id_col, analyze(F.col(text_col)).alias("_toks"))
+    at = toks.select(id_col, F.size("_toks").alias("dl"), F.posexplode("_toks").alias("pos", "term"))
+    # A doc's own positions only: bounded by the doc.
+    postings = at.groupBy("term", id_col, "dl").agg(F.sort_array(F.collect_list("pos")).alias("positions"))
+    postings = stage(postings, "phrase-postings")
+    return PhraseIndex(postings, postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")), id_col)
+
+
+def phrase_terms(keywords: DataFrame, kw_col: str) -> DataFrame:
+    """(kw_col, i, term): each keyword's terms with their place in the phrase."""
+    kw = keywords.select(kw_col).where(F.col(kw_col).isNotNull()).distinct()
+    return kw.select(kw_col, F.posexplode(analyze(F.col(kw_col))).alias("i", "term"))
 
 
-def phrase_matches(keywords: DataFrame, kw_col: str, index: PhraseIndex, within: DataFrame | None = None) -> DataFrame:
-    """(kw_col, <id>) for every doc whose token stream contains the keyword's tokens contiguously.
+def phrase_matches(keywords: DataFrame, kw_col: str, index: PhraseIndex) -> DataFrame:
+    """(kw_col, <id>) for every doc that holds the keyword's terms one after the other.
 
-    Candidates come from the keyword's rarest term only (one equi-join on
-    term, never a cross join); the phrase itself is then checked on the
-    normalized text.  Exact: every phrase match contains its rarest term.
+    Candidates are the docs of the keyword's rarest term.  For each term the places
+    where the phrase would begin are its positions less its place in the
+    phrase; a doc matches if one place is left in the intersection over all terms.
     """
-    kw = keywords.select(kw_col).distinct().withColumn("_kn", normalized(F.col(kw_col)))
-    kt = kw.select(kw_col, "_kn", F.explode(F.split(F.col("_kn"), " ")).alias("term")).where(F.col("term") != "")
-    kt = kt.join(index.doc_freq, "term", "left").fillna(0, ["df"])
-    anchor = kt.groupBy(kw_col, "_kn").agg(F.min(F.struct("df", "term")).alias("a")).select(
-        kw_col, "_kn", F.col("a.term").alias("term")
+    kt = phrase_terms(keywords, kw_col)
+    rare = kt.join(index.doc_freq, "term", "left").fillna(0, ["df"]).groupBy(kw_col).agg(
+        F.min(F.struct("df", "term")).alias("a"), F.count(F.lit(1)).alias("n")
     )
-    cand = anchor.join(index.terms, "term")
-    if within is not None:  # restrict candidates (e.g. to filtered docs) before reading their texts
-        cand = cand.join(within.select(index.id_col), index.id_col, "left_semi")
-    hits = cand.join(index.docs, index.id_col)
-    padded = F.concat(F.lit(" "), F.col("norm"), F.lit(" "))
-    needle = F.concat(F.lit(" "), F.col("_kn"), F.lit(" "))
-    return hits.where(padded.contains(needle)).drop("_kn", "term")
+    cand = rare.select(kw_col, "n", F.col("a.term").alias("term")).join(index.postings.select("term", index.id_col), "term").drop("term")
+    begins = F.transform("positions", lambda p: p - F.col("i"))
+    found = cand.join(kt, kw_col).join(index.postings, ["term", index.id_col]).select(kw_col, index.id_col, "n", "i", begins.alias("b"))
+    whole = found.groupBy(kw_col, index.id_col, "n").agg(F.collect_list("b").alias("all"))  # one entry a term of the phrase
+    common = F.aggregate(F.slice("all", 2, F.size("all")), F.get("all", F.lit(0)), lambda x, y: F.array_intersect(x, y))
+    return whole.where((F.size("all") == F.col("n")) & (F.size(common) > 0)).select(kw_col, index.id_col)

@@ -1,8 +1,8 @@
 """News title search (J5-J7 with filters V1, V2 and time score P13) and
 channel jobs (P7, P8, A4).
 
-Searches run for a whole table of keywords at once: phrase candidates come
-from the inverted index (``coldflow.operators.match``), filters are plain
+Searches run for a whole table of keywords at once: phrases are found by the
+positions of their terms (``coldflow.operators.match``), filters are plain
 column predicates on the news table (pushed into the scan), and the per
 keyword page is a ``row_number() <= rows`` window (WindowGroupLimit).
 """
@@ -14,16 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from coldflow.operators.match import (
-    SCORE_DIGITS,
-    PhraseIndex,
-    TextIndex,
-    full_scores,
-    build_phrase_index,
-    index_tokens,
-    phrase_matches,
-    query_terms,
-)
+from coldflow.functions.text import analyze
+from coldflow.operators.match import SCORE_DIGITS, PhraseIndex, bm25, build_phrase_index, phrase_matches, phrase_terms
+from coldflow.session import spread
 
 # Fixed values of the reference: rows per keyword of the three searches,
 # recency window in days, and the channel words of the channel filter.
@@ -58,24 +51,33 @@ def time_score(ts: Column) -> Column:
 
 
 class NewsSearch:
-    """Indexes over the news titles plus the filtered document set."""
+    """Positional index over the titles that pass both filters, and the filtered document set.
+
+    The filters read no title, so only titles of rows that pass them are
+    analyzed; a search then reads postings, no text.  Relevance needs the statistics
+    of all titles (number, average length, the keywords' document frequencies):
+    one pass that keeps counts only.
+    """
 
     def __init__(self, news: DataFrame, words: Sequence[str], now: Column, days: int = DAYS_LIMIT, stage=None):
         self.news = news
-        self.phrase: PhraseIndex = build_phrase_index(news.select("row_id", "title"), "row_id", "title", stage)
-        self._bm25: TextIndex | None = None
         self.allowed = news.where(channel_filter(F.col("channels"), words) & recency_filter(F.col("publish_time"), now, days))
-
-    @property
-    def bm25(self) -> TextIndex:
-        if self._bm25 is None:
-            self._bm25 = index_tokens(self.phrase.tokens, "row_id")
-        return self._bm25
+        self.phrase: PhraseIndex = build_phrase_index(self.allowed, "row_id", "title", stage)
+        self._stage = stage or (lambda df, name: df)
 
     def matches(self, keywords: DataFrame) -> DataFrame:
         """(keyword, row_id, doc_id, created_time, ...) phrase matches passing both filters."""
-        m = phrase_matches(keywords, "keyword", self.phrase, within=self.allowed.select("row_id")).select("keyword", "row_id")
-        return m.join(self.allowed, "row_id")
+        rows = self.allowed.drop("title")
+        return phrase_matches(keywords, "keyword", self.phrase).join(rows, "row_id")
+
+    def statistics(self, keywords: DataFrame) -> tuple[int, float, DataFrame]:
+        """(titles with a term, their average length, (term, df) of the keywords' terms) over all news."""
+        asked = sorted(r[0] for r in phrase_terms(keywords, "keyword").select("term").distinct().collect())
+        wanted = F.array(*[F.lit(t) for t in asked]) if asked else F.array().cast("array<string>")
+        toks = spread(self.news.select("title")).select(analyze(F.col("title")).alias("toks")).where(F.size("toks") > 0)
+        seen = self._stage(toks.select(F.size("toks").alias("dl"), F.array_intersect("toks", wanted).alias("terms")), "title-terms")
+        n, avgdl = seen.agg(F.count(F.lit(1)), F.avg("dl")).collect()[0]
+        return int(n), float(avgdl or 0.0), seen.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
     def newest(self, keywords: DataFrame, rows: int = NEWEST_ROWS) -> DataFrame:
         """First ``rows`` matches by created time desc (missing last); then rows
@@ -94,9 +96,11 @@ class NewsSearch:
         (term, doc) lookup per keyword term and match, never a pair per doc of
         a frequent term.
         """
+        n, avgdl, df = self.statistics(keywords)
+        qt = phrase_terms(keywords, "keyword").groupBy("keyword", "term").agg(F.count(F.lit(1)).alias("qtf")).join(df, "term")
         m = self.matches(keywords)
-        qt = query_terms(keywords, "keyword", self.bm25)
-        raw = full_scores(m.select("keyword", "row_id"), qt, "keyword", self.bm25)
+        found = m.select("keyword", "row_id").join(qt, "keyword").join(self.phrase.postings, ["term", "row_id"])
+        raw = found.groupBy("keyword", "row_id").agg(F.sum(F.col("qtf") * bm25(n, avgdl, F.size("positions"))).alias("raw"))
         scored = raw.select("keyword", "row_id", F.round("raw", SCORE_DIGITS).alias("score"))
         return m.join(scored, ["keyword", "row_id"], "left").fillna(0.0, ["score"])
 

@@ -11,11 +11,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from coldflow.functions.text import RECALL_KEY_PREFIX
-from coldflow.operators.match import TextIndex, build_index, match, materialize_index
+from coldflow.operators.match import TextIndex, build_index, hot_keys, join_split, match, materialize_index
+from coldflow.operators.posting_store import CatalogueStore, FieldIndex
+from coldflow.session import files_version
 
 # Fixed values of the live job: hits per name query, per singer query, recall cap.
 NAME_MATCH_SIZE = 1
@@ -29,15 +31,22 @@ SONG_KEY = ["event_id", "pos"]
 class Catalogue:
     """Indexes over the catalogue's name and singer fields (payload: fire)."""
 
-    name: TextIndex
-    singer: TextIndex
-    rejects: DataFrame  # catalogue rows without an integer fire
+    name: TextIndex | FieldIndex
+    singer: TextIndex | FieldIndex
+    rejects: DataFrame | None = None  # catalogue rows without an integer fire
+
+
+def split_catalogue(ring: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows to index, rows rejected because they lack an integer fire; a removal needs none)."""
+    bad = F.col("fire").isNull()
+    if "deleted" in ring.columns:
+        bad = bad & ~F.coalesce(F.col("deleted"), F.lit(False))
+    return ring.where(~bad), ring.where(bad).withColumn("reason", F.lit("no_fire"))
 
 
 def build_catalogue(ring: DataFrame, postings_per_task: int | None = None) -> Catalogue:
-    """Index ``ring(item_id, name, singer, fire)``; rows with NULL fire go to ``rejects``."""
-    good = ring.where(F.col("fire").isNotNull())
-    bad = ring.where(F.col("fire").isNull()).withColumn("reason", F.lit("no_fire"))
+    """Index tables of ``ring(item_id, name, singer, fire)`` for one job; rows with NULL fire go to ``rejects``."""
+    good, bad = split_catalogue(ring)
     kw = {} if postings_per_task is None else {"postings_per_task": postings_per_task}
     return Catalogue(
         build_index(good, "item_id", "name", payload=["fire"], **kw),
@@ -47,41 +56,65 @@ def build_catalogue(ring: DataFrame, postings_per_task: int | None = None) -> Ca
 
 
 def materialize_catalogue(cat: Catalogue, path: str) -> Catalogue:
-    """Write both posting tables under ``path`` and read them back (the index snapshot)."""
+    """Write both index tables under ``path`` and read them back: a fixed catalogue (a posting store can change)."""
     return Catalogue(materialize_index(cat.name, f"{path}/name"), materialize_index(cat.singer, f"{path}/singer"), cat.rejects)
 
 
-_SNAPSHOTS: dict[tuple[str, str], Catalogue] = {}
+def build_store(ring: DataFrame, path: str) -> CatalogueStore:
+    """A posting store of ``ring`` at ``path``: the base version, or a full rebuild as the next one."""
+    store = CatalogueStore(path)
+    store.build(split_catalogue(ring)[0])
+    return store
+
+
+def change_store(store: CatalogueStore, changes: DataFrame) -> int:
+    """The next catalogue version from ``changes(item_id, name, singer, fire, deleted)``; rows lacking fire change nothing."""
+    return store.apply(split_catalogue(changes)[0])
+
+
+def open_catalogue(spark: SparkSession, store: CatalogueStore, version: int | None = None) -> Catalogue:
+    """The newest (or a given) version of a stored catalogue."""
+    snap = store.snapshot(spark, version)
+    return Catalogue(snap.field("name"), snap.field("singer"))
 
 
-def catalogue_snapshot(ring: DataFrame, source_key: str, path_for) -> Catalogue:
-    """The catalogue index as a long-lived table: built once per (application, source) and reused.
+_STORES: dict[tuple[str, str], CatalogueStore] = {}
 
-    ``path_for(name)`` gives a folder in shared storage.  A new source (or a
-    new application) builds a new snapshot; nothing is rebuilt per query.
+
+def catalogue_store(ring: DataFrame, source: DataFrame, path_for) -> CatalogueStore:
+    """The posting store of ``ring``, written once per state of the files of ``source`` and reused by the application.
+
+    ``path_for(name)`` gives a folder in shared storage.  New or changed files are a new state.
     """
-    try:
-        app = ring.sparkSession.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 - Spark Connect: one snapshot per session
-        app = str(id(ring.sparkSession))
-    key = (app, source_key)
-    if key not in _SNAPSHOTS:
-        _SNAPSHOTS[key] = materialize_catalogue(build_catalogue(ring), path_for("catalogue"))
-    return _SNAPSHOTS[key]
+    key = (ring.sparkSession.sparkContext.applicationId, files_version(source))
+    if key not in _STORES:
+        _STORES[key] = build_store(ring, path_for("catalogue"))
+    return _STORES[key]
+
+
+def catalogue_snapshot(ring: DataFrame, source: DataFrame, path_for) -> Catalogue:
+    """The newest version of ``catalogue_store``."""
+    return open_catalogue(ring.sparkSession, catalogue_store(ring, source, path_for))
+
+
+def _text_hits(asked: DataFrame, index: TextIndex | FieldIndex, k: int, stage) -> DataFrame:
+    """Hits of (event_id, pos, q): each distinct text is matched once and joined back, very frequent texts in shares of events."""
+    stage = stage or (lambda df, name: df)
+    texts = stage(asked.groupBy("q").agg(F.count(F.lit(1)).alias("_n")), "texts")
+    best = match(texts.select("q"), "q", index, k, stage=stage)
+    return join_split(asked, best, "q", SONG_KEY, hot_keys(texts, "q")).select(*SONG_KEY, "item_id", "fire", "score", "rank")
 
 
-def name_hits(songs: DataFrame, cat: Catalogue, k: int = NAME_MATCH_SIZE) -> DataFrame:
+def name_hits(songs: DataFrame, cat: Catalogue, k: int = NAME_MATCH_SIZE, stage=None) -> DataFrame:
     """(event_id, pos, item_id, fire, score, rank) for songs with a non-empty name."""
-    named = songs.where(F.col("song_name") != "").select(*SONG_KEY, "song_name")
-    best = match(named.select(F.col("song_name").alias("q")), "q", cat.name, k)
-    return named.join(best, named.song_name == best.q).select(*SONG_KEY, "item_id", "fire", "score", "rank")
+    named = songs.where(F.col("song_name") != "").select(*SONG_KEY, F.col("song_name").alias("q"))
+    return _text_hits(named, cat.name, k, stage and (lambda df, name: stage(df, f"name-{name}")))
 
 
-def singer_hits(songs: DataFrame, named: DataFrame, cat: Catalogue, k: int = SINGER_MATCH_SIZE) -> DataFrame:
+def singer_hits(songs: DataFrame, named: DataFrame, cat: Catalogue, k: int = SINGER_MATCH_SIZE, stage=None) -> DataFrame:
     """First singer of every song without a name hit, top k."""
-    rest = songs.join(named.select(*SONG_KEY).distinct(), SONG_KEY, "left_anti").select(*SONG_KEY, "first_singer")
-    best = match(rest.select(F.col("first_singer").alias("q")), "q", cat.singer, k)
-    return rest.join(best, rest.first_singer == best.q).select(*SONG_KEY, "item_id", "fire", "score", "rank")
+    rest = songs.join(named.select(*SONG_KEY).distinct(), SONG_KEY, "left_anti").select(*SONG_KEY, F.col("first_singer").alias("q"))
+    return _text_hits(rest, cat.singer, k, stage and (lambda df, name: stage(df, f"singer-{name}")))
 
 
 class Waterfall:
@@ -95,15 +128,16 @@ class Waterfall:
 
     def __init__(self, songs: DataFrame, cat: Catalogue, name_k: int, singer_k: int, stage=None):
         self.songs, self.cat, self.name_k, self.singer_k = songs, cat, name_k, singer_k
+        self._given = stage
         self._stage = stage or (lambda df, name: df)
 
     @cached_property
     def name(self) -> DataFrame:
-        return self._stage(name_hits(self.songs, self.cat, self.name_k), "name-hits")
+        return self._stage(name_hits(self.songs, self.cat, self.name_k, self._given), "name-hits")
 
     @cached_property
     def singer(self) -> DataFrame:
-        return self._stage(singer_hits(self.songs, self.name, self.cat, self.singer_k), "singer-hits")
+        return self._stage(singer_hits(self.songs, self.name, self.cat, self.singer_k, self._given), "singer-hits")
 
     @cached_property
     def misses(self) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from coldflow.operators import graph
-from coldflow.session import scratch_path
+from coldflow.session import scratch_path, stage_table
 from coldflow.sources import fixtures
 from coldflow.sources.tables import Tables
 
@@ -17,16 +17,18 @@ def _graph(spark, sf_dir):
 
 def q_liked_items(spark, sf_dir):
     _, n, e = _graph(spark, sf_dir)
-    return graph.liked_names(n, e)
+    return graph.liked_names(n, e, stage=stage_table)
 
 
 def q_liked_export(spark, sf_dir):
-    """S10 -> J8 -> A3 -> K8: the uid file is written as text and read back."""
+    """S10 -> J8 -> A3 -> K8: uid file and exported lines are written as text and read back."""
     t, n, e = _graph(spark, sf_dir)
     path = scratch_path(spark, "uid-file")
     fixtures.uid_lines(t).write.mode("overwrite").text(path)
     uids = graph.uid_file(spark.read.text(path))
-    return graph.export_lines(uids, graph.liked_names(n, e))
+    out = scratch_path(spark, "liked-export")
+    graph.write_export(graph.export_lines(uids, graph.liked_names(n, e, stage=stage_table)), out)
+    return spark.read.text(out).select(F.substring_index("value", ": ", 1).alias("uid"), F.col("value").alias("line"))
 
 
 def q_graph_get_or_create(spark, sf_dir):

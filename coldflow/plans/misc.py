@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from coldflow.functions import timefmt
-from coldflow.operators import graph, messages, news, recall
+from coldflow.operators import graph, messages, news, parse, recall
 from coldflow.session import scratch_path, stage_table
 from coldflow.sources.logsource import collection_scan, raw_messages
 from coldflow.plans.recall import _waterfall
@@ -113,6 +113,15 @@ def q_time_rejects(spark, sf_dir):
     return _times(spark, sf_dir).where(F.col("ts").isNull()).select("event_id", "t")
 
 
+LENIENT_FORMAT = "yyyy-MM-dd HH:mm:ss"
+
+
+def q_time_lenient(spark, sf_dir):
+    """Fields that run over roll into the next ones; the result is written in a given format."""
+    t = fixtures.lenient_times(Tables(spark, sf_dir)).withColumn("ts", timefmt.lenient_ntz(F.col("t"), LENIENT_FORMAT))
+    return t.select("event_id", timefmt.epoch_millis(F.col("ts")).alias("epoch_ms"), timefmt.formatted(F.col("ts"), "dd.MM.yyyy HH:mm").alias("text"))
+
+
 def q_write_metrics(spark, sf_dir):
     """K9 + P6: per recall write (uid, items, request id = ingest ms, latency to a given sink time)."""
     songs, wf = _waterfall(spark, sf_dir)
@@ -131,10 +140,21 @@ def q_write_metrics(spark, sf_dir):
 
 
 def q_raw_records(spark, sf_dir):
-    """S2 + P6: log records as queue records -> untouched payload with its request id."""
+    """S2 + P6: log records as queue records of bytes -> untouched payload, shown in hex, with its request id."""
     log = fixtures.log(Tables(spark, sf_dir))
-    rec = log.select("value", F.lit(0).alias("partition"), F.col("event_id").alias("offset"), F.col("ts").alias("timestamp"))
-    return raw_messages(rec)
+    rec = log.select(F.col("value").cast("binary").alias("value"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"), F.col("ts").alias("timestamp"))
+    raw = raw_messages(rec)
+    return raw.select(F.hex("bytes").alias("bytes_hex"), "request_id", "partition", "offset")
+
+
+def q_record_rejects(spark, sf_dir):
+    """S2 -> P1-P3 over payload bytes: every 41st record holds a byte that is no text."""
+    log = fixtures.log(Tables(spark, sf_dir))
+    value = F.col("value").cast("binary")
+    value = F.when(F.col("event_id") % 41 == 0, F.concat(value, F.unhex(F.lit("FF")))).otherwise(value)
+    ok, bad = parse.split(parse.parse_log(log.select("event_id", value.alias("value"))))
+    _, worse = parse.split(parse.parse_songs(ok, keep=["event_id"]))
+    return bad.select("event_id", "reason").unionByName(worse.select("event_id", "reason"))
 
 
 def q_label_scan(spark, sf_dir):
@@ -146,13 +166,12 @@ def q_collection_scan(spark, sf_dir):
     """The labels table exported as a JSON document collection, then fully scanned."""
     path = scratch_path(spark, "collection")
     Tables(spark, sf_dir).labels.write.mode("overwrite").json(path)
-    return collection_scan(spark, path, "json").select(
-        F.col("doc_id").cast("bigint"), F.col("quality").cast("int"), F.col("toxic").cast("int")
-    )
+    return collection_scan(spark, path, "json", "doc_id bigint, quality int, toxic int")
 
 
 QUERIES = {
     "raw_records": q_raw_records,
+    "record_rejects": q_record_rejects,
     "label_scan": q_label_scan,
     "collection_scan": q_collection_scan,
     "title_newest": q_title_newest,
@@ -170,5 +189,6 @@ QUERIES = {
     "msg_dead_letter": q_msg_dead_letter,
     "time_normalize": q_time_normalize,
     "time_rejects": q_time_rejects,
+    "time_lenient": q_time_lenient,
     "write_metrics": q_write_metrics,
 }

@@ -155,6 +155,58 @@ ranked AS (
 )
 
 
+def _hits_ctes(prefix: str, songs: str, ring: str) -> str:
+    """CTEs up to ``{prefix}_ranked``: the recall lists of a song set against a catalogue."""
+    p = prefix
+    return (
+        _index(f"{p}n", ring, "item_id", "name", "fire")
+        + ","
+        + _index(f"{p}s", ring, "item_id", "singer", "fire")
+        + ","
+        + _scored(f"{p}nm", f"(SELECT * FROM {songs} WHERE song_name <> '')", "song_name", f"{p}n", "item_id", "fire")
+        + f""",
+{p}nh AS (
+  SELECT s.event_id, s.uid, s.pos, t.item_id, t.fire FROM {songs} s JOIN (
+    SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, item_id) AS rk FROM {p}nm_scored) t
+  ON s.song_name = t.q AND t.rk = 1),
+{p}rest AS (SELECT s.* FROM {songs} s ANTI JOIN {p}nh USING (event_id, pos)),"""
+        + _scored(f"{p}sg", f"{p}rest", "first_singer", f"{p}s", "item_id", "fire")
+        + f""",
+{p}sh AS (
+  SELECT s.event_id, s.uid, s.pos, t.item_id, t.fire FROM {p}rest s JOIN (
+    SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, item_id) AS rk FROM {p}sg_scored) t
+  ON s.first_singer = t.q AND t.rk <= 5),
+{p}item AS (
+  SELECT event_id, uid, item_id, min(prio) AS prio, max(fire) AS fire
+  FROM (SELECT *, 0 AS prio FROM {p}nh UNION ALL SELECT *, 1 AS prio FROM {p}sh) GROUP BY event_id, uid, item_id),
+{p}ranked AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY prio, fire DESC, item_id) AS rank FROM {p}item)"""
+    )
+
+
+def refreshed_zset() -> str:
+    """Recall lists where events of the first half see the base catalogue, later ones the changed one."""
+    return _with(
+        RECALL_CTES
+        + """,
+half AS (SELECT max(event_id) // 2 AS h FROM events),
+early AS (SELECT * FROM songs1 WHERE event_id < (SELECT h FROM half)),
+late AS (SELECT * FROM songs1 WHERE event_id >= (SELECT h FROM half)),
+ring_old AS (SELECT * FROM ring WHERE CAST(item_id AS BIGINT) % 5 <> 0),
+ring_new AS (
+  SELECT item_id, name || CASE WHEN CAST(item_id AS BIGINT) % 11 = 0 THEN ' special edition' ELSE '' END AS name, singer, fire
+  FROM ring WHERE CAST(item_id AS BIGINT) % 7 <> 0),"""
+        + _hits_ctes("ea", "early", "ring_old")
+        + ","
+        + _hits_ctes("la", "late", "ring_new")
+        + """,
+both_ranked AS (SELECT * FROM earanked UNION ALL SELECT * FROM laranked)""",
+        """
+SELECT 'res:recom:fancy:' || r.uid AS key, r.item_id AS member, CAST(r.fire AS DOUBLE) AS score
+FROM both_ranked r JOIN (SELECT uid, max(event_id) AS event_id FROM both_ranked GROUP BY uid) m USING (uid, event_id)
+WHERE r.rank <= 200""",
+    )
+
+
 def _with(ctes: str, select: str) -> str:
     return "WITH " + ctes.strip().rstrip(",") + "\n" + select.strip()
 
@@ -175,6 +227,20 @@ FROM (SELECT event_id, pos, parts, unnest(generate_series(1, len(parts))) AS i F
   SELECT event_id, pos,
     regexp_split_to_array(regexp_replace(singer_text, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g'), '[,_\\-、]') AS parts
   FROM songs))"""
+        ),
+        "catalogue_refresh": _with(
+            RECALL_CTES
+            + """,
+ring2 AS (
+  SELECT item_id, name || CASE WHEN CAST(item_id AS BIGINT) % 11 = 0 THEN ' special edition' ELSE '' END AS name, fire
+  FROM ring WHERE CAST(item_id AS BIGINT) % 7 <> 0),"""
+            + _index("cidx", "ring2", "item_id", "name", "fire")
+            + ","
+            + _scored("cm", "(SELECT * FROM songs1 WHERE song_name <> '')", "song_name", "cidx", "item_id", "fire"),
+            """
+SELECT s.event_id, s.pos, t.item_id, t.fire, t.score
+FROM songs1 s JOIN (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, item_id) AS rk FROM cm_scored) t
+ON s.song_name = t.q AND t.rk = 1""",
         ),
         "match_name_top1": w("SELECT event_id, pos, item_id, fire, score FROM name_hits"),
         "match_singer_top5": w("SELECT event_id, pos, item_id, fire, score, rank FROM singer_hits"),
@@ -272,6 +338,28 @@ def keyed_queries() -> dict[str, str]:
     w = lambda s: _with(KEYED_CTES, s)
     return {
         "zset_append": w("SELECT key, member, score FROM zlast LEFT JOIN zbar USING (key) WHERE b IS NULL OR version >= b"),
+        "zset_ttl": _with(
+            """RECURSIVE zt AS (
+  SELECT 'z:' || (user_id % 50) AS key, event_type AS member, value AS score, event_id % 29 = 0 AS fresh,
+         CASE WHEN event_id % 3 = 0 THEN -1 ELSE event_id % 5 * 43200 END AS ttl, ts,
+         row_number() OVER (PARTITION BY user_id % 50 ORDER BY ts, event_id) AS r
+  FROM events),
+fold(key, r, life, expires) AS (
+  SELECT key, r, r, CASE WHEN ttl > 0 THEN ts + to_seconds(ttl) END FROM zt WHERE r = 1
+  UNION ALL
+  SELECT o.key, o.r, CASE WHEN o.fresh OR coalesce(f.expires <= o.ts, false) THEN o.r ELSE f.life END,
+         CASE WHEN o.ttl > 0 THEN o.ts + to_seconds(o.ttl)
+              WHEN o.fresh OR coalesce(f.expires <= o.ts, false) THEN NULL ELSE f.expires END
+  FROM fold f JOIN zt o ON o.key = f.key AND o.r = f.r + 1),
+ended AS (SELECT key, arg_max(life, r) AS life, max(r) AS r FROM fold GROUP BY key)""",
+            """
+SELECT m.key, m.member, m.score, f.expires AS expires_at
+FROM (SELECT key, member, arg_max(score, r) AS score, max(r) AS r FROM zt GROUP BY ALL) m
+JOIN ended e USING (key) JOIN fold f ON f.key = e.key AND f.r = e.r
+WHERE m.r >= e.life AND (f.expires IS NULL OR f.expires > TIMESTAMP '2024-01-31 00:00:00')""",
+        ),
+        "hash_log": w("SELECT key, field, json_extract_string(template, '$.' || field) AS value FROM hv CROSS JOIN hfields"),
+        "kv_log": w("SELECT * FROM kvv WHERE expires_at IS NULL OR expires_at > TIMESTAMP '2024-01-31 00:00:00'"),
         "hash_replace": w("SELECT key, field, json_extract_string(template, '$.' || field) AS value FROM hv CROSS JOIN hfields"),
         "kv_ttl": w("SELECT * FROM kvv WHERE expires_at IS NULL OR expires_at > TIMESTAMP '2024-01-31 00:00:00'"),
         "cells_latest": w("SELECT * FROM cells_latest"),
@@ -514,6 +602,18 @@ USING (partition)"""
         "time_normalize": w(
             "SELECT event_id, epoch_us(ts) // 1000 AS epoch_ms, strftime(ts, '%Y%m%d%H%M%S') AS stamp FROM tparsed WHERE ts IS NOT NULL"
         ),
+        "time_lenient": """
+WITH x AS (
+  SELECT event_id, date_trunc('second', ts) AS ts, event_id % 6 AS k, date_trunc('month', ts) AS m,
+         date_trunc('second', ts) - date_trunc('month', ts) AS rest
+  FROM events),
+y AS (
+  SELECT event_id, CASE WHEN event_id % 37 = 0 THEN NULL
+    WHEN k = 1 THEN m + INTERVAL 12 MONTH + rest WHEN k = 5 THEN date_trunc('year', m) - INTERVAL 1 MONTH + rest
+    WHEN k = 2 THEN ts + INTERVAL 31 DAY WHEN k = 3 THEN ts + INTERVAL 25 HOUR WHEN k = 4 THEN ts + INTERVAL 75 SECOND
+    ELSE ts END AS ts
+  FROM x)
+SELECT event_id, epoch_us(ts) // 1000 AS epoch_ms, strftime(ts, '%d.%m.%Y %H:%M') AS text FROM y""",
         "time_rejects": w("SELECT event_id, t FROM tparsed WHERE ts IS NULL"),
     }
 
@@ -526,10 +626,18 @@ def all_queries() -> dict[str, str]:
     out.update(misc_queries())
     out["raw_records"] = _with(
         RECALL_CTES,
-        'SELECT value AS bytes, CAST(epoch_us(ts) // 1000 AS VARCHAR) AS request_id, 0 AS partition, event_id AS "offset" FROM log',
+        'SELECT hex(encode(value)) AS bytes_hex, CAST(epoch_us(ts) // 1000 AS VARCHAR) AS request_id, 0 AS partition, event_id AS "offset" FROM log',
     )
     out["label_scan"] = _with(GRAPH_CTES, "SELECT * FROM nodes WHERE label = 'CELEBRITY'")
     out["collection_scan"] = "SELECT doc_id, quality, toxic FROM labels"
-    # The stream's view must equal the batch sorted-set view.
+    out["record_rejects"] = _with(
+        RECALL_CTES,
+        """SELECT event_id, 'bad_bytes' AS reason FROM events WHERE event_id % 41 = 0
+UNION ALL SELECT event_id, reason FROM rejects WHERE event_id % 41 <> 0""",
+    )
+    # The stream's view must equal the batch sorted-set view, its misses and rejects the batch ones.
     out["stream_recall_zset"] = out["recall_zset"]
+    out["stream_misses"] = out["miss_report"]
+    out["stream_rejects"] = out["parse_rejects"]
+    out["stream_catalogue_refresh"] = refreshed_zset()
     return out

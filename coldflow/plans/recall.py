@@ -1,15 +1,13 @@
 """Registered recall queries: log lines -> recall lists.
 
 Each function takes (spark, sf_dir) and returns a lazy DataFrame.  The only
-eager work is two numbers per catalogue index (N, avgdl) and the catalogue
-row count used by the song recipe.
+eager work is the posting store of the catalogue (once per state of its files),
+the list of buckets that a match reads and the catalogue row count used by the
+song recipe.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coldflow.operators import parse, recall
@@ -18,26 +16,6 @@ from coldflow.sources import fixtures
 from coldflow.sources.tables import Tables
 
 
-@dataclass
-class RecallRun:
-    records: DataFrame  # accepted P1/P2 rows (event_id, uid, audios)
-    rejects: DataFrame  # (event_id, reason)
-    songs: DataFrame  # (event_id, uid, pos, song_name, singer_text, singers, first_singer)
-    catalogue: recall.Catalogue
-
-
-def run(spark: SparkSession, sf_dir: str, mode: str = "faithful", postings_per_task: int | None = None) -> RecallRun:
-    t = Tables(spark, sf_dir)
-    raw = fixtures.log(t)
-    recs = parse.parse_log(raw)
-    ok, incomplete = parse.split(recs)
-    parsed = parse.parse_songs(ok, keep=["event_id", "uid", "audios"])
-    good, bad_json = parse.split(parsed)
-    songs = parse.with_singers(parse.song_rows(good), mode)
-    rejects = incomplete.select("event_id", "reason").unionByName(bad_json.select("event_id", "reason"))
-    return RecallRun(ok, rejects, songs, recall.build_catalogue(fixtures.ring(t), postings_per_task))
-
-
 def q_parse_log_kv(spark, sf_dir):
     t = Tables(spark, sf_dir)
     ok, _ = parse.split(parse.parse_log(fixtures.log(t)))
@@ -81,10 +59,20 @@ def _waterfall(spark, sf_dir):
     """Songs and the waterfall, with the songs and hit tables written at their stage boundaries."""
     songs = stage_table(_songs(spark, sf_dir), "songs")
     t = Tables(spark, sf_dir)
-    cat = recall.catalogue_snapshot(fixtures.ring(t), f"{sf_dir}/part.parquet", lambda n: scratch_path(spark, n))
+    cat = recall.catalogue_snapshot(fixtures.ring(t), t.part, lambda n: scratch_path(spark, n))
     return songs, recall.waterfall(songs, cat, stage=stage_table)
 
 
+def q_catalogue_refresh(spark, sf_dir):
+    """Best name hits after the catalogue changed: base, then one delta that adds, renames and removes items."""
+    t = Tables(spark, sf_dir)
+    store = recall.build_store(fixtures.ring_base(t), scratch_path(spark, "catalogue"))
+    recall.change_store(store, fixtures.ring_changes(t))
+    songs = stage_table(_songs(spark, sf_dir), "songs")
+    hits = recall.name_hits(songs, recall.open_catalogue(spark, store))
+    return hits.select("event_id", "pos", "item_id", "fire", "score")
+
+
 def q_match_name_top1(spark, sf_dir):
     _, wf = _waterfall(spark, sf_dir)
     return wf.name.select("event_id", "pos", "item_id", "fire", "score")
@@ -125,6 +113,7 @@ QUERIES = {
     "parse_rejects": q_parse_rejects,
     "songs_rows": q_songs_rows,
     "singer_split": q_singer_split,
+    "catalogue_refresh": q_catalogue_refresh,
     "match_name_top1": q_match_name_top1,
     "match_singer_top5": q_match_singer_top5,
     "recall_waterfall": q_recall_waterfall,

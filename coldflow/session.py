@@ -96,6 +96,36 @@ def stage_table(df, name: str):
     return spark.read.parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Is there a file or folder at ``path``, in whatever store Spark reads it from?"""
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def files_version(df) -> str:
+    """Names, sizes and times of the files behind ``df``: changes when one of them does."""
+    import hashlib
+
+    found = []
+    for name in sorted(df.inputFiles()):
+        fs, p = _file_system(df.sparkSession, name)
+        st = fs.getFileStatus(p)
+        found.append(f"{name}|{st.getLen()}|{st.getModificationTime()}")
+    return hashlib.md5("\n".join(found).encode()).hexdigest()
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of our own (work tables of a finished batch)."""
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
 def spread(df):
     """Spread rows over the cluster's cores when the input has fewer splits than cores.
 

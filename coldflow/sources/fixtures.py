@@ -52,6 +52,19 @@ def ring(t: Tables) -> DataFrame:
     )
 
 
+def ring_base(t: Tables) -> DataFrame:
+    """The catalogue before its change: without the items whose key is divisible by 5."""
+    return ring(t).where(F.col("item_id").cast("bigint") % 5 != 0)
+
+
+def ring_changes(t: Tables) -> DataFrame:
+    """(item_id, name, singer, fire, deleted): every 5th item comes, every 7th goes, every 11th gets a longer name."""
+    r = ring(t).withColumn("k", F.col("item_id").cast("bigint"))
+    r = r.where((F.col("k") % 5 == 0) | (F.col("k") % 7 == 0) | (F.col("k") % 11 == 0))
+    name = F.when(F.col("k") % 11 == 0, F.concat(F.col("name"), F.lit(" special edition"))).otherwise(F.col("name"))
+    return r.withColumn("name", name).withColumn("deleted", F.col("k") % 7 == 0).drop("k")
+
+
 def song(t: Tables) -> DataFrame:
     """Songs per event (event_id, pos, song, singer) before any parsing."""
     n = t.part_count
@@ -102,6 +115,11 @@ def log(t: Tables) -> DataFrame:
     return ev.select(value.alias("value"), "event_id", "ts")
 
 
+def half_of_events(t: Tables) -> int:
+    """Event ids below this one are the first half."""
+    return (t.events.agg(F.max("event_id")).collect()[0][0] or 0) // 2
+
+
 # ---------------------------------------------------------------------------
 # Keyed tables
 # ---------------------------------------------------------------------------
@@ -117,6 +135,20 @@ def zset_ops(t: Tables) -> DataFrame:
     )
 
 
+def zset_ttl_ops(t: Tables) -> DataFrame:
+    """(key, member, score, op, ttl, write_ts, version): replace every 29th event, ttl -1, 0 or (id % 5) half days."""
+    e = t.events
+    return e.select(
+        F.concat(F.lit("z:"), (F.col("user_id") % 50).cast("string")).alias("key"),
+        F.col("event_type").alias("member"),
+        F.col("value").alias("score"),
+        F.when(_m("event_id", 29) == 0, F.lit("replace")).otherwise(F.lit("put")).alias("op"),
+        F.when(_m("event_id", 3) == 0, F.lit(-1)).otherwise(_m("event_id", 5) * 43200).cast("int").alias("ttl"),
+        F.col("ts").alias("write_ts"),
+        F.col("event_id").alias("version"),
+    )
+
+
 def kv_ops(t: Tables) -> DataFrame:
     """(key, value, ttl, write_ts, version): string sets with a TTL in seconds (0 = none)."""
     e = t.events
@@ -353,6 +385,19 @@ def messages(t: Tables) -> DataFrame:
     return numbered.drop("event_id")
 
 
+def lenient_times(t: Tables) -> DataFrame:
+    """(event_id, t) times whose fields run over: month + 12, day + 31, hour + 25, second + 75, month 0; every 37th is no time."""
+    e = t.events
+    k = _m("event_id", 6)
+    year, month, day = F.year("ts"), F.month("ts"), F.dayofmonth("ts")
+    month = F.when(k == 1, month + 12).when(k == 5, F.lit(0)).otherwise(month)
+    day = F.when(k == 2, day + 31).otherwise(day)
+    hour = F.when(k == 3, F.hour("ts") + 25).otherwise(F.hour("ts"))
+    second = F.when(k == 4, F.second("ts") + 75).otherwise(F.second("ts"))
+    text = F.concat(F.concat_ws("-", year, month, day), F.lit(" "), F.concat_ws(":", hour, F.minute("ts"), second), F.lit(" GMT"))
+    return e.select("event_id", F.when(_m("event_id", 37) == 0, F.lit("bad")).otherwise(text).alias("t"))
+
+
 def times(t: Tables) -> DataFrame:
     """(event_id, t) timestamps as text; every 37th is unparseable."""
     e = t.events

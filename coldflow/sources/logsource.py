@@ -1,7 +1,7 @@
 """Sources: log streams (S1, S2), text reads (S10, S11), exported collections.
 
 A log source is any DataFrame (batch or streaming) with the columns of a
-queue record: ``value`` (bytes or text), ``partition``, ``offset`` and
+queue record: ``value`` (the untouched bytes), ``partition``, ``offset`` and
 ``timestamp``.  The Kafka source has exactly these; tests use a file stream
 of parquet records with the same schema.
 """
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from coldflow.functions.timefmt import request_id
 
-RECORD_SCHEMA = "value STRING, partition INT, offset BIGINT, timestamp TIMESTAMP_NTZ"
+RECORD_SCHEMA = "value BINARY, partition INT, offset BIGINT, timestamp TIMESTAMP_NTZ"
 
 
 def kafka_log_stream(
@@ -27,8 +27,8 @@ def kafka_log_stream(
 ) -> DataFrame:
     """Consumer-group read of a topic from the latest offset (needs the Kafka connector jar).
 
-    Returns (value STRING, partition, offset, timestamp).  The payload is
-    cast, not decoded, so bad bytes never throw (rejected by the parser).
+    Returns (value BINARY, partition, offset, timestamp).  The payload stays as it
+    is; the parser rejects bytes that are no text.
     """
     reader = (
         spark.readStream.format("kafka")
@@ -43,7 +43,7 @@ def kafka_log_stream(
         reader = reader.option(k, v)
     df = reader.load()
     return df.select(
-        F.col("value").cast("string").alias("value"),
+        "value",
         "partition",
         "offset",
         F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
@@ -56,8 +56,8 @@ def file_log_stream(spark: SparkSession, path: str, max_files_per_trigger: int =
 
 
 def raw_messages(records: DataFrame) -> DataFrame:
-    """S2 + P6: payload untouched plus its request id (ingest epoch ms as text)."""
-    return records.select(F.col("value").alias("bytes"), request_id(F.col("timestamp")).alias("request_id"), "partition", "offset")
+    """S2 + P6: payload untouched (BINARY) plus its request id (ingest epoch ms as text)."""
+    return records.select(F.col("value").cast("binary").alias("bytes"), request_id(F.col("timestamp")).alias("request_id"), "partition", "offset")
 
 
 def whole_text(spark: SparkSession, path: str) -> DataFrame:
@@ -65,6 +65,11 @@ def whole_text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).withColumn("path", F.input_file_name())
 
 
-def collection_scan(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    """Full scan of an exported document collection (no predicate, no projection)."""
-    return spark.read.format(fmt).load(path)
+def collection_scan(spark: SparkSession, path: str, fmt: str = "json", schema: str | None = None) -> DataFrame:
+    """Full scan of an exported document collection (no predicate, no projection).
+
+    With ``schema`` the files are read once; without it a JSON collection is
+    read another time before, to find its fields.
+    """
+    reader = spark.read.format(fmt)
+    return (reader.schema(schema) if schema else reader).load(path)
