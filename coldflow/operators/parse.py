@@ -54,18 +54,18 @@ def parse_log(
     A term is ``key~value``; it counts if it has >= 2 parts, the key is wanted
     and the value is non-empty; text after a second '~' is ignored; the last
     counted term of a key wins.  A line lacking any wanted key (or NULL) is
-    rejected as ``incomplete``, bytes that are no UTF-8 text as ``bad_bytes``.
+    rejected as ``incomplete``, a complete one whose bytes are no UTF-8 text as ``bad_bytes``.
     """
     # Each step is its own projection so the split / filter work happens once
     # per row (Catalyst does not re-inline non-cheap expressions).
     x = raw.select(*carry, F.col(value_col).cast("string").alias("_line"))  # cast never throws on bad bytes
     x = x.select(*carry, "_line", F.is_valid_utf8("_line").alias("_text"))
-    x = x.select(*carry, "_line", "_text", log_terms(F.when(F.col("_text"), F.col("_line"))).alias("_terms"))
+    x = x.select(*carry, "_line", "_text", log_terms(F.col("_line")).alias("_terms"))
     x = x.select(*carry, "_line", "_text", *[kv_last_value(F.col("_terms"), k).alias(k) for k in wanted])
     complete = F.lit(True)
     for k in wanted:
         complete = complete & F.col(k).isNotNull()
-    reason = F.when(~F.col("_text"), F.lit(REASON_BAD_BYTES)).when(F.col("_line").isNull() | ~complete, F.lit(REASON_INCOMPLETE))
+    reason = F.when(F.col("_line").isNull() | ~complete, F.lit(REASON_INCOMPLETE)).when(~F.col("_text"), F.lit(REASON_BAD_BYTES))
     return x.select(*carry, *wanted, reason.alias("reason"))
 
 

@@ -632,8 +632,8 @@ def all_queries() -> dict[str, str]:
     out["collection_scan"] = "SELECT doc_id, quality, toxic FROM labels"
     out["record_rejects"] = _with(
         RECALL_CTES,
-        """SELECT event_id, 'bad_bytes' AS reason FROM events WHERE event_id % 41 = 0
-UNION ALL SELECT event_id, reason FROM rejects WHERE event_id % 41 <> 0""",
+        """SELECT event_id, 'bad_bytes' AS reason FROM rec WHERE event_id % 41 = 0
+UNION ALL SELECT event_id, reason FROM rejects WHERE event_id % 41 <> 0 OR reason = 'incomplete'""",
     )
     # The stream's view must equal the batch sorted-set view, its misses and rejects the batch ones.
     out["stream_recall_zset"] = out["recall_zset"]

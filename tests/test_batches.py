@@ -127,7 +127,7 @@ def test_lookups_read_only_the_buckets_of_their_keys(spark):
     plan = row_lookup(req, log)._jdf.queryExecution().executedPlan().toString()
     wanted = {r[0] for r in req.where("row_key IS NOT NULL").select(F.pmod(F.xxhash64("row_key"), F.lit(16))).collect()}
     pruned = re.search(r"PartitionFilters: \[bucket#\d+ (?:IN|=) ([^\]]*)\]", plan)[1]
-    assert {int(x) for x in re.findall(r"\d+", pruned)} == wanted
+    assert {int(x) for x in re.findall(r"\b\d+\b", pruned.split("bucket#")[0])} == wanted
     assert plan.index("max_by") < plan.index("LeftSemi")  # the aggregate stands above the semi-join
 
 

@@ -46,9 +46,9 @@ def test_lenient_pattern_refuses_what_it_does_not_know():
 
 def test_bad_bytes_are_rejected(spark):
     good = "uid~1\x1faudios~[]".encode()
-    df = spark.createDataFrame([(1, good), (2, good + b"\xff"), (3, b"\xe4\xbd"), (4, None), (5, "uid~é\x1faudios~[]".encode())], "event_id long, value binary")
+    df = spark.createDataFrame([(1, good), (2, good + b"\xff"), (3, b"uid~\xe4\xbd\x1faudios~[]"), (4, None), (6, b"\xff"), (5, "uid~é\x1faudios~[]".encode())], "event_id long, value binary")
     got = parse.parse_log(df)
-    assert rows(got, "event_id", "uid", "reason") == [(1, "1", None), (2, None, "bad_bytes"), (3, None, "bad_bytes"), (4, None, "incomplete"), (5, "é", None)]
+    assert rows(got, "event_id", "uid", "reason") == [(1, "1", None), (2, "1", "bad_bytes"), (3, "\ufffd", "bad_bytes"), (4, None, "incomplete"), (5, "é", None), (6, None, "incomplete")]
     raw = raw_messages(df.select("value", F.lit(0).alias("partition"), F.col("event_id").alias("offset"), ntz(dt.datetime(2024, 1, 1)).alias("timestamp")))
     assert dict(raw.dtypes)["bytes"] == "binary" and raw.where("offset = 2").collect()[0]["bytes"] == good + b"\xff"
 

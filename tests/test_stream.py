@@ -123,7 +123,7 @@ def test_catalogue_changes_while_the_job_runs(spark):
         if n:
             changes = spark.createDataFrame([("9", "new song", "D", 9, False), ("2", None, None, None, True), ("1", "x", "y", None, False)], ring + ", deleted boolean")
             assert recall.change_store(store, changes) == 1
-        log = [(f"uid~u{n}\x1faudios~{line}".encode(), 0, 10 * n, None), (b"\xff", 0, 10 * n + 1, None)]
+        log = [(f"uid~u{n}\x1faudios~{line}".encode(), 0, 10 * n, None), (b"uid~1\x1faudios~[]\x1f\xff", 0, 10 * n + 1, None)]
         df = spark.createDataFrame(log, "value binary, partition int, offset long, timestamp timestamp_ntz")
         df.coalesce(1).write.mode("append").parquet(f"{base}/in")
         run_recall_stream(
