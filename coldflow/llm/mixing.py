@@ -7,13 +7,10 @@
    repetition costs, so no pattern is repeated while another one that serves
    the same quota has unused documents.
 3. Each pattern's flow is realised by whole documents: all of them
-   ``floor(flow / size)`` times, and a seeded subset once more.  The subset is
-   every document below a boundary in md5 order; into the gap that the boundary
-   document leaves go ``FILLS`` further documents, each the largest that still
-   fits (ties in md5 order).  With ``fill_up``, while a document left fits
-   into the gap, rounds follow: those that fit, in md5 order up to the gap, and
-   the largest that fits in turns.  Two rounds at least halve a gap, so there
-   are few, and where they end no document left fits.
+   ``floor(flow / size)`` times, and a seeded subset once more: first fit in md5
+   order, that is, every document that fits into what its pattern still lacks when
+   its turn comes.  So where the selection ends no document left fits.  It runs in rounds
+   (``_first_fit``), each a prefix sum over the documents that fit.
 
 The prefix sums run over (pattern, first three hex digits of the md5), so no
 task ever holds a pattern: only the 4,096th part at the boundary is ordered
@@ -39,7 +36,6 @@ from coldflow.session import stage_table
 
 WORD = r"[^\x20\x09-\x0D]+"
 SEED = "mix-1"
-FILLS = 3
 MAX_PATTERNS = 20_000
 
 
@@ -128,18 +124,19 @@ def min_cost_flow(capacity: Sequence[int], quota: Sequence[int], serves: Sequenc
         got[end] += amount
 
 
-def mix(docs: DataFrame, sizes: Column, sources: Column, weights: Sequence[int], share: float = 1.5, most: int = 2, id_column: str = "doc_id", seed: str = SEED, fill_up: bool = True) -> DataFrame:
+def mix(docs: DataFrame, sizes: Column, sources: Column, weights: Sequence[int], share: float = 1.5, most: int = 2, id_column: str = "doc_id", seed: str = SEED, carry: Sequence[str] = ()) -> DataFrame:
     """(the id, sources, size, source_size, target, copies, taken) for each row of ``docs``.
 
     ``sources`` is an array of source names (null elements allowed, sorted
     last); ``weights`` repeat over the sources in code-point order; together
     they share ``share`` times all sizes, none above ``most`` times its own.
-    ``source_size`` and ``target`` are those of the first source.  Without
-    ``fill_up`` the selection ends after the ``FILLS`` picks.
+    ``source_size`` and ``target`` are those of the first source.  ``carry`` names
+    columns of ``docs`` that come with the result.  A null array is one without sources, of
+    which nothing is taken.
     """
     spark = docs.sparkSession
     key = F.md5(F.concat(F.lit(seed + "|"), F.coalesce(F.col(id_column).cast("string"), F.lit(""))))
-    rows = stage_table(docs.select(F.col(id_column).alias("id"), F.array_sort(F.array_distinct(sources)).alias("sources"), sizes.alias("size"), key.alias("h"), F.monotonically_increasing_id().alias("row")), "mix-rows")
+    rows = stage_table(docs.select(F.col(id_column).alias("id"), *carry, F.coalesce(F.array_sort(F.array_distinct(sources)), F.array().cast("array<string>")).alias("sources"), sizes.alias("size"), key.alias("h"), F.monotonically_increasing_id().alias("row")), "mix-rows")
     per_pattern = rows.groupBy("sources").agg(F.sum("size").alias("size")).limit(MAX_PATTERNS + 1).collect()
     if len(per_pattern) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
@@ -153,7 +150,7 @@ def mix(docs: DataFrame, sizes: Column, sources: Column, weights: Sequence[int],
     target = targets(source_size, [weights[i % len(weights)] for i in range(len(names))], share * sum(r["size"] for r in patterns), most)
     sent = min_cost_flow([r["size"] for r in patterns], [int(t) for t in target], [[index[s] for s in r["sources"]] for r in patterns], most)
     plan = [(r["sources"], f // r["size"] if r["size"] else 0, f % r["size"] if r["size"] else 0, source_size[index[r["sources"][0]]] if r["sources"] else 0, target[index[r["sources"][0]]] if r["sources"] else 0.0) for r, f in zip(patterns, sent, strict=True)]
-    return _select(spark, rows, plan, fill_up).withColumnRenamed("id", id_column)
+    return _select(spark, rows, plan, carry).withColumnRenamed("id", id_column)
 
 
 def _same(a: str, b: str) -> Column:
@@ -181,9 +178,14 @@ def _in_order(rows: DataFrame, fits: str, room: str) -> DataFrame:
     return rows.withColumn("first", F.coalesce(F.expr(fits) & below, F.lit(False))).drop("cut_sources", "edge_bin", "last")
 
 
-def _fill_up(rows: DataFrame) -> DataFrame:
-    """Picks until no document left fits into what its pattern lacks: documents in md5 order and the largest one in turns."""
-    in_order = True
+def _first_fit(rows: DataFrame) -> DataFrame:
+    """Adds ``picked``: in md5 order, each document that fits into what its pattern still lacks.
+
+    One round takes the documents that fit by their prefix sum, up to the first that does not fit behind the
+    others.  That one and all larger ones stay out, as the room only shrinks, so
+    the next round goes on behind it with those that fit into the room left.
+    """
+    rows = rows.withColumn("picked", F.lit(False))
     while True:
         lacking = rows.where("rest > 0").groupBy("sources", "rest").agg(F.sum(F.when(F.col("picked"), F.col("size")).otherwise(0)).alias("used"), F.min(F.when(~F.col("picked") & (F.col("size") > 0), F.col("size"))).alias("least"))
         lacking = lacking.where("least <= rest - used").select(F.col("sources").alias("gap_sources"), (F.col("rest") - F.col("used")).alias("gap")).collect()  # <= MAX_PATTERNS rows
@@ -191,34 +193,14 @@ def _fill_up(rows: DataFrame) -> DataFrame:
             return rows
         gaps = F.broadcast(rows.sparkSession.createDataFrame(lacking, "gap_sources array<string>, gap long"))
         rows = rows.join(gaps, _same("sources", "gap_sources"), "left").drop("gap_sources")
-        fits = "NOT picked AND size > 0 AND size <= gap"
-        if in_order:
-            rows = _in_order(rows, fits, "gap").withColumn("picked", F.col("picked") | F.col("first")).drop("first", "used")
-        else:
-            best = rows.where(fits).groupBy("sources").agg(F.max_by("row", F.struct("size", "h", "id", "row")).alias("best_row")).drop("sources")
-            rows = rows.join(F.broadcast(best), F.col("row") == F.col("best_row"), "left")  # <= MAX_PATTERNS rows
-            rows = rows.withColumn("picked", F.col("picked") | F.col("best_row").isNotNull()).drop("best_row")
+        rows = _in_order(rows, "NOT picked AND size > 0 AND size <= gap", "gap").withColumn("picked", F.col("picked") | F.col("first")).drop("first", "used")
         rows = stage_table(rows.drop("gap"), "mix-round")
-        in_order = not in_order
 
 
-def _select(spark: SparkSession, rows: DataFrame, plan: list[tuple], fill_up: bool) -> DataFrame:
+def _select(spark: SparkSession, rows: DataFrame, plan: list[tuple], carry: Sequence[str]) -> DataFrame:
     """Realise (pattern, whole copies, further words) with whole documents."""
     flows = F.broadcast(spark.createDataFrame(plan, "sources array<string>, copies long, rest long, source_size long, target double"))  # <= MAX_PATTERNS rows
     rows = rows.join(flows.withColumnRenamed("sources", "flow_sources"), _same("sources", "flow_sources")).drop("flow_sources")
-    rows = _in_order(rows.withColumn("bin", F.substring("h", 1, 3)), "size > 0 AND rest > 0", "rest")
-    rows = stage_table(rows.withColumn("gap", F.when(F.col("rest") > 0, F.col("rest") - F.col("used"))).withColumnRenamed("first", "picked").drop("used"), "mix-picked")
-    for _ in range(FILLS):
-        best = (
-            rows.where("NOT picked AND size > 0 AND size <= gap")
-            .groupBy("sources")
-            .agg(F.max_by(F.struct("id", "h", "size"), F.struct("size", "h", "id")).alias("b"))
-            .select(F.col("sources").alias("fill_sources"), F.col("b.id").alias("fill_id"), F.col("b.size").alias("fill_size"))
-        )
-        rows = rows.join(F.broadcast(best), _same("sources", "fill_sources"), "left")  # <= MAX_PATTERNS rows
-        is_fill = F.coalesce(F.col("id").eqNullSafe(F.col("fill_id")) & (F.col("size") == F.col("fill_size")) & ~F.col("picked"), F.lit(False))
-        rows = rows.withColumn("picked", F.col("picked") | is_fill).withColumn("gap", F.col("gap") - F.coalesce("fill_size", F.lit(0))).drop("fill_sources", "fill_id", "fill_size")
-    if fill_up:
-        rows = _fill_up(rows.drop("gap"))
+    rows = _first_fit(stage_table(rows.withColumn("bin", F.substring("h", 1, 3)), "mix-flows"))
     copies = F.col("copies") + F.col("picked").cast("long")
-    return rows.select("id", "sources", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
+    return rows.select("id", *carry, "sources", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))

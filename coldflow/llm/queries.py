@@ -34,13 +34,13 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.attribute(table(spark, sf_dir, "documents"), vocabulary())
 
 
-def mixed(docs: DataFrame, fill_up: bool = True) -> DataFrame:
-    return mixing.mix(docs, mixing.word_count(F.col("text")), F.array("source"), WEIGHTS, fill_up=fill_up)
+def mixed(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    return mixing.mix(docs, mixing.word_count(F.col("text")), F.array("source"), WEIGHTS, carry=carry)
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words that the mix takes of each document; like OP2_SQL it ends after the ``FILLS`` picks, the pipeline goes on."""
-    return mixed(table(spark, sf_dir, "documents"), fill_up=False).select("doc_id", "size", "source_size", "target", "taken")
+    """Words that the mix takes of each document."""
+    return mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,14 +123,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in own}
 
 
-_FILL = """
- fill{n} AS (SELECT source, arg_max(struct_pack(i := doc_id, s := size), struct_pack(s := size, h := h, i := doc_id)) AS b FROM pick{p} WHERE NOT picked AND size > 0 AND size <= gap GROUP BY source),
- pick{n} AS (SELECT p.* REPLACE (picked OR coalesce(f.b.i = p.doc_id AND f.b.s = p.size, false) AS picked, gap - coalesce(f.b.s, 0) AS gap)
-             FROM pick{p} p LEFT JOIN fill{n} f ON p.source IS NOT DISTINCT FROM f.source)"""
-
-OP2_SQL = (
-    """
-WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size, md5('mix-1|' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+OP2_SQL = """
+WITH RECURSIVE d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size, md5('mix-1|' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
  s AS (SELECT source, sum(size)::BIGINT AS source_size, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS w FROM d GROUP BY source),
  o AS (SELECT *, row_number() OVER (ORDER BY 2.0 * source_size / w, source NULLS LAST) AS k, 2.0 * source_size / w AS cap_rate,
               1.5 * (SELECT sum(source_size) FROM s) - coalesce(sum(2.0 * source_size) OVER (ORDER BY 2.0 * source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room,
@@ -138,13 +132,10 @@ WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20
  free AS (SELECT min(k) AS k FROM o WHERE room * w / share <= 2.0 * source_size),
  t AS (SELECT o.source, o.source_size, CASE WHEN o.k >= f.k THEN (SELECT room FROM o x WHERE x.k = f.k) * o.w / (SELECT share FROM o x WHERE x.k = f.k) ELSE 2.0 * o.source_size END::DOUBLE AS target FROM o, free f),
  q AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target)::BIGINT // source_size ELSE 0 END AS copies, CASE WHEN source_size > 0 THEN floor(target)::BIGINT % source_size ELSE 0 END AS rest FROM t),
- r AS (SELECT d.*, q.source_size, q.target, q.copies, q.rest, sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.size, d.doc_id ROWS UNBOUNDED PRECEDING) AS upto FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source),
- u AS (SELECT *, size > 0 AND rest > 0 AND upto <= rest AS first_picked FROM r),
- pick0 AS (SELECT *, first_picked AS picked, CASE WHEN rest > 0 THEN rest - coalesce(sum(CASE WHEN first_picked THEN size END) OVER (PARTITION BY source), 0) END AS gap FROM u),"""
-    + ",".join(_FILL.format(n=n, p=n - 1) for n in range(1, mixing.FILLS + 1))
-    + f"""
-SELECT doc_id, size, source_size, target, (size * (copies + CASE WHEN picked THEN 1 ELSE 0 END))::BIGINT AS taken FROM pick{mixing.FILLS}"""
-)
+ o2 AS (SELECT d.*, q.source_size, q.target, q.copies, q.rest, row_number() OVER (PARTITION BY d.source ORDER BY d.size = 0, d.h, d.size, d.doc_id) AS r FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source),
+ fit(source, r, gap, picked) AS (SELECT source, 0::BIGINT, rest, false FROM q UNION ALL
+   SELECT o2.source, o2.r, CASE WHEN size <= gap THEN gap - size ELSE gap END, size <= gap FROM fit JOIN o2 ON o2.source IS NOT DISTINCT FROM fit.source AND o2.r = fit.r + 1)
+SELECT doc_id, size, source_size, target, (size * (copies + CASE WHEN picked THEN 1 ELSE 0 END))::BIGINT AS taken FROM o2 JOIN fit ON o2.source IS NOT DISTINCT FROM fit.source AND o2.r = fit.r"""
 
 OP4_SQL = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
