@@ -15,10 +15,17 @@ from coldflow.llm.workers import importable
 from coldflow.session import stage_table
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` but for the rows with an id of ``ids`` (doc_id)."""
-    ids = stage_table(ids.distinct(), "pipeline-ids")
-    return docs.join(jaccard.small(ids, ids.count()), "doc_id", "left_anti").select(*docs.columns)
+ROW = "_pipeline_row"
+
+
+def _numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a number of their own in ROW: ids may be null or repeat, rows are what a stage keeps or drops."""
+    return stage_table(docs.withColumn(ROW, F.monotonically_increasing_id()), f"pipeline-{name}-rows")
+
+
+def _as_documents(rows: DataFrame) -> DataFrame:
+    """The texts under their row numbers, for operators that tell documents apart by doc_id."""
+    return rows.select(F.col(ROW).alias("doc_id"), "text")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,31 +36,31 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, the one with the smallest id; of rows that repeat it, one."""
+    """One document of each group of near duplicates stays: the one with the smallest id, of several rows with it, one; null ids come last."""
     importable(spark)
-    found = stage_table(jaccard.components(docs), "pipeline-components")
-    kept = _without(docs, found.where("component_id <> doc_id").select("doc_id"))
-    repeated = found.where("n_shingles > 0 AND component_id = doc_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    repeated = stage_table(repeated, "pipeline-repeated")
-    if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return _without(kept, repeated).unionByName(once.select(*docs.columns))
+    rows = _numbered(docs, "near-duplicates")
+    found = jaccard.components(_as_documents(rows)).select(F.col("doc_id").alias(ROW), "component_id")
+    members = rows.select(ROW, F.col("doc_id").isNull().alias("none"), "doc_id").join(found, ROW)
+    first = members.groupBy("component_id").agg(F.min(F.struct("none", "doc_id", ROW)).alias("first"))
+    kept = stage_table(first.select(F.col(f"first.{ROW}").alias(ROW)), "pipeline-kept")
+    return rows.join(kept, ROW, "left_semi").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    found = decontam.contaminated(docs, queries.table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.select("doc_id"))
+    rows = _numbered(docs, "decontamination")
+    found = decontam.contaminated(_as_documents(rows), queries.table(spark, sf_dir, "benchmark"))
+    gone = stage_table(found.select(F.col("doc_id").alias(ROW)).distinct(), "pipeline-contaminated")
+    return rows.join(jaccard.small(gone, gone.count()), ROW, "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as many times as the mix takes it."""
     importable(spark)
-    taken = queries.mixed(docs).where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("_copies"))
-    taken = stage_table(taken, "pipeline-mix")
-    rows = docs.join(jaccard.small(taken, taken.count()), "doc_id")
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*docs.columns)
+    rows = _numbered(docs, "mixing")
+    taken = stage_table(queries.mixed(rows, (ROW,)).where("copies > 0").select(ROW, F.col("copies").alias("_copies")), "pipeline-mix")
+    taken = rows.join(jaccard.small(taken, taken.count()), ROW)
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*docs.columns)
 
 
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
