@@ -17,6 +17,20 @@ from coldflow.session import stage_table
 
 ROW = "_pipeline_row"
 
+#: Python workers live through all stages, so what a worker has freed must go back to the system:
+#: Arrow's buffers by the C library, large blocks as mappings of their own, the rest trimmed.
+WORKER_MEMORY = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+    "MALLOC_ARENA_MAX": "2",
+    "MALLOC_MMAP_THRESHOLD_": str(4 << 20),
+    "MALLOC_TRIM_THRESHOLD_": str(32 << 20),
+}
+
+
+def _workers(spark: SparkSession) -> None:
+    importable(spark)
+    spark.sparkContext.environment.update(WORKER_MEMORY)
+
 
 def _numbered(docs: DataFrame, name: str) -> DataFrame:
     """``docs`` with a number of their own in ROW: ids may be null or repeat, rows are what a stage keeps or drops."""
@@ -30,14 +44,14 @@ def _as_documents(rows: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents with a toxicity score of 0.5 or more; the classifier learns from the stage's labelled documents."""
-    importable(spark)
+    _workers(spark)
     scored = toxicity.score(docs, queries.toxicity_model(spark, docs, sf_dir), "_toxic_score", "_toxic")
     return scored.where("_toxic = 0").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: the one with the smallest id, of several rows with it, one; null ids come last."""
-    importable(spark)
+    _workers(spark)
     rows = _numbered(docs, "near-duplicates")
     found = jaccard.components(_as_documents(rows)).select(F.col("doc_id").alias(ROW), "component_id")
     members = rows.select(ROW, F.col("doc_id").isNull().alias("none"), "doc_id").join(found, ROW)
@@ -48,6 +62,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
+    _workers(spark)
     rows = _numbered(docs, "decontamination")
     found = decontam.contaminated(_as_documents(rows), queries.table(spark, sf_dir, "benchmark"))
     gone = stage_table(found.select(F.col("doc_id").alias(ROW)).distinct(), "pipeline-contaminated")
@@ -56,7 +71,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as many times as the mix takes it."""
-    importable(spark)
+    _workers(spark)
     rows = _numbered(docs, "mixing")
     taken = stage_table(queries.mixed(rows, (ROW,)).where("copies > 0").select(ROW, F.col("copies").alias("_copies")), "pipeline-mix")
     taken = rows.join(jaccard.small(taken, taken.count()), ROW)
@@ -65,7 +80,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Coded token-id files of the mix, read back: one row per document."""
-    importable(spark)
+    _workers(spark)
     return queries.token_files(spark, docs)
 
 
