@@ -7,8 +7,8 @@ orthogonal matrix, lists are the cells of centroids fitted (k-means) on a
 bounded sample, and every vector is in the list of its nearest centroid.
 
 A query scans its nearest lists: as many as held ``RECALL`` of the true
-neighbours of sampled queries within the sample, or ``probes`` if given.  The
-nearest list goes first and gives the bound for all others.  In a list the rotated vectors
+neighbours of sampled queries within the sample, or ``probes`` if given, and
+further ones until they hold k + 1 different vectors.  The nearest list goes first and gives the bound for all others.  In a list the rotated vectors
 are stored as column blocks of ``BLOCK_DIMS`` dimensions.  After d of D
 dimensions the partial distance scaled by D / d estimates the full one with
 error about EPSILON / sqrt(d); a candidate is abandoned as soon as the
@@ -177,7 +177,9 @@ def search(vectors: DataFrame, is_query, k: int = 20, probes: int | None = None,
 
     probes = probes or index.probes
 
-    def assign(n, query):
+    def assign(n, query, held=None):
+        """Each row's ``n`` nearest lists; with ``held`` (classes in each list) more, until they hold k + 1 classes."""
+
         def run(batches):
             ix = shared.value
             for b in batches:
@@ -185,10 +187,15 @@ def search(vectors: DataFrame, is_query, k: int = 20, probes: int | None = None,
                     continue
                 x = np.array(b.column("v").to_pylist(), np.float64)
                 placed = ix.place(x, query)
-                lists = ix.nearest_lists(placed, n)
-                own = np.repeat(np.arange(len(x)), lists.shape[1])
-                nth = np.tile(np.arange(lists.shape[1], dtype=np.int32), len(x))
-                yield pa.RecordBatch.from_arrays([b.column("cls").take(pa.array(own)), pa.array(lists.ravel().astype(np.int32)), pa.array(nth), pa.array([x[i].tobytes() for i in own], pa.binary()), pa.array([placed[i].tobytes() for i in own], pa.binary())], ["cls", "list", "nth", "v", "placed"])
+                lists = list(ix.nearest_lists(placed, n))
+                if held is not None:
+                    for i in np.flatnonzero([held[a].sum() <= k for a in lists]).tolist():
+                        order = ix.nearest_lists(placed[i : i + 1], len(held))[0]
+                        lists[i] = order[: max(n, int(np.searchsorted(np.cumsum(held[order]), k + 1)) + 1)]
+                size = np.array([len(a) for a in lists])
+                own = np.repeat(np.arange(len(x)), size)
+                nth = np.concatenate([np.arange(m, dtype=np.int32) for m in size])
+                yield pa.RecordBatch.from_arrays([b.column("cls").take(pa.array(own)), pa.array(np.concatenate(lists).astype(np.int32)), pa.array(nth), pa.array([x[i].tobytes() for i in own], pa.binary()), pa.array([placed[i].tobytes() for i in own], pa.binary())], ["cls", "list", "nth", "v", "placed"])
 
         return run
 
@@ -207,7 +214,10 @@ def search(vectors: DataFrame, is_query, k: int = 20, probes: int | None = None,
     keys = ["list", "cell", "group"]
     indexed = stage_table(cls.select("cls", "v").mapInArrow(assign(1, False), fields), "ann-index")
     members = stage_table(rows.where(is_query).select("vec_id", "v").join(cls.select("cls", "v"), "v").select(F.col("vec_id").alias("query_id"), "cls").distinct(), "ann-queries")
-    asked = stage_table(cls.join(members.select("cls").distinct(), "cls", "left_semi").select("cls", "v").mapInArrow(assign(probes, True), fields), "ann-asked")
+    held = np.zeros(len(index.centroids), np.int64)
+    for r in indexed.groupBy("list").count().collect():  # <= MAX_LISTS rows
+        held[r["list"]] = r["count"]
+    asked = stage_table(cls.join(members.select("cls").distinct(), "cls", "left_semi").select("cls", "v").mapInArrow(assign(probes, True, held), fields), "ann-asked")
     cells = indexed.groupBy("list").count().select("list", F.ceil(F.col("count") / CELL_ROWS).alias("cells"))
     first_id = F.lit(0).cast("long")
     base = indexed.join(cells, "list").withColumn("cell", F.pmod(F.xxhash64("cls"), F.col("cells")))
