@@ -13,10 +13,12 @@ bytes the smallest record id keeps the payload (``response``); the others are
 Reading: selected index rows are sorted by file and offset and coalesced into
 byte ranges (gaps of up to ``MAX_GAP`` bytes are read through, a range ends
 at ``MAX_RANGE``); each range is one read, each record one gzip member in it.
-Digests of payloads are checked against the header on reading.
+Digests of payloads are checked against the header on reading.  Ranges are
+dealt to tasks by their bytes, whatever files they lie in.
 
 Files are reached through ``pyarrow.fs`` (file, hdfs, s3, gs URIs).  Defined
-cases: a null payload is empty; a null url is written as an empty one; rows
+cases: a null payload is empty; a null url is written as an empty one; a null
+id is written as an empty one and read back as null, such a record is always a response; rows
 that repeat an id with another payload are records of their own; payload
 bytes are kept as they are; an empty table gives an empty index.
 """
@@ -44,13 +46,13 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 INDEX = "file string, offset long, length long, record_id long, url string, payload_digest string, record_type string, refers_to long"
 
 
-def record(record_id: int, url: str, payload: bytes, digest: str, refers_to: int | None) -> bytes:
+def record(record_id: int | None, url: str, payload: bytes, digest: str, refers_to: int | None) -> bytes:
     """One uncompressed record; a revisit (``refers_to`` given) holds no payload."""
     body = payload if refers_to is None else b""
     head = [
         "WARC/1.1",
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-        f"WARC-Record-ID: <urn:record:{record_id}>",
+        f"WARC-Record-ID: <urn:record:{'' if record_id is None else record_id}>",
         f"WARC-Date: {DATE}",
         f"WARC-Target-URI: {url}",
         f"WARC-Payload-Digest: sha256:{digest}",
@@ -158,11 +160,15 @@ def read(spark: SparkSession, path: str, index: DataFrame, keep_payload: bool =
                 yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     schema = pa.schema([("record_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
-    return ranges(index).mapInArrow(run, "record_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
+    found = stage_table(ranges(index), "warc-ranges")
+    total = found.agg(F.sum(F.col("end") - F.col("begin"))).collect()[0][0] or 0
+    # dealt round robin: a task reads about MAX_RANGE bytes of archives, whatever files they are in
+    return found.repartition(max(1, -(-total // MAX_RANGE))).mapInArrow(run, "record_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
 
 
-def _record_id(urn: str) -> int:
-    return int(urn.removeprefix("<urn:record:").removesuffix(">"))
+def _record_id(urn: str) -> int | None:
+    own = urn.removeprefix("<urn:record:").removesuffix(">")
+    return int(own) if own else None
 
 
 def new_archive(spark: SparkSession) -> str:

@@ -75,3 +75,45 @@ def test_the_mix_keeps_rows_without_an_id(spark):
     left = _left(corpus_pipeline.mix_sources, spark, rows)
     words = sum(len(t.split()) for _, t in left)
     assert words <= 300 and set(left) == set(_left(lambda s, d, _: d, spark, rows)) and words >= 220
+
+
+def test_pages_without_an_id_come_back(spark):
+    from coldflow.llm import warc
+
+    queries.importable(spark)
+    long = b"x" * 200
+    rows = [(None, "u", long), (None, "u", long), (7, "u", long), (3, "u", long), (None, "u", None), (4, "u", b"y" * 150)]
+    records = spark.createDataFrame(rows, "record_id long, url string, payload binary")
+    path = warc.new_archive(spark)
+    got = warc.read(spark, path, warc.write(records, path)).collect()
+    assert sorted(((r["record_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in got), key=str) == sorted(
+        [(None, 200, "response", None), (None, 200, "response", None), (7, 200, "revisit", 3), (3, 200, "response", None), (None, 0, "response", None), (4, 150, "response", None)], key=str
+    )
+
+
+def test_pages_are_read_by_several_tasks(spark, monkeypatch):
+    from coldflow.llm import warc
+
+    monkeypatch.setattr(warc, "MAX_RANGE", 2000)
+    queries.importable(spark)
+    records = spark.range(300).select(F.col("id").alias("record_id"), F.lit("u").alias("url"), F.sha2(F.col("id").cast("string"), 512).cast("binary").alias("payload"))
+    path = warc.new_archive(spark)
+    back = warc.read(spark, path, warc.write(records, path))
+    assert back.rdd.getNumPartitions() > 5 and sorted(r["record_id"] for r in back.collect()) == list(range(300))
+
+
+def test_queries_in_small_clusters_get_all_their_rows(spark):
+    import numpy as np
+
+    from coldflow.llm import ann
+
+    rng = np.random.default_rng(12)
+    centres = rng.standard_normal((16, 24)) * 6
+    sizes = [360] * 8 + [3] * 8
+    x = np.concatenate([c + 0.05 * rng.standard_normal((n, 24)) for c, n in zip(centres, sizes, strict=True)])
+    x = x[rng.permutation(len(x))]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.search(df, F.col("vec_id") % 20 == 0, probes=1).collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert set(got) == set(range(0, len(x), 20)) and all(len(set(v)) == 20 for v in got.values())
