@@ -53,11 +53,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each group of near duplicates stays: the one with the smallest id, of several rows with it, one; null ids come last."""
     _workers(spark)
     rows = _numbered(docs, "near-duplicates")
-    found = jaccard.components(_as_documents(rows)).select(F.col("doc_id").alias(ROW), "component_id")
+    found = stage_table(jaccard.components(_as_documents(rows)).select(F.col("doc_id").alias(ROW), "component_id"), "pipeline-components")
     members = rows.select(ROW, F.col("doc_id").isNull().alias("none"), "doc_id").join(found, ROW)
     first = members.groupBy("component_id").agg(F.min(F.struct("none", "doc_id", ROW)).alias("first"))
-    kept = stage_table(first.select(F.col(f"first.{ROW}").alias(ROW)), "pipeline-kept")
-    return rows.join(kept, ROW, "left_semi").select(*docs.columns)
+    # only row numbers are joined by shuffle; texts are not moved while the numbers that go are few enough to broadcast
+    gone = stage_table(found.select(ROW).join(first.select(F.col(f"first.{ROW}").alias(ROW)), ROW, "left_anti"), "pipeline-copies")
+    return rows.join(jaccard.small(gone, gone.count()), ROW, "left_anti").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
