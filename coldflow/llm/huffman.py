@@ -1,26 +1,28 @@
 """Token-ID output (8): canonical length-limited Huffman coding with block checkpoints.
 
 Whole texts are encoded once (``encode_ids``, end id appended) into a staged
-table whose rows hold one Arrow batch's documents of one part, a range of
-about ``PART_ROWS`` ids (doc_id counts as near unique: a part is one task's).  The code comes from the
-global id counts: one partial count vector per task, summed by id in Spark;
-at most ``vocabulary size`` numbers reach the driver, where package-merge
-gives code lengths of at most ``MAX_BITS``.
+table, one row per document; each task adds a row with its own id counts, so
+the code needs no second pass over the ids.  Counts are summed by id in
+Spark; at most ``vocabulary size`` numbers reach the driver, where
+package-merge gives code lengths of at most ``MAX_BITS``.
 
 File format: a Parquet folder written by Spark's committing writer, in
-ascending id order over its parts.  Each row is one independent block of
-whole documents (about ``BLOCK_IDS`` ids; a longer document is a block of its
-own): ``part, block, doc_ids, counts, payload, marks``.  ``payload`` holds the codes
+ascending id order over its parts.  A part is one task's range of documents
+(about ``PART_BYTES`` of ids, at most ``MAX_PARTS`` parts; beyond that parts grow, which
+costs no memory: they are sorted by Spark and coded as they stream by).  Each
+row is one independent block of whole documents (about ``BLOCK_IDS`` ids; a
+longer document is a block of its own): ``part, block, doc_ids, counts, payload,
+marks``.  ``payload`` holds the codes
 in 16-bit big-endian words; ``marks`` the number of bits of every
 ``CHECKPOINT`` ids, from which each lane's bit offset follows.  The code
 lengths themselves are one more file, ``code`` (id, length).
 
 Decoding looks ``MAX_BITS`` bits up in one table, for all checkpoints of a
-block in parallel.
+block in parallel; coding and decoding go through ``RUN_IDS`` ids at a time.
 
 Defined cases: null and empty texts hold only the end id; repeated rows and
-repeated ids each keep their own ids (ties in doc_id are ordered by the crc32 of the ids);
-rows with null doc_id come first; an empty table gives empty files.
+repeated ids each keep their own ids (ties in doc_id are ordered by the crc32 of the ids, and
+may go to several parts); rows with null doc_id come first; an empty table gives empty files.
 """
 
 from __future__ import annotations
@@ -30,86 +32,69 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from coldflow.llm.encode import encoder
 from coldflow.llm.text import blocks, column_bytes
-from coldflow.session import scratch_path, stage_table
+from coldflow.session import scratch_path
 
 MAX_BITS = 20
 BLOCK_IDS = 1 << 16
 CHECKPOINT = 64
 END_ID = 2
-PART_ROWS = 4096
-MAX_PARTS = 10_000
+RUN_IDS = 1 << 20
+PART_BYTES = 16 << 20
+MAX_PARTS = 50_000
 
 
-def part_bounds(docs: DataFrame, id_column: str, rows: int = PART_ROWS, most: int = MAX_PARTS) -> np.ndarray:
-    """Ascending ids that cut the documents into parts of about ``rows`` rows, at most ``most`` parts."""
-    parts = min(most, -(-docs.count() // rows))
-    cuts = docs.where(F.col(id_column).isNotNull()).select(F.col(id_column).cast("double").alias("x")).approxQuantile("x", [k / parts for k in range(1, parts)], 0.05 / parts) if parts > 1 else []
-    return np.unique(np.array(cuts, np.float64))
+ENCODED = "doc_id long, tie long, nth long, n long, ids binary, seen array<int>, seen_n array<long>"
 
 
 def encode_ids(docs: DataFrame, vocabulary: str, end_id: int = END_ID, id_column: str = "doc_id") -> DataFrame:
-    """(part, doc_ids, counts, ids): ids of whole texts, end id last, grouped by part within each Arrow batch.
+    """Ids of whole texts, end id last, and one row of id counts per task.
 
-    ``ids`` is zstd over little-endian ids of 16 bits (32 if the vocabulary
-    needs them), so that the staged table and its shuffle stay small.
+    A document's row has ``ids`` (little-endian, 16 bits each or 32 if the
+    vocabulary needs them), their number ``n`` and crc32 ``tie``, and ``nth`` of its
+    task; a task's last row has only ``seen`` and ``seen_n``.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(part_bounds(docs, id_column))  # at most MAX_PARTS numbers
 
     def run(batches):
         enc = encoder(vocabulary)
-        bounds = shared.value
+        total = np.zeros(max(len(enc.id_bytes), end_id + 1), np.int64)
+        nth = 0
         for b in batches:
             data, offsets = column_bytes(b.column("text"))
-            key = b.column("doc_id")
-            part = np.searchsorted(bounds, key.fill_null(0).to_numpy().astype(np.float64), side="right")
-            part[key.is_null().to_numpy(zero_copy_only=False)] = 0
-            all_ids, all_counts = [], []
             for i, j in blocks(offsets):
                 ids, count = enc.block(data, offsets[i : j + 1])
-                all_ids.append(np.insert(ids, np.cumsum(count), end_id).astype(enc.dtype))
-                all_counts.append(count + 1)
-            if not all_ids:
-                continue
-            ids, count = np.concatenate(all_ids), np.concatenate(all_counts)
-            upto = np.cumsum(count)
-            for p in np.unique(part).tolist():
-                at = np.flatnonzero(part == p)
-                if len(at) == at[-1] - at[0] + 1:
-                    own = ids[upto[at[0]] - count[at[0]] : upto[at[-1]]]
-                else:
-                    own = np.concatenate([ids[upto[k] - count[k] : upto[k]] for k in at])
-                yield pa.RecordBatch.from_pydict({"part": [p], "doc_ids": [key.take(pa.array(at)).to_pylist()], "counts": [count[at].tolist()], "width": [own.itemsize], "ids": [zstandard.compress(own.tobytes(), 3)]}, schema=schema)
-
-    schema = pa.schema([("part", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())), ("width", pa.int32()), ("ids", pa.binary())])
-    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "part int, doc_ids array<long>, counts array<long>, width int, ids binary")
-
-
-def unpacked(ids: bytes, width: int) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(ids), np.dtype(f"<u{width}"))
+                count = count + 1
+                upto = np.cumsum(count)
+                own = np.full(upto[-1], end_id, enc.dtype)
+                kept = np.ones(len(own), bool)
+                kept[upto - 1] = False
+                own[kept] = ids
+                total += np.bincount(own, minlength=len(total))
+                at = np.concatenate([[0], upto])
+                wide = own.astype("<u4", copy=False).data
+                tie = [zlib.crc32(wide[a:z]) for a, z in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+                none = pa.nulls(j - i, pa.list_(pa.int32())), pa.nulls(j - i, pa.list_(pa.int64()))
+                packed = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer((at * own.itemsize).astype(np.int32)), pa.py_buffer(own)])
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i), pa.array(tie, pa.int64()), pa.array(np.arange(nth, nth + j - i)), pa.array(count), packed, *none], names)
+                nth += j - i
+        seen = np.flatnonzero(total)
+        if len(seen):
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(1, pa.int64()) for _ in range(4)), pa.nulls(1, pa.binary()), pa.array([seen.astype(np.int32)]), pa.array([total[seen]])], names)
+
+    names = ["doc_id", "tie", "nth", "n", "ids", "seen", "seen_n"]
+    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, ENCODED)
 
 
 def id_counts(encoded: DataFrame) -> DataFrame:
-    """(id, n) over all documents; each task adds up its own counts first."""
-
-    def run(batches):
-        total = np.zeros(1 << 16, np.int64)
-        for b in batches:
-            for ids, width in zip(b.column("ids").to_pylist(), b.column("width").to_pylist(), strict=True):
-                part = np.bincount(unpacked(ids, width), minlength=len(total))
-                if len(part) > len(total):
-                    total = np.concatenate([total, np.zeros(len(part) - len(total), np.int64)])
-                total += part
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["id", "n"])
-
-    return encoded.select("ids", "width").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    """(id, n) over all documents, from the tasks' own counts."""
+    pairs = encoded.where("seen is not null").select(F.inline(F.arrays_zip("seen", "seen_n")))
+    return pairs.groupBy(F.col("seen").cast("long").alias("id")).agg(F.sum("seen_n").alias("n"))
 
 
 def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
@@ -173,29 +158,44 @@ class Code:
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, bytes]:
         """(payload, bits of each run of CHECKPOINT ids as uint16)."""
-        length = self.length_of[ids]
-        end = np.cumsum(length)
-        start = end - length
-        word, shift = start >> 4, 48 - (start & 15) - length
-        value = self.code_of[ids] << shift  # up to 35 of 48 bits, over three 16-bit words
-        n = int(end[-1] >> 4) + 4 if len(ids) else 3
-        words = sum(np.bincount(word + k, (value >> (32 - 16 * k)) & 0xFFFF, n)[:n] for k in range(3)) if len(ids) else np.zeros(n)
-        marks = np.add.reduceat(length, np.arange(0, len(ids), CHECKPOINT)) if len(ids) else length
-        return words.astype(">u2").tobytes(), marks.astype("<u2").tobytes()
+        payload, marks, bit, carry = [], [], 0, 0.0
+        for i in range(0, len(ids), RUN_IDS):
+            run = ids[i : i + RUN_IDS]
+            length = self.length_of[run]
+            end = bit + np.cumsum(length)
+            start = end - length
+            word, shift = start >> 4, 48 - (start & 15) - length
+            value = self.code_of[run] << shift  # up to 35 of 48 bits, over three 16-bit words
+            full = int(end[-1] >> 4)
+            words = sum(np.bincount(word + k, (value >> (32 - 16 * k)) & 0xFFFF, full + 4) for k in range(3))
+            words[0] += carry
+            payload.append(words[:full].astype(">u2").tobytes())
+            marks.append(np.add.reduceat(length, np.arange(0, len(run), CHECKPOINT)).astype("<u2").tobytes())
+            bit, carry = int(end[-1] & 15), words[full]  # the last word may go on in the next run
+        payload.append(np.array([carry, 0, 0, 0]).astype(">u2").tobytes())
+        return b"".join(payload), b"".join(marks)
 
     def decode(self, payload: bytes, marks: bytes, n: int) -> np.ndarray:
-        words = np.concatenate([np.frombuffer(payload, ">u2").astype(np.int64), np.zeros(3, np.int64)])
+        words = np.frombuffer(payload, ">u2")
         bits = np.frombuffer(marks, "<u2").astype(np.int64)
-        at = np.cumsum(bits) - bits
-        out = np.zeros((len(at), CHECKPOINT), np.uint32)
+        begin = np.cumsum(bits) - bits
+        out = np.zeros((len(begin), CHECKPOINT), np.uint32)
         mask = (1 << self.bits) - 1
-        for k in range(min(CHECKPOINT, n)):
-            lanes = len(at) if n - (len(at) - 1) * CHECKPOINT > k else len(at) - 1
-            pos = at[:lanes]
-            w = pos >> 4
-            look = ((words[w] << 32 | words[w + 1] << 16 | words[w + 2]) >> (48 - self.bits - (pos & 15))) & mask
-            out[:lanes, k] = self.symbol[look]
-            at[:lanes] += self.width[look]
+        step = RUN_IDS // CHECKPOINT
+        for i in range(0, len(begin), step):
+            at = begin[i : i + step].copy()
+            first = int(at[0] >> 4)
+            last = int(at[-1] + bits[min(i + step, len(bits)) - 1] >> 4)
+            own = np.concatenate([words[first : last + 3].astype(np.int64), np.zeros(3, np.int64)])
+            at -= first << 4
+            ids = min(step * CHECKPOINT, n - i * CHECKPOINT)
+            for k in range(min(CHECKPOINT, ids)):
+                lanes = len(at) if ids - (len(at) - 1) * CHECKPOINT > k else len(at) - 1
+                pos = at[:lanes]
+                w = pos >> 4
+                look = ((own[w] << 32 | own[w + 1] << 16 | own[w + 2]) >> (48 - self.bits - (pos & 15))) & mask
+                out[i : i + lanes, k] = self.symbol[look]
+                at[:lanes] += self.width[look]
         return out.ravel()[:n]
 
 
@@ -206,37 +206,59 @@ def build_code(encoded: DataFrame) -> Code:
     return Code(ids, code_lengths(n))
 
 
+BLOCKS = "part int, block int, doc_ids array<long>, counts array<long>, payload binary, marks binary"
+
+
+def coded_blocks(batches: Iterator[pa.RecordBatch], code: Code, part: int) -> Iterator[pa.RecordBatch]:
+    """Block rows of documents that stream by in order; at most one block's ids are held."""
+    held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []  # (doc ids, counts, ids) of the block to come
+    size = block = 0
+
+    def flush() -> pa.RecordBatch:
+        nonlocal held, size, block
+        docs, counts = pa.concat_arrays([h[0] for h in held]), np.concatenate([h[1] for h in held])
+        payload, marks = code.encode(np.concatenate([h[2] for h in held]))
+        lists = [pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), x) for x in (docs, pa.array(counts, pa.int64()))]
+        row = pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([block], pa.int32()), *lists, pa.array([payload], pa.binary()), pa.array([marks], pa.binary())], ["part", "block", "doc_ids", "counts", "payload", "marks"])
+        held, size, block = [], 0, block + 1
+        return row
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        data, offsets = column_bytes(b.column("ids"))
+        counts = b.column("n").to_numpy()
+        width = int(offsets[1] - offsets[0]) // int(counts[0])
+        ids = data[offsets[0] : offsets[-1]].view(f"<u{width}")
+        upto = np.concatenate([[0], np.cumsum(counts)])
+        i = 0
+        while i < len(counts):
+            j = int(np.searchsorted(upto, upto[i] + BLOCK_IDS - size, side="right")) - 1
+            j = max(j, i + 1) if not held else max(j, i)
+            if j > i:
+                # copies, so that the block to come does not hold on to its batches
+                held.append((b.column("doc_id").take(pa.array(np.arange(i, j))), counts[i:j].copy(), ids[upto[i] : upto[j]].copy()))
+                size += int(upto[j] - upto[i])
+            if j < len(counts):
+                yield flush()
+            i = j
+    if held:
+        yield flush()
+
+
 def write(encoded: DataFrame, path: str, code: Code) -> None:
     """Write the block files (``path``/blocks) and the code (``path``/code)."""
     spark = encoded.sparkSession
     shared = spark.sparkContext.broadcast((code.ids, code.lengths))  # at most one pair per vocabulary id
-    schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())), ("payload", pa.binary()), ("marks", pa.binary())])
 
-    def one_part(key, table):
-        c = decoder(*shared.value)
-        docs = np.array([d if d is not None else np.iinfo(np.int64).min for row in table.column("doc_ids").to_pylist() for d in row], np.int64)
-        null = np.array([d is None for row in table.column("doc_ids").to_pylist() for d in row], bool)
-        count = np.array([n for row in table.column("counts").to_pylist() for n in row], np.int64)
-        ids = [unpacked(x, w) for x, w in zip(table.column("ids").to_pylist(), table.column("width").to_pylist(), strict=True)]
-        ids = np.concatenate(ids) if ids else np.zeros(0, np.uint16)
-        start = np.cumsum(count) - count
-        tie = np.array([zlib.crc32(ids[a : a + n].astype("<u4").tobytes()) for a, n in zip(start.tolist(), count.tolist(), strict=True)], np.int64) if len(np.unique(docs)) < len(docs) else np.zeros(len(docs), np.int64)
-        order = np.lexsort((tie, docs, ~null))
-        size = np.cumsum(count[order])
-        out: dict[str, list] = {f.name: [] for f in schema}
-        i = 0
-        while i < len(order):
-            before = size[i - 1] if i else 0
-            j = max(i + 1, int(np.searchsorted(size, before + BLOCK_IDS, side="right")))
-            at = order[i:j]
-            payload, marks = c.encode(np.concatenate([ids[start[k] : start[k] + count[k]] for k in at]))
-            for name, value in (("part", key[0].as_py()), ("block", len(out["block"])), ("doc_ids", [None if null[k] else int(docs[k]) for k in at]), ("counts", count[at].tolist()), ("payload", payload), ("marks", marks)):
-                out[name].append(value)
-            i = j
-        return pa.Table.from_pydict(out, schema=schema)
+    def run(batches):
+        yield from coded_blocks(batches, decoder(*shared.value), TaskContext.get().partitionId())
 
-    parts = encoded.agg(F.max("part")).first()[0]
-    out = encoded.repartitionByRange(1 + (parts or 0), "part").groupBy("part").applyInArrow(one_part, "part int, block int, doc_ids array<long>, counts array<long>, payload binary, marks binary")
+    rows = encoded.where("ids is not null").select("doc_id", "tie", "nth", "n", "ids")
+    size = rows.agg(F.sum("n")).first()[0] or 0
+    parts = max(spark.sparkContext.defaultParallelism, min(MAX_PARTS, -(-2 * size // PART_BYTES)))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("tie"), F.col("nth")]
+    out = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(run, BLOCKS)
     out.write.mode("overwrite").option("compression", "none").parquet(f"{path}/blocks")
     spark.createDataFrame(pa.table({"id": code.ids, "length": code.lengths})).coalesce(1).write.mode("overwrite").parquet(f"{path}/code")
 
@@ -294,6 +316,8 @@ def write_documents(docs: DataFrame, vocabulary: str, path: str | None = None, e
     """Encode, count, code and write ``docs``; returns the folder of the files."""
     spark = docs.sparkSession
     path = path or scratch_path(spark, "token-ids")
-    encoded = stage_table(encode_ids(docs, vocabulary, end_id), "encoded")
+    staged = scratch_path(spark, "encoded")
+    encode_ids(docs, vocabulary, end_id).write.option("compression", "zstd").parquet(staged)
+    encoded = spark.read.parquet(staged)
     write(encoded, path, build_code(encoded))
     return path
