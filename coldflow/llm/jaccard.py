@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from coldflow.llm.shared import shared_counts
+from coldflow.llm.shared import shared_counts, sliced
 from coldflow.llm.text import LOWER, U, Words, blocks, column_bytes, mix, sequence_hashes
 from coldflow.session import stage_table
 
@@ -95,7 +95,7 @@ def _batch_sets(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _signature_rows(batches):
-    for b in batches:
+    for b in sliced(batches):
         _, n, ids = _batch_sets(b)
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(ids, mask=n == 0)], ["doc_id", "n", "sid"])
 
@@ -120,7 +120,7 @@ def _tokens(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 def _set_rows(batches):
     """Sets of the class representatives: (sid, rep, n, tokens)."""
-    for b in batches:
+    for b in sliced(batches):
         h, n, ids = _batch_sets(b)
         wanted = np.flatnonzero(ids == b.column("sid").to_numpy()) if b.num_rows else np.zeros(0, np.int64)
         end = np.cumsum(n)
@@ -303,7 +303,7 @@ def _opened(left, right):
 
 
 def _token_rows(batches):
-    for b in batches:
+    for b in sliced(batches):
         tokens, n = _tokens(b)
         of = pa.array(np.repeat(np.arange(len(n)), n))
         yield pa.RecordBatch.from_arrays([b.column("sid").take(of), b.column("owner").take(of), pa.array(tokens.view(np.int64))], ["sid", "owner", "token"])
