@@ -21,6 +21,7 @@ import os
 import numpy as np
 
 from coldflow.llm.text import BLOCK_BYTES, span_hashes
+from coldflow.llm.workers import cache
 
 CACHE_PIECES = 1 << 20
 JOINED = 16
@@ -30,7 +31,6 @@ _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
 _MARK = np.zeros(256, bool)
 _MARK[list(b".,;:?!")] = True
-_loaded: dict[str, Encoder] = {}
 
 
 def piece_spans(data: np.ndarray, doc_offset: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -214,6 +214,7 @@ class Encoder:
 
 def encoder(path: str) -> Encoder:
     """This worker's encoder for a vocabulary file."""
-    if path not in _loaded:
-        _loaded[path] = Encoder(path)
-    return _loaded[path]
+    loaded = cache("token-ids")
+    if path not in loaded:
+        loaded[path] = Encoder(path)
+    return loaded[path]

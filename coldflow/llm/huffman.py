@@ -39,6 +39,7 @@ from pyspark.sql.window import Window
 
 from coldflow.llm.encode import encoder
 from coldflow.llm.text import blocks, column_bytes
+from coldflow.llm.workers import cache
 from coldflow.session import scratch_path
 
 MAX_BITS = 20
@@ -263,16 +264,13 @@ def write(encoded: DataFrame, path: str, code: Code) -> None:
     spark.createDataFrame(pa.table({"id": code.ids, "length": code.lengths})).coalesce(1).write.mode("overwrite").parquet(f"{path}/code")
 
 
-_codes: dict[int, Code] = {}
-
-
 def decoder(ids: np.ndarray, lengths: np.ndarray) -> Code:
     """The code of a broadcast pair, its tables built once per worker."""
     key = zlib.crc32(lengths.tobytes(), zlib.crc32(ids.tobytes()))
-    if key not in _codes:
-        _codes.clear()
-        _codes[key] = Code(ids, lengths)
-    return _codes[key]
+    kept = cache("token-ids")
+    if kept.get("code", (None,))[0] != key:
+        kept["code"] = key, Code(ids, lengths)
+    return kept["code"][1]
 
 
 def read_code(spark: SparkSession, path: str) -> Code:

@@ -45,6 +45,7 @@ from pyspark.sql.window import Window
 
 from coldflow.llm.shared import shared_counts, sliced
 from coldflow.llm.text import LOWER, U, Words, blocks, column_bytes, mix, sequence_hashes
+from coldflow.llm.workers import cache
 from coldflow.session import stage_table
 
 SHINGLE = 5
@@ -95,6 +96,7 @@ def _batch_sets(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _signature_rows(batches):
+    cache("jaccard")  # nothing of its own to keep: tables of other operators go
     for b in sliced(batches):
         _, n, ids = _batch_sets(b)
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(ids, mask=n == 0)], ["doc_id", "n", "sid"])

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-from coldflow.llm import encode, huffman, queries
+from coldflow.llm import encode, huffman, queries, workers
 from coldflow.llm.text import blocks, column_bytes
 
 VOCAB = queries.vocabulary()
@@ -78,3 +78,15 @@ def test_counts_come_with_the_ids(spark, docs):
     ids = np.concatenate([[*tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]).astype(int)
     assert {r["id"]: r["n"] for r in huffman.id_counts(encoded).collect()} == {int(k): int(n) for k, n in zip(*np.unique(ids, return_counts=True), strict=True)}
     assert list(blocks(np.array([0, 1, 9, 9]), 4)) == [(0, 1), (1, 2), (2, 3)]
+
+
+def test_a_worker_keeps_one_operators_tables():
+    first = encode.encoder(VOCAB)
+    assert encode.encoder(VOCAB) is first
+    code = huffman.decoder(np.arange(3), np.array([1, 2, 2]))
+    assert huffman.decoder(np.arange(3), np.array([1, 2, 2])) is code
+    assert encode.encoder(VOCAB) is first
+    workers.cache("another")["x"] = 1
+    assert workers.cache("another") == {"x": 1}
+    assert encode.encoder(VOCAB) is not first
+    assert workers.cache("another") == {}
