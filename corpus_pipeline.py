@@ -93,7 +93,8 @@ STAGES = [
     ("token_ids", write_token_ids),
 ]
 
-#: Classifier, WAND search and token coding are not SQL; tests/llm holds the pipeline against a brute-force version.
+#: Classifier, WAND search and token coding are not SQL; tests/llm holds near duplicates and decontamination against brute force,
+#: mixing and token ids for their ids and row count; run() as a whole is in no test.
 ORACLE_SQL = None
 
 
