@@ -26,9 +26,13 @@ WORKER_MEMORY = {
     "MALLOC_TRIM_THRESHOLD_": str(32 << 20),
 }
 
+#: A batch of long texts is cut at this size on its way to a Python worker: the JVM, the stream and the worker each hold a copy.
+BATCH_BYTES = "8m"
+
 
 def _workers(spark: SparkSession) -> None:
     importable(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     spark.sparkContext.environment.update(WORKER_MEMORY)
 
 
