@@ -39,6 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from coldflow.llm.shared import sliced
 from coldflow.llm.text import LOWER, Words, blocks, column_bytes, sequence_hashes
 from coldflow.llm.toxicity import TOKEN_BYTES
 from coldflow.session import stage_table
@@ -54,6 +55,7 @@ K1, B = 1.2, 0.75
 BLOCK = 16
 ESSENTIAL_GAP = 0.2
 GROUPS = 32
+SEARCH_BYTES = 1 << 19  # texts searched at once: the running sums hold GROUPS numbers for each of their words
 
 
 def hashed_words(col: pa.Array) -> list[np.ndarray]:
@@ -229,7 +231,7 @@ def search_block(data: np.ndarray, offsets: np.ndarray, shard: Shard, threshold:
     tid = np.minimum(np.searchsorted(shard.terms, h), len(shard.terms) - 1)
     known = shard.terms[tid] == h
     strong = np.flatnonzero(known & shard.strong[tid])
-    weight = np.zeros((len(strong) + 1, GROUPS))
+    weight = np.zeros((len(strong) + 1, shard.bounds.shape[1]))
     np.cumsum(shard.bounds[tid[strong]], axis=0, out=weight[1:])
     step = passage // 2
     count = np.maximum(1, -(-(w.counts - passage) // step) + 1) * (w.counts > 0)
@@ -262,10 +264,10 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
 
         def run(batches):
             shard = shared.value
-            for b in batches:
+            for b in sliced(batches):
                 data, offsets = column_bytes(b.column("text"))
                 ids = b.column("doc_id")
-                rows = [(ids[i + d].as_py(), *rest) for i, j in blocks(offsets) for d, *rest in search_block(data, offsets[i : j + 1], shard, threshold)]
+                rows = [(ids[i + d].as_py(), *rest) for i, j in blocks(offsets, SEARCH_BYTES) for d, *rest in search_block(data, offsets[i : j + 1], shard, threshold)]
                 yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema=schema)
 
         return texts.mapInArrow(run, "doc_id long, item_id long, score double, first_word long, question_overlap double, answer_overlap double")
