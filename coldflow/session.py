@@ -9,6 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -80,7 +83,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    if (work := _work.get()) is not None:
+        work.append(path)
+    return path
+
+
+_work: ContextVar[list[str] | None] = ContextVar("work tables", default=None)
+
+
+@contextmanager
+def work_tables(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is removed at the end; results must have been written to a path taken before."""
+    token = _work.set([])
+    try:
+        yield
+    finally:
+        paths = _work.get()
+        _work.reset(token)
+        for path in paths:
+            remove_path(spark, path)
 
 
 def stage_table(df, name: str):
