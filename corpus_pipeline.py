@@ -7,12 +7,14 @@ one's ``docs``.  All but the last return the columns of ``docs``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldflow.llm import decontam, jaccard, queries, toxicity
+from coldflow.llm import decontam, huffman, jaccard, queries, toxicity
 from coldflow.llm.workers import importable
-from coldflow.session import stage_table
+from coldflow.session import scratch_path, stage_table, work_tables
 
 
 ROW = "_pipeline_row"
@@ -46,6 +48,14 @@ def _as_documents(rows: DataFrame) -> DataFrame:
     return rows.select(F.col(ROW).alias("doc_id"), "text")
 
 
+def _decided(spark: SparkSession, name: str, decide: Callable[[], DataFrame]) -> DataFrame:
+    """What ``decide`` returns as a staged table; the tables it staged on the way there go."""
+    path = scratch_path(spark, f"pipeline-{name}")
+    with work_tables(spark):
+        decide().write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents with a toxicity score of 0.5 or more; the classifier learns from the stage's labelled documents."""
     _workers(spark)
@@ -57,11 +67,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each group of near duplicates stays: the one with the smallest id, of several rows with it, one; null ids come last."""
     _workers(spark)
     rows = _numbered(docs, "near-duplicates")
-    found = stage_table(jaccard.components(_as_documents(rows)).select(F.col("doc_id").alias(ROW), "component_id"), "pipeline-components")
-    members = rows.select(ROW, F.col("doc_id").isNull().alias("none"), "doc_id").join(found, ROW)
-    first = members.groupBy("component_id").agg(F.min(F.struct("none", "doc_id", ROW)).alias("first"))
+
+    def copies() -> DataFrame:
+        found = stage_table(jaccard.components(_as_documents(rows)).select(F.col("doc_id").alias(ROW), "component_id"), "pipeline-components")
+        members = rows.select(ROW, F.col("doc_id").isNull().alias("none"), "doc_id").join(found, ROW)
+        first = members.groupBy("component_id").agg(F.min(F.struct("none", "doc_id", ROW)).alias("first"))
+        return found.select(ROW).join(first.select(F.col(f"first.{ROW}").alias(ROW)), ROW, "left_anti")
+
     # only row numbers are joined by shuffle; texts are not moved while the numbers that go are few enough to broadcast
-    gone = stage_table(found.select(ROW).join(first.select(F.col(f"first.{ROW}").alias(ROW)), ROW, "left_anti"), "pipeline-copies")
+    gone = _decided(spark, "copies", copies)
     return rows.join(jaccard.small(gone, gone.count()), ROW, "left_anti").select(*docs.columns)
 
 
@@ -69,8 +83,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents that hold a benchmark item go."""
     _workers(spark)
     rows = _numbered(docs, "decontamination")
-    found = decontam.contaminated(_as_documents(rows), queries.table(spark, sf_dir, "benchmark"))
-    gone = stage_table(found.select(F.col("doc_id").alias(ROW)).distinct(), "pipeline-contaminated")
+    items = queries.table(spark, sf_dir, "benchmark")
+    gone = _decided(spark, "contaminated", lambda: decontam.contaminated(_as_documents(rows), items).select(F.col("doc_id").alias(ROW)).distinct())
     return rows.join(jaccard.small(gone, gone.count()), ROW, "left_anti").select(*docs.columns)
 
 
@@ -78,7 +92,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as many times as the mix takes it."""
     _workers(spark)
     rows = _numbered(docs, "mixing")
-    taken = stage_table(queries.mixed(rows, (ROW,)).where("copies > 0").select(ROW, F.col("copies").alias("_copies")), "pipeline-mix")
+    taken = _decided(spark, "mix", lambda: queries.mixed(rows, (ROW,)).where("copies > 0").select(ROW, F.col("copies").alias("_copies")))
     taken = rows.join(jaccard.small(taken, taken.count()), ROW)
     return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*docs.columns)
 
@@ -86,7 +100,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Coded token-id files of the mix, read back: one row per document."""
     _workers(spark)
-    return queries.token_files(spark, docs)
+    path = scratch_path(spark, "token-ids")
+    with work_tables(spark):  # the uncoded ids
+        huffman.write_documents(docs, queries.vocabulary(), path)
+    return huffman.read(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 STAGES = [
