@@ -32,9 +32,14 @@ blocks that can hold a top-k row:
 2. terms are sorted by their bounds; those whose bounds sum below theta cannot
    lift a row into the top k alone, so candidates come from the other terms,
    and of these only from blocks whose bound plus all other terms' bounds
-   reaches theta;
+   reaches theta; of a block's rows, those whose own weight plus the other terms' bounds
+   does, and if it only ties with theta, those with an id up to the k-th probed one's
+   (very many rows may have the same best score);
 3. candidates are scored exactly by (term, id) lookups.
 
+The blocks that a match needs are few beside the postings: up to ``SMALL_BYTES`` of them are broadcast, so the
+pairs are made where the postings are read, however few tasks the queries themselves would fill.
+
 Rows: an id that repeats within one change counts once (its greatest row);
 rows without an id, and without any term, are not indexed.
 """
@@ -57,6 +62,8 @@ BUCKET_ROWS = 50_000
 BLOCK_ROWS = 100_000
 LENGTH_CLASSES = 16
 TF_CLASSES = 4
+SMALL_BYTES = 16 << 20
+ROUND_MARGIN = 1e-8  # more than the error of a sum of weights
 
 _VERSION = "version long, segments array<long>, stats map<string, struct<n: long, sum_dl: long>>, buckets int, types map<string, string>"
 
@@ -294,38 +301,47 @@ class FieldIndex:
         x = x.withColumn("rarest", F.first("term").over(Window.partitionBy("q").orderBy("postings", "term")))
         return x.drop("max_tf", "min_dl", "postings"), buckets
 
-    def candidates(self, blocks: DataFrame, buckets: list[int], k: int, prune: bool = True) -> DataFrame:
-        """(q, id, seg) of rows that can be in a text's top k, from staged ``query_blocks``."""
+    def candidates(self, blocks: DataFrame, buckets: list[int], k: int, prune: bool = True, few: bool = False) -> DataFrame:
+        """(q, id, seg) of rows that can be in a text's top k, from staged ``query_blocks``; ``few``: these may be broadcast."""
         key = ["bucket", "term", "tier", "slot"]
-        posting = self._rows("postings", buckets).select(*key, self.id_col, "seg")
-        rows = lambda chosen: chosen.select("q", *key).join(posting, key).select("q", self.id_col, "seg")
+        posting = self._rows("postings", buckets).select(*key, self.id_col, "seg", "tf", "dl")
+        rows = lambda chosen: posting.hint("merge").join(F.broadcast(chosen) if few else chosen, key)
+        pairs = ["q", self.id_col, "seg"]
         if not prune:
-            return self.snapshot.live(rows(blocks).distinct())
+            return self.snapshot.live(rows(blocks.select("q", *key)).select(*pairs).distinct())
         # a lower bound of the k-th score: the heaviest blocks of the rarest term, until they hold k rows
-        probe = self.snapshot.live(rows(blocks.where((F.col("term") == F.col("rarest")) & (F.col("above") < k))))
-        scored = self.scores(probe, blocks, buckets)
-        if k == 1:
-            theta = scored.groupBy("q").agg(F.max("raw").alias("theta"))
-        else:
-            best = scored.withColumn("_r", F.row_number().over(Window.partitionBy("q").orderBy(F.col("raw").desc()))).where(F.col("_r") <= F.lit(k))
-            theta = best.groupBy("q").agg(F.min("raw").alias("theta"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") == k).drop("_n")
+        probe = self.snapshot.live(rows(blocks.where((F.col("term") == F.col("rarest")) & (F.col("above") < k)).select("q", *key)).select(*pairs))
+        best = top_k(self.scored(self.scores(probe, blocks, buckets, few)), ["q"], self.id_col, k)
+        theta = best.where(F.col("rank") == k).select("q", F.col("score").alias("theta"), F.col(self.id_col).alias("theta_id"))
         least = F.coalesce(F.col("theta") - F.lit(PRUNE_MARGIN), F.lit(float("-inf")))
-        essential = F.col("upto") >= least
-        reaches = F.col("block_bound") + F.col("all_bounds") - F.col("bound") >= least
-        return self.snapshot.live(rows(blocks.join(theta, "q", "left").where(essential & reaches)).distinct())
+        others = F.col("all_bounds") - F.col("bound")
+        chosen = blocks.join(F.broadcast(theta) if few else theta, "q", "left").where((F.col("upto") >= least) & (F.col("block_bound") + others >= least))
+        at_most = F.col("qtf") * self._weight() + F.col("others")
+        beats = F.round(at_most + F.lit(ROUND_MARGIN), SCORE_DIGITS) > F.col("theta")
+        can = F.col("theta").isNull() | beats | ((at_most >= least) & (F.col(self.id_col) <= F.col("theta_id")))
+        found = rows(chosen.select("q", *key, "qtf", "idf", others.alias("others"), "theta", "theta_id")).where(can)
+        return self.snapshot.live(found.select(*pairs).distinct())
+
+    def _weight(self):
+        n_docs, sum_dl = self.snapshot.stats[self.name]
+        return weight(F.col("idf"), F.col("tf"), F.col("dl"), sum_dl / n_docs if n_docs else 0.0)
 
-    def scores(self, pairs: DataFrame, blocks: DataFrame, buckets: list[int]) -> DataFrame:
+    def scores(self, pairs: DataFrame, blocks: DataFrame, buckets: list[int], few: bool = False) -> DataFrame:
         """(q, id, payload..., raw): exact BM25 of (q, id, seg) pairs."""
-        n_docs, sum_dl = self.snapshot.stats[self.name]
-        asked = pairs.join(blocks.where("lead").select("q", "bucket", "term", "qtf", "idf"), "q")
-        found = asked.join(self._rows("postings", buckets).drop("tier", "slot"), ["bucket", "term", self.id_col, "seg"])
-        w = weight(F.col("idf"), F.col("tf"), F.col("dl"), sum_dl / n_docs if n_docs else 0.0)
-        return found.groupBy("q", self.id_col, *self.payload).agg(F.sum(F.col("qtf") * w).alias("raw"))
+        lead = blocks.where("lead").select("q", "bucket", "term", "qtf", "idf")
+        asked = pairs.join(F.broadcast(lead) if few else lead, "q")
+        posting = self._rows("postings", buckets).drop("tier", "slot")
+        found = asked.join(posting.hint("merge"), ["bucket", "term", self.id_col, "seg"])
+        return found.groupBy("q", self.id_col, *self.payload).agg(F.sum(F.col("qtf") * self._weight()).alias("raw"))
+
+    def scored(self, rows: DataFrame) -> DataFrame:
+        return rows.select("q", self.id_col, *self.payload, F.round("raw", SCORE_DIGITS).alias("score"))
 
     def match(self, queries: DataFrame, text_col: str, k: int, stage: Callable = stage_table, prune: bool = True) -> DataFrame:
         """(text, id, payload..., score, rank), top k rows of each distinct text."""
         blocks, buckets = self.query_blocks(queries, text_col)
         blocks = stage(blocks, f"{self.name}-blocks")
-        scored = self.scores(self.candidates(blocks, buckets, k, prune), blocks, buckets)
-        scored = scored.select(F.col("q").alias(text_col), self.id_col, *self.payload, F.round("raw", SCORE_DIGITS).alias("score"))
-        return top_k(scored, [text_col], self.id_col, k)
+        size = blocks.agg(F.sum(F.octet_length("q") + F.octet_length("term") + F.lit(100))).collect()[0][0] or 0
+        few = size <= SMALL_BYTES
+        scored = self.scored(self.scores(self.candidates(blocks, buckets, k, prune, few), blocks, buckets, few))
+        return top_k(scored.withColumnRenamed("q", text_col), [text_col], self.id_col, k)
