@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from coldflow.llm import decontam, huffman, jaccard, queries, toxicity
 from coldflow.llm.workers import importable
-from coldflow.session import scratch_path, stage_table, work_tables
+from coldflow.session import remove_path, scratch_path, stage_table, work_tables
 
 
 ROW = "_pipeline_row"
@@ -120,10 +120,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``."""
-    docs = queries.table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = stage_table(docs, f"pipeline-{name}")
-    return docs
+    """Apply the stages to ``documents``; what a stage staged, and its input, go once its result is written."""
+    docs, before = queries.table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES[:-1]:
+        path = scratch_path(spark, f"pipeline-{name}")
+        with work_tables(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before is not None:
+            remove_path(spark, before)
+        docs, before = spark.read.parquet(path), path
+    return STAGES[-1][1](spark, docs, sf_dir)
