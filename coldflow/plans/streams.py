@@ -1,7 +1,7 @@
 """Registered streaming query: the recall job as a stream.
 
 The log fixture is written as parquet queue records (one file per quarter of
-the events, offset = event id), replayed through a file stream two files per
+the events, or as many as hold ``FILE_RECORDS`` each; offset = event id), replayed through a file stream two quarters per
 trigger (two micro-batches), and the resulting sorted-set table is read back.  Its view must
 equal the batch ``recall_zset``.
 """
@@ -19,6 +19,12 @@ from coldflow.sources.tables import Tables
 from coldflow.streaming.recall_stream import ZsetTable, run_recall_stream
 
 STREAM_FILES = 4
+FILE_RECORDS = 100_000
+
+
+def files_of(records: int) -> int:
+    """How many files hold so many records: a micro-batch is read with one task a file at most."""
+    return max(1, -(-records // FILE_RECORDS))
 
 
 def write_log_records(spark, sf_dir: str, path: str, files: int = STREAM_FILES) -> None:
@@ -41,10 +47,11 @@ def _replay(spark, sf_dir: str, files: int = STREAM_FILES, files_per_trigger: in
     key = (spark.sparkContext.applicationId, files_version(t.events), files_version(t.part), files, files_per_trigger)
     if key not in _REPLAYS:
         base = scratch_path(spark, "recall-stream")
-        write_log_records(spark, sf_dir, f"{base}/in", files)
+        split = files_of(-(-t.events.count() // files))
+        write_log_records(spark, sf_dir, f"{base}/in", files * split)
         store = recall.catalogue_store(fixtures.ring(t), t.part, lambda n: scratch_path(spark, n))
         outputs = {f"{n}_path": f"{base}/{n}" for n in ("metrics", "misses", "rejects")}
-        run_recall_stream(spark, file_log_stream(spark, f"{base}/in", files_per_trigger), store, f"{base}/zset", f"{base}/checkpoint", **outputs)
+        run_recall_stream(spark, file_log_stream(spark, f"{base}/in", files_per_trigger * split), store, f"{base}/zset", f"{base}/checkpoint", **outputs)
         _REPLAYS[key] = base
     return _REPLAYS[key]
 
@@ -80,8 +87,9 @@ def q_stream_catalogue_refresh(spark, sf_dir):
     for part, rows in enumerate((log.where(F.col("offset") < half), log.where(F.col("offset") >= half))):
         if part:
             recall.change_store(store, fixtures.ring_changes(t))
-        rows.coalesce(1).write.mode("append").parquet(f"{base}/in")
-        run_recall_stream(spark, file_log_stream(spark, f"{base}/in", 8), store, f"{base}/zset", f"{base}/checkpoint")
+        files = files_of(rows.count())
+        rows.repartition(files).write.mode("append").parquet(f"{base}/in")
+        run_recall_stream(spark, file_log_stream(spark, f"{base}/in", max(8, files)), store, f"{base}/zset", f"{base}/checkpoint")
     return ZsetTable(f"{base}/zset").view(spark)
 
 
