@@ -67,6 +67,14 @@ LOG_SCHEMAS = {
 }
 
 
+FILE_ROWS = 500_000
+
+
+def files_for(rows: int, buckets: int) -> int:
+    """Files of a bucket for so many rows: of FILE_ROWS rows if keys are even, of ``buckets`` times that if one bucket holds all."""
+    return max(1, -(-rows // (buckets * FILE_ROWS)))
+
+
 @dataclass
 class KeyedLog:
     """The write log of one kind of keyed table (``zset``, ``hash``, ``kv``, ``cells``)."""
@@ -86,12 +94,14 @@ class KeyedLog:
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
 
-    def write(self, rows: DataFrame, batch_id: int, files: int = 1) -> None:
-        """One batch of writes.  A bucket becomes ``files`` files: more for a log in which few keys hold most rows."""
+    def write(self, rows: DataFrame, batch_id: int, files: int | None = None) -> None:
+        """One batch of writes.  A bucket becomes ``files`` files, each sorted by one task; None: by the number of rows."""
+        if files is None:
+            files = files_for(rows.count(), self.buckets)
         types = dict(c.split(" ", 1) for c in LOG_SCHEMAS[self.kind].split(", "))
         typed = rows.where(F.col(self.key).isNotNull()).select(*[F.col(c).cast(types[c]).alias(c) for c in self.columns], self._bucket().alias("bucket"))
-        part = F.pmod(F.xxhash64("version"), F.lit(files))
-        out = typed.repartition("bucket", part).sortWithinPartitions("bucket", self.key, "version")
+        part = F.col("bucket") * files + F.pmod(F.xxhash64("version"), F.lit(files)).cast("int")
+        out = typed.repartitionById(self.buckets * files, part).sortWithinPartitions("bucket", self.key, "version")
         out.write.mode("overwrite").partitionBy("bucket").parquet(BatchTable(self.path).folder(batch_id))
 
     def rows(self, spark: SparkSession, keys: DataFrame | None = None) -> DataFrame:
@@ -122,7 +132,7 @@ def write_profiles(log: KeyedLog, users: DataFrame, batch_id: int) -> None:
     """P9 -> K3: (key, template, version[, ttl, write_ts]) config writes as their seven hash fields."""
     more = [F.col(c) if c in users.columns else F.lit(None).alias(c) for c in ("ttl", "write_ts")]
     fields = users.select("key", "version", *more, F.explode(keyed.profile_fields(F.col("template"))).alias("f"))
-    log.write(fields.select("*", "f.field", "f.value"), batch_id)
+    log.write(fields.select("*", "f.field", "f.value"), batch_id, files_for(users.count() * len(keyed.PROFILE_FIELDS), log.buckets))
 
 
 def row_lookup(requests: DataFrame, log: KeyedLog) -> DataFrame:
