@@ -40,9 +40,8 @@ def all_uids(nodes: DataFrame) -> DataFrame:
 def undirected(edges: DataFrame, edge_type: str) -> DataFrame:
     """(a, b) for every edge of ``edge_type`` in both directions."""
     e = edges.where(F.col("type") == edge_type).select("src", "dst")
-    return e.select(F.col("src").alias("a"), F.col("dst").alias("b")).unionByName(
-        e.select(F.col("dst").alias("a"), F.col("src").alias("b"))
-    )
+    both = F.array(F.struct(F.col("src").alias("a"), F.col("dst").alias("b")), F.struct(F.col("dst").alias("a"), F.col("src").alias("b")))
+    return e.select(F.inline(both))  # one pass: edges may be costly to compute
 
 
 def smallest_names(rows: DataFrame, key: str, limit: int) -> DataFrame:
@@ -55,7 +54,7 @@ def smallest_names(rows: DataFrame, key: str, limit: int) -> DataFrame:
     return rows.select(key, "name").withColumn("_r", F.dense_rank().over(w)).where(F.col("_r") <= F.lit(limit)).drop("_r").distinct()
 
 
-HEAD = 4
+HEAD = 3
 
 
 def liked_names(nodes: DataFrame, edges: DataFrame, limit: int = LIKE_ITEM_LIMIT, stage=None) -> DataFrame:
@@ -72,10 +71,11 @@ def liked_names(nodes: DataFrame, edges: DataFrame, limit: int = LIKE_ITEM_LIMIT
 
     1. the first ``HEAD`` names of a user's works give a bound: once they hold
        ``limit`` distinct names, no larger name than the largest of these is kept;
-    2. each (fan, work) takes only the names of the array up to the fan's bound.
+    2. of the names behind the first ``HEAD``, each (fan, work) takes only those up to the fan's bound; pairs whose next
+       name is larger do not meet the array again.
 
     Popular works are split by fan (``join_split``).  ``stage(df, name)`` materializes the
-    two tables that both steps read.
+    tables that both steps read.
     """
     stage = stage or (lambda df, name: df)
     u = users(nodes).withColumnRenamed("id", "a")
@@ -89,14 +89,17 @@ def liked_names(nodes: DataFrame, edges: DataFrame, limit: int = LIKE_ITEM_LIMIT
         return likes.distinct().join(work_names.distinct(), "work").select("uid", "name").distinct()
     lists = smallest_names(work_names, "work", limit).groupBy("work").agg(F.sort_array(F.collect_list("name")).alias("names"))
     lists, likes = stage(lists, "work-names"), stage(likes.distinct(), "likes")
-    hot = hot_keys(likes, "work")
-    heads = join_split(likes, lists.select("work", F.slice("names", 1, HEAD).alias("names")), "work", ["uid"], hot)
-    first = smallest_names(heads.select("uid", F.explode("names").alias("name")), "uid", limit)
+    hot = stage(hot_keys(likes, "work"), "hot-works")
+    begin = lists.select("work", F.slice("names", 1, HEAD).alias("head"), F.get("names", F.lit(HEAD)).alias("next"))
+    heads = stage(join_split(likes, begin, "work", ["uid"], hot), "heads")
+    first = stage(smallest_names(heads.select("uid", F.explode("head").alias("name")), "uid", limit), "first-names")
     bound = first.groupBy("uid").agg(F.count(F.lit(1)).alias("_n"), F.max("name").alias("bound")).where(F.col("_n") >= limit).drop("_n")
-    fans = likes.join(bound, "uid", "left")
+    fans = heads.where(F.col("next").isNotNull()).select("uid", "work", "next").join(bound, "uid", "left")
+    fans = fans.where(F.col("bound").isNull() | (F.col("next") <= F.col("bound"))).drop("next")
+    rest = lists.select("work", F.slice("names", F.lit(HEAD + 1), F.greatest(F.size("names") - HEAD, F.lit(0))).alias("names"))
     kept = F.filter("names", lambda n: F.col("bound").isNull() | (n <= F.col("bound")))
-    pairs = join_split(fans, lists, "work", ["uid"], hot).select("uid", F.explode(kept).alias("name"))
-    return smallest_names(pairs, "uid", limit)
+    pairs = join_split(fans, rest, "work", ["uid"], hot).select("uid", F.explode(kept).alias("name"))
+    return smallest_names(first.unionByName(pairs), "uid", limit)
 
 
 def uid_file(lines: DataFrame, value_col: str = "value") -> DataFrame:

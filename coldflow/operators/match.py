@@ -254,9 +254,9 @@ def join_split(left: DataFrame, right: DataFrame, key: str, spread_by: Sequence[
     """Inner equi-join on ``key``; hot keys of the left side are split by ``spread_by``.
 
     A hot key's left rows are dealt to its shares by a hash of ``spread_by``, its right
-    rows are copied to each; other keys are not copied.
+    rows are copied to each; other keys are not copied.  The hot keys are few (``hot_keys``) and broadcast.
     """
-    hot = hot_keys(left, key) if hot is None else hot
+    hot = F.broadcast(hot_keys(left, key) if hot is None else hot)
     shares = F.coalesce(F.col("_shares"), F.lit(1))
     dealt = left.join(hot, key, "left").withColumn("_share", F.pmod(F.xxhash64(*spread_by), shares).cast("int")).drop("_shares")
     copied = right.join(hot, key, "left").withColumn("_share", F.explode(F.sequence(F.lit(0), shares - 1))).drop("_shares")
