@@ -14,7 +14,7 @@
 
 The prefix sums run over (pattern, first three hex digits of the md5), so no
 task ever holds a pattern: only the 4,096th part at the boundary is ordered
-row by row.  A round is one aggregate and one pass over ids and sizes.  The flow runs on the driver on one number per pattern; more than
+row by row.  A round is one aggregate and one pass over ids and sizes of the documents that still fit.  The flow runs on the driver on one number per pattern; more than
 ``MAX_PATTERNS`` patterns or sources fail loudly.
 
 Defined cases: null source is a source of its own that sorts last; null and
@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -158,24 +159,30 @@ def _same(a: str, b: str) -> Column:
     return F.col(a).eqNullSafe(F.col(b))
 
 
-def _in_order(rows: DataFrame, fits: str, room: str) -> DataFrame:
-    """Adds ``first`` (of the rows that ``fits``, those whose prefix sum in md5 order is at most ``room``) and ``used``, their sum."""
+_ORDER = ("h", "size", "id", "row")
+
+
+def _cuts(rows: DataFrame) -> DataFrame:
+    """(sources, gap, used, edge_bin, last) for each pattern of ``rows``: how far its rows fit into ``gap`` together in md5 order.
+
+    ``used`` is the sum of the rows before the first that does not fit, ``last`` the last of them in ``edge_bin``
+    (null: none there); ``edge_bin`` is null where all rows fit.
+    """
     by_bin = Window.partitionBy("sources").orderBy("bin")
-    bins = rows.where(fits).groupBy("sources", "bin", room).agg(F.sum("size").alias("n")).withColumn("before", F.sum("n").over(by_bin) - F.col("n"))
-    edge = bins.where(f"before <= {room} AND before + n > {room}").select(F.col("sources").alias("edge_sources"), F.col("bin").alias("edge_bin"), "before")
+    bins = rows.groupBy("sources", "gap", "bin").agg(F.sum("size").alias("n")).withColumn("before", F.sum("n").over(by_bin) - F.col("n"))
+    bins = bins.withColumn("room", F.col("before") + F.col("n") <= F.col("gap"))
+    edge = bins.where("NOT room AND before <= gap").select(F.col("sources").alias("edge_sources"), F.col("bin").alias("edge_bin"), "before")
     inside = (
-        rows.where(fits)
-        .join(F.broadcast(edge), _same("sources", "edge_sources") & (F.col("bin") == F.col("edge_bin")))  # one row per pattern at most
-        .withColumn("upto", F.col("before") + F.sum("size").over(Window.partitionBy("sources").orderBy("h", "size", "id", "row").rowsBetween(Window.unboundedPreceding, 0)))
-        .where(f"upto <= {room}")
-        .groupBy("sources", "before")
-        .agg(F.max(F.struct("h", "size", "id", "row")).alias("last"), F.max("upto").alias("used"))
-        .select(F.col("sources").alias("in_sources"), "last", "used")
+        rows.join(F.broadcast(edge), _same("sources", "edge_sources") & (F.col("bin") == F.col("edge_bin")))  # one row per pattern at most
+        .withColumn("upto", F.col("before") + F.sum("size").over(Window.partitionBy("sources").orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, 0)))
+        .where("upto <= gap")
+        .groupBy("sources")
+        .agg(F.max(F.struct(*_ORDER)).alias("last"), F.max("upto").alias("upto"))
+        .select(F.col("sources").alias("in_sources"), "last", "upto")
     )
-    cut = F.broadcast(edge.join(inside, _same("edge_sources", "in_sources"), "left").select(F.col("edge_sources").alias("cut_sources"), "edge_bin", F.coalesce("used", "before").alias("used"), "last"))
-    rows = rows.join(cut, _same("sources", "cut_sources"), "left")
-    below = F.col("edge_bin").isNull() | (F.col("bin") < F.col("edge_bin")) | ((F.col("bin") == F.col("edge_bin")) & F.coalesce(F.struct("h", "size", "id", "row") <= F.col("last"), F.lit(False)))  # no edge: all fit together
-    return rows.withColumn("first", F.coalesce(F.expr(fits) & below, F.lit(False))).drop("cut_sources", "edge_bin", "last")
+    whole = bins.groupBy("sources", "gap").agg(F.coalesce(F.sum(F.when(F.col("room"), F.col("n"))), F.lit(0)).alias("whole"))
+    cut = whole.join(edge, _same("sources", "edge_sources"), "left").join(inside, _same("sources", "in_sources"), "left")
+    return cut.select("sources", "gap", F.coalesce("upto", "whole").alias("used"), "edge_bin", "last")
 
 
 def _first_fit(rows: DataFrame) -> DataFrame:
@@ -183,18 +190,33 @@ def _first_fit(rows: DataFrame) -> DataFrame:
 
     One round takes the documents that fit by their prefix sum, up to the first that does not fit behind the
     others.  That one and all larger ones stay out, as the room only shrinks, so
-    the next round goes on behind it with those that fit into the room left.
+    the next round goes on behind it with those that fit into the room left, and with no others.
     """
-    rows = rows.withColumn("picked", F.lit(False))
-    while True:
-        lacking = rows.where("rest > 0").groupBy("sources", "rest").agg(F.sum(F.when(F.col("picked"), F.col("size")).otherwise(0)).alias("used"), F.min(F.when(~F.col("picked") & (F.col("size") > 0), F.col("size"))).alias("least"))
-        lacking = lacking.where("least <= rest - used").select(F.col("sources").alias("gap_sources"), (F.col("rest") - F.col("used")).alias("gap")).collect()  # <= MAX_PATTERNS rows
-        if not lacking:
-            return rows
-        gaps = F.broadcast(rows.sparkSession.createDataFrame(lacking, "gap_sources array<string>, gap long"))
-        rows = rows.join(gaps, _same("sources", "gap_sources"), "left").drop("gap_sources")
-        rows = _in_order(rows, "NOT picked AND size > 0 AND size <= gap", "gap").withColumn("picked", F.col("picked") | F.col("first")).drop("first", "used")
-        rows = stage_table(rows.drop("gap"), "mix-round")
+    order = F.struct(*_ORDER)
+    of_cut = _same("sources", "cut_sources")
+    below = F.col("edge_bin").isNull() | (F.col("bin") < F.col("edge_bin")) | ((F.col("bin") == F.col("edge_bin")) & F.coalesce(order <= F.col("last"), F.lit(False)))
+    fitting = rows.where("size > 0 AND size <= rest")
+    left, first, later = fitting.select("sources", "bin", *_ORDER, F.col("rest").alias("gap")), None, []
+    while not left.isEmpty():
+        cuts = stage_table(_cuts(left), "mix-cuts")  # <= MAX_PATTERNS rows
+        cut = F.broadcast(cuts.select(F.col("sources").alias("cut_sources"), (F.col("gap") - F.col("used")).alias("room"), "edge_bin", "last"))
+        if first is None:
+            first = cut
+        else:  # all together less than one document a pattern
+            later.append(left.join(cut, of_cut & below).select("row"))
+        left = stage_table(left.join(cut, of_cut & ~below & (F.col("size") <= F.col("room"))).select("sources", "bin", *_ORDER, F.col("room").alias("gap")), "mix-left")
+    if first is None:
+        return rows.withColumn("picked", F.lit(False))
+    rows = rows.join(first, of_cut, "left")
+    rows = rows.withColumn("picked", F.col("cut_sources").isNotNull() & (F.col("size") > 0) & (F.col("size") <= F.col("rest")) & below)
+    rows = rows.drop("cut_sources", "room", "edge_bin", "last")
+    if not later:
+        return rows
+    more = stage_table(reduce(DataFrame.unionByName, later), "mix-more")
+    n = more.count()
+    more = more.withColumn("more", F.lit(True))
+    rows = rows.join(F.broadcast(more) if n <= MAX_PATTERNS else more, "row", "left")
+    return rows.withColumn("picked", F.col("picked") | F.col("more").isNotNull()).drop("more")
 
 
 def _select(spark: SparkSession, rows: DataFrame, plan: list[tuple], carry: Sequence[str]) -> DataFrame:
