@@ -20,9 +20,10 @@ import os
 
 import numpy as np
 
-from coldflow.llm.text import BLOCK_BYTES, span_hashes
+from coldflow.llm.text import span_hashes
 from coldflow.llm.workers import cache
 
+BLOCK_BYTES = 512 << 10  # text encoded at once: some dozens of bytes are held for each of its bytes
 CACHE_PIECES = 1 << 20
 JOINED = 16
 _SPACE = np.zeros(256, bool)

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from coldflow.llm.encode import encoder
+from coldflow.llm.encode import BLOCK_BYTES, encoder
 from coldflow.llm.text import blocks, column_bytes
 from coldflow.llm.workers import cache
 from coldflow.session import scratch_path
@@ -68,7 +68,7 @@ def encode_ids(docs: DataFrame, vocabulary: str, end_id: int = END_ID, id_column
         nth = 0
         for b in batches:
             data, offsets = column_bytes(b.column("text"))
-            for i, j in blocks(offsets):
+            for i, j in blocks(offsets, BLOCK_BYTES):
                 ids, count = enc.block(data, offsets[i : j + 1])
                 count = count + 1
                 upto = np.cumsum(count)

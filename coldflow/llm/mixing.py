@@ -29,6 +29,7 @@ import heapq
 from collections.abc import Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -38,6 +39,7 @@ from coldflow.session import stage_table
 WORD = r"[^\x20\x09-\x0D]+"
 SEED = "mix-1"
 MAX_PATTERNS = 20_000
+FLOWS = pa.schema({"sources": pa.list_(pa.string()), "copies": pa.int64(), "rest": pa.int64(), "source_size": pa.int64(), "target": pa.float64()})
 
 
 def word_count(text: Column) -> Column:
@@ -221,7 +223,9 @@ def _first_fit(rows: DataFrame) -> DataFrame:
 
 def _select(spark: SparkSession, rows: DataFrame, plan: list[tuple], carry: Sequence[str]) -> DataFrame:
     """Realise (pattern, whole copies, further words) with whole documents."""
-    flows = F.broadcast(spark.createDataFrame(plan, "sources array<string>, copies long, rest long, source_size long, target double"))  # <= MAX_PATTERNS rows
+    # <= MAX_PATTERNS rows; an Arrow table goes to the JVM as it is, a list of rows by a second set of Python workers
+    columns = zip(*plan, strict=True) if plan else [[] for _ in FLOWS]
+    flows = F.broadcast(spark.createDataFrame(pa.table([pa.array(list(c), t) for c, t in zip(columns, FLOWS.types, strict=True)], schema=FLOWS)))
     rows = rows.join(flows.withColumnRenamed("sources", "flow_sources"), _same("sources", "flow_sources")).drop("flow_sources")
     rows = _first_fit(stage_table(rows.withColumn("bin", F.substring("h", 1, 3)), "mix-flows"))
     copies = F.col("copies") + F.col("picked").cast("long")

@@ -49,6 +49,11 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def forget_powers() -> None:
+    """Give back the power tables; they are built again as long as the next block needs them."""
+    _powers[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
 def column_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; row i is ``bytes[offsets[i]:offsets[i + 1]]``, null rows are empty."""
     if isinstance(col, pa.ChunkedArray):

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 import coldflow
+from coldflow.llm.text import forget_powers
 
 
 def importable(spark: SparkSession) -> None:
@@ -43,6 +44,7 @@ def cache(owner: str) -> dict:
     for k in others:
         _caches.pop(k).clear()
     if others:
+        forget_powers()
         gc.collect()
         try:
             ctypes.CDLL(None).malloc_trim(0)  # small freed blocks too go back to the system

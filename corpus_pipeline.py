@@ -29,18 +29,30 @@ WORKER_MEMORY = {
 }
 
 #: A batch of long texts is cut at this size on its way to a Python worker: the JVM, the stream and the worker each hold a copy.
-BATCH_BYTES = "8m"
+BATCH_BYTES = "2m"
 
+#: Near duplicates are first combined inside a batch, so theirs are larger.
+COMBINED_BYTES = "8m"
 
-def _workers(spark: SparkSession) -> None:
+#: Rows that a scan decodes at once: of whole texts the usual 4,096 are arrays of many MB in each task.
+SCAN_ROWS = "512"
+
+
+def _workers(spark: SparkSession, batch_bytes: str = BATCH_BYTES) -> None:
     importable(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", batch_bytes)
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", SCAN_ROWS)
     spark.sparkContext.environment.update(WORKER_MEMORY)
 
 
 def _numbered(docs: DataFrame, name: str) -> DataFrame:
-    """``docs`` with a number of their own in ROW: ids may be null or repeat, rows are what a stage keeps or drops."""
-    return stage_table(docs.withColumn(ROW, F.monotonically_increasing_id()), f"pipeline-{name}-rows")
+    """``docs`` with a number of their own in ROW: ids may be null or repeat, rows are what a stage keeps or drops.
+
+    The copy of the texts stays until the stage's result is written, so it is packed well.
+    """
+    path = scratch_path(spark := docs.sparkSession, f"pipeline-{name}-rows")
+    docs.withColumn(ROW, F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(path)
+    return spark.read.parquet(path)
 
 
 def _as_documents(rows: DataFrame) -> DataFrame:
@@ -65,7 +77,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: the one with the smallest id, of several rows with it, one; null ids come last."""
-    _workers(spark)
+    _workers(spark, COMBINED_BYTES)
     rows = _numbered(docs, "near-duplicates")
 
     def copies() -> DataFrame:
