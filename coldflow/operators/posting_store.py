@@ -59,10 +59,11 @@ from coldflow.session import path_exists, spread, stage_table
 
 MIN_BUCKETS, MAX_BUCKETS = 8, 4096
 BUCKET_ROWS = 50_000
-BLOCK_ROWS = 100_000
+BLOCK_ROWS = 16_384
 LENGTH_CLASSES = 16
 TF_CLASSES = 4
 SMALL_BYTES = 16 << 20
+SMALL_PAIRS = 100_000
 ROUND_MARGIN = 1e-8  # more than the error of a sum of weights
 
 _VERSION = "version long, segments array<long>, stats map<string, struct<n: long, sum_dl: long>>, buckets int, types map<string, string>"
@@ -326,12 +327,13 @@ class FieldIndex:
         n_docs, sum_dl = self.snapshot.stats[self.name]
         return weight(F.col("idf"), F.col("tf"), F.col("dl"), sum_dl / n_docs if n_docs else 0.0)
 
-    def scores(self, pairs: DataFrame, blocks: DataFrame, buckets: list[int], few: bool = False) -> DataFrame:
-        """(q, id, payload..., raw): exact BM25 of (q, id, seg) pairs."""
+    def scores(self, pairs: DataFrame, blocks: DataFrame, buckets: list[int], few: bool = False, few_pairs: bool = False) -> DataFrame:
+        """(q, id, payload..., raw): exact BM25 of (q, id, seg) pairs; ``few_pairs``: these may be broadcast, so postings stay where they are read."""
         lead = blocks.where("lead").select("q", "bucket", "term", "qtf", "idf")
         asked = pairs.join(F.broadcast(lead) if few else lead, "q")
         posting = self._rows("postings", buckets).drop("tier", "slot")
-        found = asked.join(posting.hint("merge"), ["bucket", "term", self.id_col, "seg"])
+        key = ["bucket", "term", self.id_col, "seg"]
+        found = posting.join(F.broadcast(asked), key) if few_pairs else asked.join(posting.hint("merge"), key)
         return found.groupBy("q", self.id_col, *self.payload).agg(F.sum(F.col("qtf") * self._weight()).alias("raw"))
 
     def scored(self, rows: DataFrame) -> DataFrame:
@@ -343,5 +345,10 @@ class FieldIndex:
         blocks = stage(blocks, f"{self.name}-blocks")
         size = blocks.agg(F.sum(F.octet_length("q") + F.octet_length("term") + F.lit(100))).collect()[0][0] or 0
         few = size <= SMALL_BYTES
-        scored = self.scored(self.scores(self.candidates(blocks, buckets, k, prune, few), blocks, buckets, few))
+        pairs = self.candidates(blocks, buckets, k, prune, few)
+        few_pairs = False
+        if few and prune:  # usually little more than k rows a text are left
+            pairs = stage(pairs, f"{self.name}-pairs")
+            few_pairs = pairs.count() <= SMALL_PAIRS
+        scored = self.scored(self.scores(pairs, blocks, buckets, few, few_pairs))
         return top_k(scored.withColumnRenamed("q", text_col), [text_col], self.id_col, k)

@@ -185,7 +185,8 @@ def merge_recalls(wf: Waterfall, songs: DataFrame, cap: int = RECALL_CAP) -> Dat
     hits = wf.name.select("event_id", "item_id", "fire", F.lit(0).alias("prio")).unionByName(
         wf.singer.select("event_id", "item_id", "fire", F.lit(1).alias("prio"))
     )
-    per_item = hits.groupBy("event_id", "item_id").agg(F.min("prio").alias("prio"), F.max("fire").alias("fire"))
+    # an event's hits are few, so all steps go by event: the rows are shuffled once
+    per_item = hits.repartition("event_id").groupBy("event_id", "item_id").agg(F.min("prio").alias("prio"), F.max("fire").alias("fire"))
     w = Window.partitionBy("event_id").orderBy("prio", F.col("fire").desc(), "item_id")
     capped = per_item.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= cap)
     return capped.join(ev, "event_id").select(
