@@ -22,12 +22,17 @@ A document's set holds the 64-bit hashes of its distinct five-word shingles
    number that follows from the sizes; kin that pass are opened, as are the
    class's own, in parts of about OPENED classes.  In a part only queries with
    r tokens in the part's union are compared with its members.
-5. Groups joined by links are merged; the component id is the smallest
-   document id.
-
-No step pairs the members of a group with each other, and no link between
-different groups is lost, so components are exact (up to hash collisions,
-about 2^-64 per pair of shingles).
+5. A kin of several parts is first linked inside them, dealt twice, then by
+   two scouts of each component and kin; what is linked is one component from
+   then on.  Of two components only the smaller one's classes ask: the bounds
+   of step 4 hold in both directions.
+6. A part returns a spanning forest of the links found in it, at most one row
+   for each group in it.  Groups joined by links are merged; the component id
+   is the smallest document id.
+
+No step returns the pairs of a group, and no link between different groups is
+lost, so components are exact (up to hash collisions, about 2^-64 per pair of
+shingles).
 
 Defined cases: null, empty and wordless texts have no set and link with
 nothing (their component is their own id); rows that repeat an id are
@@ -37,9 +42,11 @@ empty result.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -163,6 +170,7 @@ def cluster(sid: np.ndarray, rep: np.ndarray, tokens: np.ndarray, n: np.ndarray,
 
 
 _LINKED = "sid long, rep long, n long, keys array<long>, parent_sid long, parent_rep long"
+_LINKS = "qg struct<rep: long, sid: long>, xg struct<rep: long, sid: long>"
 
 
 def _cluster_rows(rounds: list[int], moved_only: bool):
@@ -251,8 +259,8 @@ def cross_links(sets: DataFrame, labels: DataFrame, n_sets: int, n_tokens: int)
     pivot = held.groupBy("sid").agg(F.max(F.struct("df", F.col("token").alias("t"))).alias("p"), F.count("*").alias("held")).join(near, "sid")
     kin = pivot.select("sid", "n", "held", "g", "owner", F.xxhash64("p.t", F.floor(F.log("n") / BAND)).alias("kin"))
     parts = kin.groupBy("kin").agg(F.ceil(F.count("*") / OPENED).alias("parts"))
-    placed = kin.join(parts, "kin").withColumn("part", F.xxhash64("kin", F.pmod(F.xxhash64("sid"), F.col("parts"))))
-    placed = stage_table(placed.select("sid", "n", "held", "kin", "part", "g", "owner"), "jaccard-placed")
+    placed = kin.join(parts, "kin").withColumn("part", _part("sid"))
+    placed = stage_table(placed.select("sid", "n", "held", "kin", "parts", "part", "g", "owner"), "jaccard-placed")
     # the token-group matrix, and of each class the rarest floor(n / 4) + ceil(n / 16) tokens; those that only one
     # group of linked classes holds come first and cannot be elsewhere
     sizes = placed.groupBy("kin").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
@@ -268,17 +276,60 @@ def cross_links(sets: DataFrame, labels: DataFrame, n_sets: int, n_tokens: int)
     shared = probes.withColumnRenamed("token", "t").join(matrix, (F.col("t") == F.col("token")) & other).groupBy("sid", "kin", "n", "lo").agg(F.count("*").alias("hits"))
     need = F.ceil(3 * (F.col("n") + F.greatest("lo", F.ceil(F.col("n") * 0.75))) / 7)
     reached = shared.where(F.col("hits") >= F.greatest(F.lit(1), first - F.col("n") + need)).select("sid", "kin")
-    opened = reached.union(placed.select("sid", "kin")).join(placed.select("kin", "part").distinct(), "kin").select("sid", "part")
-    reached = stage_table(opened.join(placed.select("sid", "g", "owner"), "sid"), "jaccard-reached")
-    left = sets.select("sid", "tokens").join(small(placed.select("sid", "part", "g", "owner"), left), "sid").groupBy("part")
-    asked = sets.select(F.col("sid").alias("q"), F.col("tokens").alias("own")).join(small(reached, reached.count()), F.col("q") == F.col("sid"))
+    ways = stage_table(reached.union(placed.select("sid", "kin")), "jaccard-ways")
+    placed = placed.select("sid", "kin", "parts", "part", "g", "owner")
+    large = placed.where("parts > 1")
+    links = []
+    if not large.isEmpty():  # what large kin hold becomes few components before classes ask all their parts
+        dealt = large.select("sid", "g", "owner", F.explode(F.array("part", F.xxhash64(_part(F.xxhash64("sid"))))).alias("part"))
+        inside = sets.select("sid", "tokens").join(small(dealt, 2 * left), "sid").select("part", "tokens", "g", "owner").groupBy("part")
+        links.append(stage_table(inside.applyInArrow(_inside, _LINKS), "jaccard-inside"))
+        placed = _relabelled(placed, links[-1], left)
+        of = placed.groupBy("owner", "kin").agg(F.min("sid").alias("a"), F.max("sid").alias("z"))
+        scouts = of.select(F.explode(F.array("a", "z")).alias("sid")).distinct()
+        asked = _asking(placed, ways.join(scouts, "sid"), left)
+        links.append(_links(sets, placed, asked, left))
+        placed = _relabelled(placed, links[-1], left)
+        links.append(_links(sets, placed, _asking(placed, ways, left).join(asked.select("sid", "part"), ["sid", "part"], "left_anti"), left))
+    else:
+        links.append(_links(sets, placed, _asking(placed, ways, left), left))
+    return stage_table(reduce(DataFrame.union, links).distinct(), "jaccard-links")
+
+
+def _part(of) -> Column:
+    """One of its kin's parts for each class."""
+    return F.xxhash64("kin", F.pmod(F.xxhash64(of), F.col("parts")))
+
+
+def _relabelled(placed: DataFrame, links: DataFrame, n_placed: int) -> DataFrame:
+    """``placed`` with the components that ``links`` make of its groups in their place."""
+    roots = merged(links)
+    if roots is None:
+        return placed
+    g = F.coalesce("root", "g")
+    return stage_table(placed.join(small(roots, n_placed), "g", "left").withColumn("owner", F.xxhash64(g)).withColumn("g", g).drop("root"), "jaccard-placed")
+
+
+def _asking(placed: DataFrame, ways: DataFrame, n_placed: int) -> DataFrame:
+    """(sid, part, g, owner): of ``ways`` (sid, kin) the parts that hold a class of a larger component, of equal ones the greater owner."""
+    sizes = placed.groupBy("owner").agg(F.count("*").alias("size"))
+    sized = placed.join(small(sizes, n_placed), "owner").withColumn("rank", F.struct("size", "owner"))
+    tops = stage_table(sized.groupBy("kin", "part").agg(F.max("rank").alias("top")), "jaccard-tops")
+    most = tops.groupBy("kin").agg(F.max("top").alias("most"))
+    lower = ways.join(sized.select("sid", "g", "owner", "rank"), "sid").join(small(most, n_placed), "kin").where("rank < most")
+    return stage_table(lower.join(small(tops, n_placed), "kin").where("rank < top").select("sid", "part", "g", "owner"), "jaccard-asking")
+
+
+def _links(sets: DataFrame, placed: DataFrame, asking: DataFrame, n_placed: int) -> DataFrame:
+    """(qg, xg): a spanning forest for each part of the links that the ``asking`` classes have in it."""
+    left = sets.select("sid", "tokens").join(small(placed.select("sid", "part", "g", "owner"), n_placed), "sid").groupBy("part")
+    asked = sets.select(F.col("sid").alias("q"), F.col("tokens").alias("own")).join(small(asking, asking.count()), F.col("q") == F.col("sid"))
     right = asked.select("part", "g", "owner", "own").groupBy("part")
-    struct = "struct<rep: long, sid: long>"
-    return stage_table(left.cogroup(right).applyInArrow(_opened, f"qg {struct}, xg {struct}").distinct(), "jaccard-links")
+    return stage_table(left.cogroup(right).applyInArrow(_opened, _LINKS), "jaccard-forest")
 
 
 def _opened(left, right):
-    """Linked pairs of asking classes (right) and members of one part (left) that are not in one group yet."""
+    """Groups of asking classes (right) and members of one part (left), each with the group that its links lead to."""
     empty = pa.Table.from_pydict({"qg": left.column("g").slice(0, 0), "xg": left.column("g").slice(0, 0)})
     if not left.num_rows or not right.num_rows:
         return empty
@@ -286,22 +337,35 @@ def _opened(left, right):
     member = np.repeat(np.arange(len(n)), n)
     order = np.argsort(tokens, kind="stable")
     tokens, member = tokens[order], member[order]
-    owner = left.column("owner").to_numpy()
-    mine, theirs = [], []
-    for q, (raw, own_owner) in enumerate(zip(right.column("own").to_pylist(), right.column("owner").to_pylist(), strict=True)):
-        own = np.frombuffer(raw, "<u8")
+    owners = np.concatenate([left.column("owner").to_numpy(), right.column("owner").to_numpy()])
+    _, first, node = np.unique(owners, return_index=True, return_inverse=True)
+    parent = np.arange(len(first))
+    root = node[: len(n)].copy()  # of each member, as far as links are known
+    for raw, at in zip(right.column("own"), node[len(n) :].tolist(), strict=True):
+        while parent[at] != at:
+            parent[at] = at = parent[parent[at]]
+        if (root == at).all():
+            continue
+        own = np.frombuffer(raw.as_buffer(), "<u8")
         a, z = np.searchsorted(tokens, own), np.searchsorted(tokens, own, side="right")
         if (z > a).sum() < required(len(own)):  # the bound: tokens of the query in the part's union
             continue
         count = z - a
-        at = np.arange(count.sum()) + np.repeat(a - (np.cumsum(count) - count), count)
-        both = np.bincount(member[at], minlength=len(n))
-        linked = np.flatnonzero((100 * both >= 75 * (len(own) + n - both)) & (owner != own_owner))
-        mine += [q] * len(linked)
-        theirs += linked.tolist()
-    if not mine:
-        return empty
-    return pa.table({"qg": right.column("g").combine_chunks().take(pa.array(mine, pa.int64())), "xg": left.column("g").combine_chunks().take(pa.array(theirs, pa.int64()))})
+        where = np.arange(count.sum()) + np.repeat(a - (np.cumsum(count) - count), count)
+        both = np.bincount(member[where], minlength=len(n))
+        for r in np.unique(root[(100 * both >= 75 * (len(own) + n - both)) & (root != at)]):
+            parent[r] = at
+            root[root == r] = at
+    while not np.array_equal(parent, parent[parent]):
+        parent = parent[parent]
+    moved = np.flatnonzero(parent != np.arange(len(parent)))
+    g = pa.chunked_array(left.column("g").chunks + right.column("g").chunks).combine_chunks()
+    return pa.table({"qg": g.take(pa.array(first[moved])), "xg": g.take(pa.array(first[parent[moved]]))}) if len(moved) else empty
+
+
+def _inside(members):
+    """Like ``_opened``, with the members of the part themselves asking."""
+    return _opened(members, members.select(["g", "owner", "tokens"]).rename_columns(["g", "owner", "own"]))
 
 
 def _token_rows(batches):

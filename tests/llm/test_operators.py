@@ -307,6 +307,49 @@ def test_jaccard_chains_of_near_copies(spark):
     assert sorted(map(tuple, got.collect())) == brute_components(rows)
 
 
+def near_copies(n, words, changed, seed):
+    """``n`` texts of one base, each with its own changes: many of them near the bound."""
+    rng = np.random.default_rng(seed)
+    return [" ".join(f"c{k}_{i}" if rng.random() < changed else f"t{i}" for i in range(words)) for k in range(n)]
+
+
+def test_jaccard_part_returns_a_forest():
+    n = 200
+    sets = [np.sort(np.append(np.arange(100), 1000 + k)).astype("<u8").tobytes() for k in range(n)]  # all link with all
+    part = pa.table({"tokens": pa.array(sets, pa.binary()), "g": [{"rep": k, "sid": k} for k in range(n)], "owner": list(range(n))})
+    for got in (jaccard._inside(part), jaccard._opened(part, part.rename_columns(["own", "g", "owner"]))):
+        assert got.num_rows == n - 1
+        ends = [(q["rep"], x["rep"]) for q, x in zip(got["qg"].to_pylist(), got["xg"].to_pylist(), strict=True)]
+        label = list(range(n))
+        for a, b in ends:
+            label = [label[a] if x == label[b] else x for x in label]
+        assert len(set(label)) == 1
+
+
+def test_jaccard_large_kin_is_asked_by_its_smaller_components(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "ROUNDS", 0)  # no groups before the exact step: it finds all links
+    monkeypatch.setattr(jaccard, "OPENED", 12)
+    found, asked, real = [], [], (jaccard._links, jaccard._asking)
+
+    def links(*args):
+        found.append(real[0](*args))
+        return found[-1]
+
+    def asking(*args):
+        asked.append(real[1](*args))
+        return asked[-1]
+
+    monkeypatch.setattr(jaccard, "_links", links)
+    monkeypatch.setattr(jaccard, "_asking", asking)
+    rows = list(enumerate(near_copies(150, 130, 0.02, 1) + near_copies(60, 130, 0.028, 2)))
+    rows = [(3 * k % 211, t.replace("t", "s") if k >= 180 else t) for k, t in rows]
+    got = jaccard.components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, got.collect())) == brute_components(rows)
+    assert len(found) == 2  # scouts, then what is left
+    assert sum(x.count() for x in found) < len(rows)
+    assert asked[-1].count() < len(rows) * 210 // 12 // 2
+
+
 def brute_substrings(rows):
     lists = [(d, words(t)) for d, t in rows]
     seen = {}
