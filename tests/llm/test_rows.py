@@ -117,3 +117,37 @@ def test_queries_in_small_clusters_get_all_their_rows(spark):
     for r in ann.search(df, F.col("vec_id") % 20 == 0, probes=1).collect():
         got.setdefault(r["query_id"], []).append(r["vec_id"])
     assert set(got) == set(range(0, len(x), 20)) and all(len(set(v)) == 20 for v in got.values())
+
+
+def test_ann_memory_does_not_grow_with_lists(spark, monkeypatch):
+    import tracemalloc
+
+    import numpy as np
+
+    from coldflow.llm import ann
+
+    rng = np.random.default_rng(5)
+    index = ann.Index(np.eye(9), rng.standard_normal((4096, 9)).astype(np.float32), 1.0)
+    placed = rng.standard_normal((10_000, 9)).astype(np.float32)
+    tracemalloc.start()
+    near = index.nearest_lists(placed, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6  # distances to all centroids at once: 164 MB, their order as much again
+    assert near[77].tolist() == np.argsort(((index.centroids - placed[77]) ** 2).sum(axis=1))[:3].tolist()
+
+    # a query goes to a bundle of lists once, not to every list, and every true neighbour is found if all lists are asked
+    staged, stage = {}, ann.stage_table
+    monkeypatch.setattr(ann, "stage_table", lambda df, name: staged.setdefault(name, stage(df, name)))
+    monkeypatch.setattr(ann, "LIST_ROWS", 16)
+    x = rng.standard_normal((1600, 24)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in ann.search(df, F.col("vec_id") % 20 == 0, k=5, probes=100).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = r["vec_id"]
+    assert staged["ann-asked"].count() <= 80 * 8
+    for q in range(0, 1600, 20):
+        score = x.astype(float) @ x[q].astype(float)
+        score[q] = -np.inf
+        best = np.argsort(-score)[:5].tolist()
+        assert len(set(best) & set(got[q].values())) >= 4 and got[q][1] == best[0]
