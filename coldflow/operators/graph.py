@@ -13,6 +13,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.internal import InternalFunction
 
 from coldflow.operators.indexing import dense_index
 from coldflow.operators.match import hot_keys, join_split
@@ -55,15 +56,45 @@ def smallest_names(rows: DataFrame, key: str, limit: int) -> DataFrame:
 
 
 HEAD = 3
+# Names that the lists collected for one key may hold together; keys that may hold more are cut by ``smallest_names``.
+LIST_NAMES = 200_000
 
 
-def liked_names(nodes: DataFrame, edges: DataFrame, limit: int = LIKE_ITEM_LIMIT, stage=None) -> DataFrame:
+def smallest_of(lists: Column, limit: int) -> Column:
+    """The ``limit`` smallest distinct names of an array of arrays, sorted."""
+    return F.slice(F.sort_array(F.array_distinct(F.flatten(lists))), 1, limit)
+
+
+def name_lists(rows: DataFrame, key: str, limit: int, asked: DataFrame, stage) -> DataFrame:
+    """(key, names): the ``limit`` smallest distinct names of each key in ``asked`` as a sorted array.
+
+    A bounded heap a key keeps the smallest names, repeated ones too, so a key's names never
+    meet in full.  Only an asked key whose full heap holds fewer than ``limit`` distinct names is
+    looked at again, name by name.  Keys that are not asked may be among the result.
+    """
+    room = 2 * limit
+    heaps = rows.groupBy(key).agg(InternalFunction.collect_top_k(F.col("name"), room, True).alias("_heap"))
+    names = F.sort_array(F.array_distinct("_heap"))
+    heaps = heaps.select(key, names.alias("names"), (F.size("_heap") < room).alias("_whole"))
+    heaps = stage(heaps.select(key, F.slice("names", 1, limit).alias("names"), (F.col("_whole") | (F.size("names") >= limit)).alias("_sure")), f"{key}-names")
+    found = heaps.where("_sure").drop("_sure")
+    unsure = stage(heaps.where(~F.col("_sure")).select(key), f"{key}-unsure")
+    if unsure.isEmpty():
+        return found
+    unsure = stage(asked.join(unsure, key).select(key).distinct(), f"{key}-unsure-asked")
+    if unsure.isEmpty():
+        return found
+    again = smallest_names(rows.join(unsure, key, "left_semi"), key, limit)
+    return found.unionByName(stage(again.groupBy(key).agg(F.sort_array(F.collect_list("name")).alias("names")), f"{key}-more-names"))
+
+
+def liked_names(nodes: DataFrame, edges: DataFrame, limit: int = LIKE_ITEM_LIMIT, stage=None, lists: bool = False) -> DataFrame:
     """J8 + A3: (uid, name) - names of works a user LIKEs and of nodes ACTing with them.
 
     ``USER(uid) -[LIKE]- work -[ACT*0..1]- wc``, both steps undirected, the
     set of non-null names of ``work`` and ``wc``, at most ``limit`` names per
     user (first by name; the reference keeps arbitrary ones); ``limit`` None or
-    negative keeps all.
+    negative keeps all.  With ``lists`` (uid, names): a user's names as one sorted array.
 
     The cut is by name, so it can be taken below the fan join: of a work's names only
     its ``limit`` smallest can be among a user's ``limit`` smallest.  They are kept
@@ -74,8 +105,11 @@ def liked_names(nodes: DataFrame, edges: DataFrame, limit: int = LIKE_ITEM_LIMIT
     2. of the names behind the first ``HEAD``, each (fan, work) takes only those up to the fan's bound; pairs whose next
        name is larger do not meet the array again.
 
+    Names stay in arrays until the end: a user's works meet once, with their first names and the next one, and give first
+    names, bound and the works to ask again.  Users with so many works that these lists could hold more than
+    ``LIST_NAMES`` names go name by name instead (``smallest_names``).
     Popular works are split by fan (``join_split``).  ``stage(df, name)`` materializes the
-    tables that both steps read.
+    tables that several steps read.
     """
     stage = stage or (lambda df, name: df)
     u = users(nodes).withColumnRenamed("id", "a")
@@ -86,20 +120,44 @@ def liked_names(nodes: DataFrame, edges: DataFrame, limit: int = LIKE_ITEM_LIMIT
     )
     work_names = names.unionByName(act).where(F.col("name").isNotNull())
     if limit is None or limit < 0:
-        return likes.distinct().join(work_names.distinct(), "work").select("uid", "name").distinct()
-    lists = smallest_names(work_names, "work", limit).groupBy("work").agg(F.sort_array(F.collect_list("name")).alias("names"))
-    lists, likes = stage(lists, "work-names"), stage(likes.distinct(), "likes")
+        every = likes.distinct().join(work_names.distinct(), "work").select("uid", "name").distinct()
+        return every.groupBy("uid").agg(F.sort_array(F.collect_list("name")).alias("names")) if lists else every
+    likes = stage(likes, "likes")
+    of_work = name_lists(work_names, "work", limit, likes, stage)
     hot = stage(hot_keys(likes, "work"), "hot-works")
-    begin = lists.select("work", F.slice("names", 1, HEAD).alias("head"), F.get("names", F.lit(HEAD)).alias("next"))
+    busy = stage(likes.groupBy("uid").count().where(F.col("count") * max(limit, HEAD) > LIST_NAMES).select("uid"), "busy-users")
+    begin = of_work.select("work", F.slice("names", 1, HEAD).alias("head"), F.get("names", F.lit(HEAD)).alias("next"))
     heads = stage(join_split(likes, begin, "work", ["uid"], hot), "heads")
-    first = stage(smallest_names(heads.select("uid", F.explode("head").alias("name")), "uid", limit), "first-names")
-    bound = first.groupBy("uid").agg(F.count(F.lit(1)).alias("_n"), F.max("name").alias("bound")).where(F.col("_n") >= limit).drop("_n")
-    fans = heads.where(F.col("next").isNotNull()).select("uid", "work", "next").join(bound, "uid", "left")
-    fans = fans.where(F.col("bound").isNull() | (F.col("next") <= F.col("bound"))).drop("next")
-    rest = lists.select("work", F.slice("names", F.lit(HEAD + 1), F.greatest(F.size("names") - HEAD, F.lit(0))).alias("names"))
-    kept = F.filter("names", lambda n: F.col("bound").isNull() | (n <= F.col("bound")))
-    pairs = join_split(fans, rest, "work", ["uid"], hot).select("uid", F.explode(kept).alias("name"))
-    return smallest_names(first.unionByName(pairs), "uid", limit)
+    rest = of_work.select("work", F.slice("names", F.lit(HEAD + 1), F.greatest(F.size("names") - HEAD, F.lit(0))).alias("names"))
+
+    def bounded(first: DataFrame) -> DataFrame:
+        return first.withColumn("bound", F.when(F.size("names") >= limit, F.element_at("names", -1)))
+
+    def below(fans: DataFrame) -> DataFrame:
+        kept = F.filter("names", lambda n: F.col("bound").isNull() | (n <= F.col("bound")))
+        return join_split(fans, rest, "work", ["uid"], hot).select("uid", kept.alias("names"))
+
+    def one_by_one(rows: DataFrame) -> DataFrame:
+        return smallest_names(rows.select("uid", F.explode("names").alias("name")), "uid", limit)
+
+    def collected(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("uid").agg(F.sort_array(F.collect_list("name")).alias("names"))
+
+    open_ends = lambda next_name: next_name.isNotNull() & (F.col("bound").isNull() | (next_name <= F.col("bound")))
+    met = heads.join(busy, "uid", "left_anti").groupBy("uid").agg(F.collect_list(F.struct("work", "head", "next")).alias("_w"))
+    first = bounded(met.select("uid", "_w", smallest_of(F.col("_w.head"), limit).alias("names")))
+    again = F.transform(F.filter("_w", lambda w: open_ends(w["next"])), lambda w: w["work"])
+    first = stage(first.select("uid", "names", "bound", again.alias("again")), "first-names")
+    pairs = below(first.select("uid", "bound", F.explode("again").alias("work")))
+    few = first.select("uid", "names").unionByName(pairs).groupBy("uid").agg(smallest_of(F.collect_list("names"), limit).alias("names"))
+
+    heads = heads.join(busy, "uid", "left_semi")
+    first = bounded(collected(one_by_one(heads.withColumnRenamed("head", "names"))))
+    pairs = below(heads.select("uid", "work", "next").join(first.select("uid", "bound"), "uid").where(open_ends(F.col("next"))).drop("next"))
+    many = one_by_one(first.select("uid", "names").unionByName(pairs))
+    if lists:
+        return few.unionByName(collected(many))
+    return few.select("uid", F.explode("names").alias("name")).unionByName(many)
 
 
 def uid_file(lines: DataFrame, value_col: str = "value") -> DataFrame:
@@ -112,10 +170,11 @@ def uid_file(lines: DataFrame, value_col: str = "value") -> DataFrame:
 def export_lines(uids: DataFrame, liked: DataFrame) -> DataFrame:
     """K8: (uid, line) with ``line = "<uid>: a b c "`` (trailing blank kept; names sorted).
 
+    ``liked`` holds (uid, name) or (uid, names), one sorted array a user.
     Users without names still get ``"<uid>: "``.  Names per user are capped
     upstream, so the per-user list is bounded.
     """
-    per_user = liked.groupBy("uid").agg(F.array_sort(F.collect_list("name")).alias("names"))
+    per_user = liked if "names" in liked.columns else liked.groupBy("uid").agg(F.sort_array(F.collect_list("name")).alias("names"))
     j = uids.join(per_user, "uid", "left")
     items = F.array_join(F.transform(F.coalesce(F.col("names"), F.array().cast("array<string>")), lambda x: F.concat(x, F.lit(" "))), "")
     return j.select("uid", F.concat(F.col("uid"), F.lit(": "), items).alias("line"))

@@ -27,7 +27,7 @@ def q_liked_export(spark, sf_dir):
     fixtures.uid_lines(t).write.mode("overwrite").text(path)
     uids = graph.uid_file(spark.read.text(path))
     out = scratch_path(spark, "liked-export")
-    graph.write_export(graph.export_lines(uids, graph.liked_names(n, e, stage=stage_table)), out)
+    graph.write_export(graph.export_lines(uids, graph.liked_names(n, e, stage=stage_table, lists=True)), out)
     return spark.read.text(out).select(F.substring_index("value", ": ", 1).alias("uid"), F.col("value").alias("line"))
 
 
